@@ -1,0 +1,242 @@
+"""Blocked all-pairs kernel.
+
+Users are hashed into B blocks of about `block_size` rows (ids are unique,
+so blocks are even). Each row is replicated to the block pairs it belongs
+to, keyed by `bi * B + bj` with bi <= bj; a cogroup on that key hands one
+task exactly two blocks, which NumPy multiplies as two matrices. The task
+keeps only what the caller asks for (pairs over a threshold, per-row top-k,
+moments, histogram bins, per-cluster distance sums), so the N x N matrix
+never exists and no task ever holds more than two blocks.
+
+This is an equi-join on a generated key: no cartesian product, no
+per-group all-pairs explosion. Cost stays O(N^2 d) compute and O(N B d)
+shuffle, spread over B(B+1)/2 independent tasks.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Callable, Sequence
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+
+def n_blocks_for(n: int, block_size: int) -> int:
+    return max(1, int(math.ceil(n / max(1, block_size))))
+
+
+def _sides(vecs: DataFrame, id_col: str, cols: Sequence[str], n_blocks: int
+           ) -> tuple[DataFrame, DataFrame]:
+    b = F.pmod(F.xxhash64(F.col(id_col)), F.lit(n_blocks)).cast("int")
+    base = vecs.select(*cols, b.alias("_b"))
+    left = (base.select(*cols, F.col("_b"),
+                        F.explode(F.sequence(F.col("_b"), F.lit(n_blocks - 1))).alias("_o"))
+            .select(*cols, (F.col("_b") * n_blocks + F.col("_o")).alias("_pair")))
+    right = (base.select(*cols, F.col("_b"),
+                         F.explode(F.sequence(F.lit(0), F.col("_b"))).alias("_o"))
+             .select(*cols, (F.col("_o") * n_blocks + F.col("_b")).alias("_pair")))
+    return left, right
+
+
+def run_pairs(vecs: DataFrame, id_col: str, cols: Sequence[str], n_blocks: int,
+              kernel: Callable[[bool, pd.DataFrame, pd.DataFrame], pd.DataFrame],
+              schema: str) -> DataFrame:
+    """Apply `kernel(diagonal, left_rows, right_rows)` to every block pair."""
+    left, right = _sides(vecs, id_col, cols, n_blocks)
+
+    def fn(key, lpdf: pd.DataFrame, rpdf: pd.DataFrame) -> pd.DataFrame:
+        if len(lpdf) == 0 or len(rpdf) == 0:
+            return pd.DataFrame({f.split()[0]: [] for f in schema.split(",")})
+        bi, bj = divmod(int(key[0]), n_blocks)
+        return kernel(bi == bj, lpdf, rpdf)
+
+    return left.groupBy("_pair").cogroup(right.groupBy("_pair")).applyInPandas(fn, schema)
+
+
+def matrix(pdf: pd.DataFrame, col: str) -> np.ndarray:
+    return np.stack(pdf[col].to_numpy()).astype(np.float64, copy=False)
+
+
+def order_key(ids: np.ndarray) -> np.ndarray:
+    """Integer rank of each id inside the array (ties impossible: ids are unique)."""
+    r = np.empty(len(ids), dtype=np.int64)
+    r[np.argsort(ids, kind="stable")] = np.arange(len(ids))
+    return r
+
+
+def pair_mask(diagonal: bool, ids_l: np.ndarray, ids_r: np.ndarray) -> np.ndarray | None:
+    """Unique unordered pairs: on a diagonal block only id_l < id_r."""
+    if not diagonal:
+        return None
+    return ids_l[:, None] < ids_r[None, :]
+
+
+# ---------------------------------------------------------------- kernels
+
+
+def edges_kernel(id_col: str, vec_col: str, threshold: float | None):
+    """(src, dst, weight) with src < dst and cosine >= threshold (all pairs if None).
+    `vec_col` holds unit vectors."""
+
+    def k(diagonal, L, R):
+        ids_l, ids_r = L[id_col].to_numpy(), R[id_col].to_numpy()
+        s = matrix(L, vec_col) @ matrix(R, vec_col).T
+        mask = pair_mask(diagonal, ids_l, ids_r)
+        if threshold is not None:
+            m2 = s >= threshold
+            mask = m2 if mask is None else (mask & m2)
+        if mask is None:
+            ii, jj = np.indices(s.shape).reshape(2, -1)
+        else:
+            ii, jj = np.nonzero(mask)
+        a, b = ids_l[ii], ids_r[jj]
+        lt = a < b
+        return pd.DataFrame({"src": np.where(lt, a, b), "dst": np.where(lt, b, a),
+                             "weight": s[ii, jj]})
+    return k
+
+
+def topk_kernel(id_col: str, vec_col: str, k: int):
+    """Per row, the k most similar rows of the other block (self excluded),
+    order: similarity desc, other id asc."""
+
+    def side(ids_a, ids_b, s, exclude_self):
+        out_u, out_o, out_s = [], [], []
+        kb = order_key(ids_b)
+        kk = min(k + (1 if exclude_self else 0), s.shape[1])
+        if kk == 0:
+            return out_u, out_o, out_s
+        # lexsort on (-sim, id rank) along rows
+        order = np.lexsort((np.broadcast_to(kb, s.shape), -s), axis=1)[:, :kk]
+        for i in range(s.shape[0]):
+            cols = order[i]
+            if exclude_self:
+                cols = cols[ids_b[cols] != ids_a[i]][:k]
+            out_u.append(np.repeat(ids_a[i:i + 1], len(cols)))
+            out_o.append(ids_b[cols])
+            out_s.append(s[i, cols])
+        return out_u, out_o, out_s
+
+    def kern(diagonal, L, R):
+        ids_l, ids_r = L[id_col].to_numpy(), R[id_col].to_numpy()
+        s = matrix(L, vec_col) @ matrix(R, vec_col).T
+        u, o, v = side(ids_l, ids_r, s, diagonal)
+        if not diagonal:
+            u2, o2, v2 = side(ids_r, ids_l, s.T, False)
+            u, o, v = u + u2, o + o2, v + v2
+        if not u:
+            return pd.DataFrame({"user_id": [], "other_id": [], "similarity": []})
+        return pd.DataFrame({"user_id": np.concatenate(u), "other_id": np.concatenate(o),
+                             "similarity": np.concatenate(v)})
+    return kern
+
+
+def _pair_values(diagonal, L, R, id_col, vec_col) -> np.ndarray:
+    ids_l, ids_r = L[id_col].to_numpy(), R[id_col].to_numpy()
+    s = matrix(L, vec_col) @ matrix(R, vec_col).T
+    mask = pair_mask(diagonal, ids_l, ids_r)
+    return s.ravel() if mask is None else s[mask]
+
+
+def moments_kernel(id_col: str, vec_col: str):
+    """One row per block pair: count, mean, M2, min, max of the unique-pair cosines."""
+
+    def k(diagonal, L, R):
+        v = _pair_values(diagonal, L, R, id_col, vec_col)
+        if v.size == 0:
+            return pd.DataFrame({"n": [], "mean": [], "m2": [], "vmin": [], "vmax": []})
+        mu = float(v.mean())
+        return pd.DataFrame({"n": [int(v.size)], "mean": [mu],
+                             "m2": [float(((v - mu) ** 2).sum())],
+                             "vmin": [float(v.min())], "vmax": [float(v.max())]})
+    return k
+
+
+def histogram_kernel(id_col: str, vec_col: str, intervals: Sequence[tuple[float, float]],
+                     nbins: int):
+    """For each interval q=[lo, hi]: count below lo (bin -1) and, per equal-width
+    bin, count / min / max of the unique-pair cosines inside it."""
+
+    def k(diagonal, L, R):
+        v = _pair_values(diagonal, L, R, id_col, vec_col)
+        rows = []
+        for q, (lo, hi) in enumerate(intervals):
+            below = int((v < lo).sum())
+            inside = v[(v >= lo) & (v <= hi)]
+            rows.append((q, -1, below, np.nan, np.nan))
+            if inside.size:
+                width = hi - lo
+                if width > 0:
+                    b = np.floor((inside - lo) / width * nbins).astype(np.int64)
+                    b = np.clip(b, 0, nbins - 1)
+                else:
+                    b = np.zeros(inside.size, dtype=np.int64)
+                order = np.argsort(b, kind="stable")
+                bs, vs = b[order], inside[order]
+                uniq, start = np.unique(bs, return_index=True)
+                ends = np.append(start[1:], bs.size)
+                for u, s0, e0 in zip(uniq, start, ends):
+                    seg = vs[s0:e0]
+                    rows.append((q, int(u), int(seg.size), float(seg.min()), float(seg.max())))
+        return pd.DataFrame(rows, columns=["q", "bin", "n", "vmin", "vmax"])
+    return k
+
+
+def values_kernel(id_col: str, vec_col: str, intervals: Sequence[tuple[float, float]]):
+    """The unique-pair cosines inside each (small) interval q."""
+
+    def k(diagonal, L, R):
+        v = _pair_values(diagonal, L, R, id_col, vec_col)
+        qs, vs = [], []
+        for q, (lo, hi) in enumerate(intervals):
+            sel = v[(v >= lo) & (v <= hi)]
+            qs.append(np.full(sel.size, q, dtype=np.int64))
+            vs.append(sel)
+        return pd.DataFrame({"q": np.concatenate(qs), "v": np.concatenate(vs)})
+    return k
+
+
+def silhouette_kernel(id_col: str, vec_col: str, labels_col: str):
+    """Per row and label set s: summed Euclidean distance and count towards each
+    label of the other block. `labels_col` is array<int> (one label per set).
+    Rows of a diagonal block count themselves (distance 0); callers subtract one."""
+
+    def dists(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        d2 = (a * a).sum(1)[:, None] + (b * b).sum(1)[None, :] - 2.0 * (a @ b.T)
+        return np.sqrt(np.maximum(d2, 0.0))
+
+    def emit(ids_a, lab_a, lab_b, d):
+        ids_out, set_out, own_out, lab_out, sum_out, cnt_out = [], [], [], [], [], []
+        m = d.shape[0]
+        for s in range(lab_b.shape[1]):
+            uniq, inv = np.unique(lab_b[:, s], return_inverse=True)
+            onehot = np.zeros((lab_b.shape[0], uniq.size))
+            onehot[np.arange(lab_b.shape[0]), inv] = 1.0
+            sums = d @ onehot
+            cnts = onehot.sum(0).astype(np.int64)
+            ids_out.append(np.repeat(ids_a, uniq.size))
+            set_out.append(np.full(m * uniq.size, s, dtype=np.int64))
+            own_out.append(np.repeat(lab_a[:, s], uniq.size))
+            lab_out.append(np.tile(uniq, m))
+            sum_out.append(sums.ravel())
+            cnt_out.append(np.tile(cnts, m))
+        return ids_out, set_out, own_out, lab_out, sum_out, cnt_out
+
+    def k(diagonal, L, R):
+        ids_l, ids_r = L[id_col].to_numpy(), R[id_col].to_numpy()
+        xl, xr = matrix(L, vec_col), matrix(R, vec_col)
+        ll = np.stack(L[labels_col].to_numpy()).astype(np.int64)
+        lr = np.stack(R[labels_col].to_numpy()).astype(np.int64)
+        d = dists(xl, xr)
+        if diagonal:
+            d[ids_l[:, None] == ids_r[None, :]] = 0.0
+        parts = [emit(ids_l, ll, lr, d)]
+        if not diagonal:
+            parts.append(emit(ids_r, lr, ll, d.T))
+        cols = [np.concatenate([x for p in parts for x in p[i]]) for i in range(6)]
+        return pd.DataFrame({"id": cols[0], "s": cols[1], "own": cols[2], "label": cols[3],
+                             "dsum": cols[4], "cnt": cols[5]})
+    return k

@@ -1,0 +1,7 @@
+"""Streaming.
+
+The scoring job is a batch job: it has no stream, watermark or state.
+A fitted ZScoreModel.transform and assign_clusters are stateless
+projections, so they apply unchanged to a streaming DataFrame; every
+other stage needs the whole user population and stays batch.
+"""
