@@ -32,12 +32,16 @@ def _sides(vecs: DataFrame, id_col: str, cols: Sequence[str], n_blocks: int
            ) -> tuple[DataFrame, DataFrame]:
     b = F.pmod(F.xxhash64(F.col(id_col)), F.lit(n_blocks)).cast("int")
     base = vecs.select(*cols, b.alias("_b"))
+    # fresh aliases on each side: a cogroup of two plans sharing attribute ids
+    # lets the optimizer prune one side's inputs
     left = (base.select(*cols, F.col("_b"),
                         F.explode(F.sequence(F.col("_b"), F.lit(n_blocks - 1))).alias("_o"))
-            .select(*cols, (F.col("_b") * n_blocks + F.col("_o")).alias("_pair")))
+            .select(*[F.col(c).alias(c) for c in cols],
+                    (F.col("_b") * n_blocks + F.col("_o")).alias("_pair")))
     right = (base.select(*cols, F.col("_b"),
                          F.explode(F.sequence(F.lit(0), F.col("_b"))).alias("_o"))
-             .select(*cols, (F.col("_o") * n_blocks + F.col("_b")).alias("_pair")))
+             .select(*[F.col(c).alias(c) for c in cols],
+                     (F.col("_o") * n_blocks + F.col("_b")).alias("_pair")))
     return left, right
 
 

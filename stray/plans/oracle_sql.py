@@ -24,7 +24,7 @@ def feature_columns() -> str:
 
 def dataset_summary() -> str:
     from stray.plans.oracle import feat_cte
-    parts = ["SELECT '*' AS column, 'n_users' AS metric, CAST(count(*) AS DOUBLE) AS value FROM feat",
+    parts = ['''SELECT '*' AS "column", 'n_users' AS metric, CAST(count(*) AS DOUBLE) AS value FROM feat''',
              f"SELECT '*', 'n_features', CAST({len(F)} AS DOUBLE)"]
     for c in ["user_id", *F]:
         parts.append(f"SELECT '{c}', 'missing', CAST(count(*) - count({c}) AS DOUBLE) FROM feat")
@@ -36,7 +36,7 @@ def dataset_summary() -> str:
   max({x}) AS mx FROM feat) s,
   LATERAL (VALUES ('count', CAST(cnt AS DOUBLE)), ('mean', mean), ('std', std), ('min', mn),
                   ('25%', q1), ('50%', q2), ('75%', q3), ('max', mx)) t(m, v)""")
-    body = "SELECT column, metric, round(value, 6) AS value FROM (\n" + "\nUNION ALL\n".join(parts) + "\n)"
+    body = 'SELECT "column", metric, round(value, 6) AS value FROM (\n' + "\nUNION ALL\n".join(parts) + "\n)"
     return with_(feat_cte(), body=body)
 
 
@@ -82,18 +82,18 @@ def avg_similarity_one() -> str:
 
 
 def _both() -> tuple[str, str]:
-    return ("both", "SELECT src AS uid, dst AS oid, sim FROM pairs UNION ALL SELECT dst, src, sim FROM pairs")
+    return ("bothdir", "SELECT src AS uid, dst AS oid, sim FROM pairs UNION ALL SELECT dst, src, sim FROM pairs")
 
 
 def similar_users() -> str:
-    return with_(*_base(_both()), body=f"""SELECT oid AS user_id, {r6('sim')} AS similarity FROM both
+    return with_(*_base(_both()), body=f"""SELECT oid AS user_id, {r6('sim')} AS similarity FROM bothdir
 WHERE uid = (SELECT min(user_id) FROM unit) ORDER BY sim DESC, oid ASC LIMIT {C.TOP_K}""")
 
 
 def similar_users_all() -> str:
     return with_(*_base(_both()), body=f"""SELECT uid AS user_id, CAST(rn AS INTEGER) AS rank,
   oid AS other_id, {r6('sim')} AS similarity
-FROM (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY sim DESC, oid ASC) AS rn FROM both)
+FROM (SELECT *, row_number() OVER (PARTITION BY uid ORDER BY sim DESC, oid ASC) AS rn FROM bothdir)
 WHERE rn <= {C.TOP_K}""")
 
 
