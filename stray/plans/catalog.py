@@ -296,6 +296,117 @@ def q_extended_results(spark, sf):
     return round_doubles(_pipeline(spark, sf).extended)
 
 
+# ---------------------------------------------------------------- C
+
+
+def _logs(spark, sf):
+    return X.logs_from_events(X.table(spark, sf, "events"))
+
+
+def _psycho(spark, sf):
+    return X.psychometric_from_customer(X.table(spark, sf, "customer"))
+
+
+def _union(frames):
+    out = None
+    for f in frames:
+        out = f if out is None else out.unionByName(f)
+    return out
+
+
+def q_distinct_users(spark, sf):
+    from stray.operators.cohort import distinct_users
+    return _union([distinct_users(df).select(F.lit(name).alias("log"), "user")
+                   for name, df in _logs(spark, sf).items()])
+
+
+def q_common_users(spark, sf):
+    from stray.operators.cohort import common_users
+    return common_users(_logs(spark, sf))
+
+
+def q_sample_users(spark, sf):
+    from stray.operators.cohort import common_users, sample_users
+    return sample_users(common_users(_logs(spark, sf)), SAMPLE_N, SEED)
+
+
+def q_sample_table(spark, sf):
+    from stray.operators.cohort import sample_table
+    return sample_table(_logs(spark, sf)["http"], "user", SAMPLE_N, SEED).select(
+        "event_id", "user", "event_type", "value")
+
+
+def q_cohort_filter(spark, sf):
+    from stray.operators.cohort import cohort_filter, common_users, sample_users
+    logs = _logs(spark, sf)
+    sample = sample_users(common_users(logs), SAMPLE_N, SEED)
+    kept = cohort_filter(logs, sample, SAMPLE_N)
+    return _union([df.select(F.lit(name).alias("log"), "event_id", "user", "value")
+                   for name, df in kept.items()])
+
+
+def q_cohort_report(spark, sf):
+    from stray.operators.cohort import cohort_reduce
+    res = cohort_reduce(_logs(spark, sf), _psycho(spark, sf), SAMPLE_N, SEED)
+    return round_doubles(res.report.select("log", "rows_before", "rows_after", "reduction_pct"))
+
+
+def q_cohort_reduce(spark, sf):
+    from stray.operators.cohort import cohort_reduce
+    res = cohort_reduce(_logs(spark, sf), _psycho(spark, sf), SAMPLE_N, SEED)
+    return _union([df.groupBy("user").agg(F.count(F.lit(1)).alias("n_rows"))
+                   .select(F.lit(name).alias("log"), "user", "n_rows")
+                   for name, df in res.filtered.items()])
+
+
+# ---------------------------------------------------------------- V
+
+
+def _results(spark, sf):
+    return _pipeline(spark, sf).results
+
+
+def q_report_overview(spark, sf):
+    from stray.plans.report import report_overview
+    return round_doubles(report_overview(_results(spark, sf)))
+
+
+def q_report_top_bars(spark, sf):
+    from stray.plans.report import report_top_bars
+    return round_doubles(report_top_bars(_results(spark, sf), 20))
+
+
+def q_report_histogram(spark, sf):
+    from stray.plans.report import report_histogram
+    return round_doubles(report_histogram(_results(spark, sf), 50))
+
+
+def q_report_cluster_sizes(spark, sf):
+    from stray.plans.report import report_cluster_sizes
+    return report_cluster_sizes(_results(spark, sf))
+
+
+def q_report_correlation(spark, sf):
+    from stray.plans.report import report_correlation
+    df, feats = features(spark, sf)
+    return round_doubles(report_correlation(df, feats))
+
+
+def q_report_scatter(spark, sf):
+    from stray.plans.report import report_scatter
+    return round_doubles(report_scatter(_pipeline(spark, sf).extended, "value_avg", "value_std"))
+
+
+def q_report_threshold(spark, sf):
+    from stray.plans.report import report_threshold
+    return round_doubles(report_threshold(_results(spark, sf), 90))
+
+
+def q_report_detail(spark, sf):
+    from stray.plans.report import report_detail
+    return report_detail(_results(spark, sf), 20)
+
+
 QUERIES: dict[str, Query] = {
     "feature_columns": q_feature_columns,
     "dataset_summary": q_dataset_summary,
@@ -336,4 +447,19 @@ QUERIES: dict[str, Query] = {
     "export_top_k": q_export_top_k,
     "pipeline": q_pipeline,
     "extended_results": q_extended_results,
+    "distinct_users": q_distinct_users,
+    "common_users": q_common_users,
+    "sample_users": q_sample_users,
+    "sample_table": q_sample_table,
+    "cohort_filter": q_cohort_filter,
+    "cohort_report": q_cohort_report,
+    "cohort_reduce": q_cohort_reduce,
+    "report_overview": q_report_overview,
+    "report_top_bars": q_report_top_bars,
+    "report_histogram": q_report_histogram,
+    "report_cluster_sizes": q_report_cluster_sizes,
+    "report_correlation": q_report_correlation,
+    "report_scatter": q_report_scatter,
+    "report_threshold": q_report_threshold,
+    "report_detail": q_report_detail,
 }

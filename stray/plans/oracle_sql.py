@@ -6,7 +6,8 @@ from stray.plans import catalog as C
 from stray.plans.oracle import (F, avgsim_cte, base_ctes, cf_cte, degree_cte, edges_cte,
                                 graph_score_cte, lloyd_ctes, minmax_sql, pagerank_ctes,
                                 pairs_cte, r6, with_)
-from stray.sources.fixtures import EVENT_TYPES
+from stray.config import INTERSECT_LOGS
+from stray.sources.fixtures import EVENT_TYPES, LOG_EVENT_TYPES
 
 
 def _z_cols(prefix: str = "") -> str:
@@ -319,6 +320,130 @@ def extended_results() -> str:
 FROM ranked r JOIN z ON z.user_id = r.user_id""")
 
 
+# ---------------------------------------------------------------- C
+
+
+def _lg():
+    cases = " ".join(f"WHEN '{t}' THEN '{name}'" for name, t in LOG_EVENT_TYPES.items())
+    return [("lg", f"""SELECT CASE event_type {cases} END AS log, event_id, user_id AS "user",
+  event_type, value FROM events""")]
+
+
+def _common():
+    sel = "\nINTERSECT\n".join(f'''SELECT "user" FROM lg WHERE log = '{n}' '''
+                               for n in INTERSECT_LOGS)
+    return [("common", sel),
+            ("sample", f'''SELECT "user" FROM common
+ORDER BY md5(concat('{C.SEED}|', CAST("user" AS VARCHAR))), "user" LIMIT {C.SAMPLE_N}''')]
+
+
+def _psy():
+    return [("psy", '''SELECT c_custkey AS "user" FROM customer''')]
+
+
+def distinct_users() -> str:
+    return with_(*_lg(), body='''SELECT DISTINCT log, "user" FROM lg''')
+
+
+def common_users() -> str:
+    return with_(*_lg(), *_common(), body='''SELECT "user" FROM common''')
+
+
+def sample_users() -> str:
+    return with_(*_lg(), *_common(), body='''SELECT "user" FROM sample''')
+
+
+def sample_table() -> str:
+    return with_(*_lg(), ("http", "SELECT * FROM lg WHERE log = 'http'"),
+                 ("hs", f'''SELECT "user" FROM (SELECT DISTINCT "user" FROM http)
+ORDER BY md5(concat('{C.SEED}|', CAST("user" AS VARCHAR))), "user" LIMIT {C.SAMPLE_N}'''),
+                 body='''SELECT event_id, "user", event_type, value FROM http
+WHERE "user" IN (SELECT "user" FROM hs)''')
+
+
+def cohort_filter() -> str:
+    return with_(*_lg(), *_common(), body='''SELECT log, event_id, "user", value FROM lg
+WHERE "user" IN (SELECT "user" FROM sample)''')
+
+
+def cohort_report() -> str:
+    return with_(*_lg(), *_common(), *_psy(),
+                 ("allrows", "SELECT log, \"user\" FROM lg UNION ALL SELECT 'psychometric', \"user\" FROM psy"),
+                 body=f'''SELECT log, CAST(count(*) AS BIGINT) AS rows_before,
+  CAST(count(*) FILTER (WHERE "user" IN (SELECT "user" FROM sample)) AS BIGINT) AS rows_after,
+  {r6('(1.0 - count(*) FILTER (WHERE "user" IN (SELECT "user" FROM sample)) / count(*)) * 100.0')}
+    AS reduction_pct
+FROM allrows GROUP BY log''')
+
+
+def cohort_reduce() -> str:
+    return with_(*_lg(), *_common(), *_psy(),
+                 ("allrows", "SELECT log, \"user\" FROM lg UNION ALL SELECT 'psychometric', \"user\" FROM psy"),
+                 body='''SELECT log, "user", CAST(count(*) AS BIGINT) AS n_rows FROM allrows
+WHERE "user" IN (SELECT "user" FROM sample) GROUP BY log, "user"''')
+
+
+# ---------------------------------------------------------------- V
+
+
+def report_overview() -> str:
+    return with_(*_scored_ctes(), body=f"""SELECT CAST(count(*) AS BIGINT) AS n_users,
+  {r6('avg(final_anomaly_score)')} AS mean_score, {r6('max(final_anomaly_score)')} AS max_score,
+  CAST(count(*) FILTER (WHERE final_anomaly_score >=
+    (SELECT quantile_cont(final_anomaly_score, 0.9) FROM ranked)) AS BIGINT) AS n_anomalies
+FROM ranked""")
+
+
+def report_top_bars() -> str:
+    return with_(*_scored_ctes(), body=f"""SELECT CAST((SELECT least(20, count(*)) FROM ranked) - rank AS INTEGER)
+  AS position, CAST(user_id AS VARCHAR) AS user_id, {r6('final_anomaly_score')} AS final_anomaly_score
+FROM ranked WHERE rank <= 20""")
+
+
+def report_histogram() -> str:
+    return with_(*_scored_ctes(),
+                 ("mm", "SELECT min(final_anomaly_score) AS lo, max(final_anomaly_score) AS hi FROM ranked"),
+                 ("hb", """SELECT CASE WHEN hi - lo > 0 THEN least(floor((final_anomaly_score - lo) / (hi - lo)
+  * 50.0), 49) ELSE 0 END AS bin FROM ranked, mm"""),
+                 body=f"""SELECT CAST(g.i AS INTEGER) AS bin, {r6('lo + (hi - lo) * CAST(g.i AS DOUBLE) / 50.0')} AS bin_lo,
+  {r6('lo + (hi - lo) * CAST(g.i + 1 AS DOUBLE) / 50.0')} AS bin_hi,
+  CAST(coalesce(c.n, 0) AS BIGINT) AS count
+FROM range(50) g(i) CROSS JOIN mm LEFT JOIN (SELECT bin, count(*) AS n FROM hb GROUP BY bin) c ON c.bin = g.i""")
+
+
+def report_cluster_sizes() -> str:
+    return with_(*_scored_ctes(), body="""SELECT CAST(cluster AS INTEGER) AS cluster,
+  CAST(count(*) AS BIGINT) AS count FROM ranked GROUP BY cluster""")
+
+
+def report_correlation() -> str:
+    from stray.plans.oracle import feat_cte
+    parts = []
+    for x in F:
+        for y in F:
+            xv, yv = f"CAST({x} AS DOUBLE)", f"CAST({y} AS DOUBLE)"
+            parts.append(f"""SELECT '{x}' AS x, '{y}' AS y, CASE WHEN var_pop({xv}) > 0 AND var_pop({yv}) > 0
+  THEN covar_pop({xv}, {yv}) / sqrt(var_pop({xv}) * var_pop({yv})) END AS corr FROM feat""")
+    return with_(feat_cte(), body="SELECT x, y, round(corr, 6) AS corr FROM (\n"
+                 + "\nUNION ALL\n".join(parts) + "\n)")
+
+
+def report_scatter() -> str:
+    return with_(*_scored_ctes(), body=f"""SELECT r.user_id, {r6('z.value_avg')} AS x, {r6('z.value_std')} AS y,
+  CAST(r.cluster AS INTEGER) AS cluster FROM ranked r JOIN z ON z.user_id = r.user_id""")
+
+
+def report_threshold() -> str:
+    return with_(*_scored_ctes(), ("thr", "SELECT quantile_cont(final_anomaly_score, 0.9) AS t FROM ranked"),
+                 body=f"""SELECT CAST(rank - 1 AS BIGINT) AS position, {r6('final_anomaly_score')} AS final_anomaly_score,
+  final_anomaly_score >= t AS is_anomaly, {r6('t')} AS threshold FROM ranked, thr""")
+
+
+def report_detail() -> str:
+    return with_(*_scored_ctes(), body="""SELECT user_id, round(final_anomaly_score, 4) AS final_anomaly_score,
+  rank, CAST(cluster AS INTEGER) AS cluster FROM ranked WHERE rank <= 20""")
+
+
 SQL = {
     "feature_columns": feature_columns,
     "dataset_summary": dataset_summary,
@@ -358,6 +483,21 @@ SQL = {
     "export_top_k": export_top_k,
     "pipeline": pipeline,
     "extended_results": extended_results,
+    "distinct_users": distinct_users,
+    "common_users": common_users,
+    "sample_users": sample_users,
+    "sample_table": sample_table,
+    "cohort_filter": cohort_filter,
+    "cohort_report": cohort_report,
+    "cohort_reduce": cohort_reduce,
+    "report_overview": report_overview,
+    "report_top_bars": report_top_bars,
+    "report_histogram": report_histogram,
+    "report_cluster_sizes": report_cluster_sizes,
+    "report_correlation": report_correlation,
+    "report_scatter": report_scatter,
+    "report_threshold": report_threshold,
+    "report_detail": report_detail,
 }
 
 
