@@ -91,7 +91,7 @@ def mllib_kmeans(vecs: DataFrame, k: int, seed: int = 42, n_starts: int = 10,
     n = vecs.count()
     if n < k:
         raise ValueError(f"too few users ({n}) for {k} clusters")
-    data = vecs.select(array_to_vector(vec_col).alias("features")).persist(StorageLevel.MEMORY_AND_DISK)
+    data = vecs.select(array_to_vector(vec_col).alias("features")).persist(StorageLevel.MEMORY_AND_DISK_DESER)
     try:
         best = None
         for s in range(seed, seed + n_starts):
@@ -190,7 +190,7 @@ def find_optimal_k(vecs: DataFrame, k_range: Sequence[int] = tuple(range(2, 11))
         d2.append(F.array_min(d2s))
     tagged = vecs.select(F.col(id_col), F.col(vec_col), F.array(*labs).alias("_labs"),
                          F.array(*d2).alias("_d2"))
-    tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK)
+    tagged = tagged.persist(StorageLevel.MEMORY_AND_DISK_DESER)
     try:
         inert = tagged.agg(*[F.sum(F.col("_d2")[i]).alias(f"i{i}") for i in range(len(ks))]).first()
         sils = silhouette_scores(tagged, "_labs", len(ks), id_col, vec_col, block_size)

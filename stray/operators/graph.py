@@ -2,14 +2,15 @@
 
 Vertices are all users, edges (src < dst, weight) come from the pair
 kernel. Iterative jobs run one DataFrame step per iteration and cut the
-lineage through the shared checkpoint folder each round, so a lost
-executor only recomputes the current step.
+lineage through the shared checkpoint folder every few steps, so a lost
+executor only replays the steps since the last checkpoint.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,53 +43,77 @@ def degree_centrality(nodes: DataFrame, edges: DataFrame, n: int | None = None)
 
 def pagerank(nodes: DataFrame, edges: DataFrame, alpha: float = 0.85, max_iter: int = 100,
              tol: float | None = 1e-6, broadcast_max_rows: int = 2_000_000,
-             n: int | None = None) -> DataFrame:
+             n: int | None = None, checkpoint_every: int = 5) -> DataFrame:
     """Weighted PageRank of the undirected graph: (id, pagerank).
 
     Power iteration x' = alpha (x P + D/n) + (1 - alpha)/n with P the
     out-weight-normalised transition and D the mass on dangling nodes.
     tol=None runs exactly `max_iter` steps; otherwise stops when the L1
     change < n * tol and raises if that never happens.
+
+    One job per step: the step's aggregate (L1 change, next dangling mass)
+    also materialises the persisted ranks. The transition table stays
+    persisted; while n is under `broadcast_max_rows` the rank vector and the
+    per-target sums (both n rows) travel by broadcast, so the only shuffle is
+    the partial-aggregated contributions. Above the bound both joins are
+    shuffle joins and the transitions are pre-partitioned by source. Every
+    `checkpoint_every` steps the ranks go to the shared checkpoint folder,
+    so a lost executor never replays more than that many steps.
     """
     if n is None:
         n = nodes.count()
     spark = nodes.sparkSession
     if n == 0:
         return spark.createDataFrame([], "id long, pagerank double")
-    nparts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    small = n <= broadcast_max_rows
     d = both_directions(edges)
     outw = d.groupBy("a").agg(F.sum("w").alias("sw"))
-    trans = reliable_checkpoint(
-        d.join(outw, "a").select("a", "b", (F.col("w") / F.col("sw")).alias("p"))
-        .repartition(nparts, "a"))
+    trans = d.join(outw, "a").select("a", "b", (F.col("w") / F.col("sw")).alias("p"))
+    if not small:   # ranks will be shuffled to the transitions: keep them co-partitioned
+        nparts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        trans = trans.repartition(nparts, "a")
+    trans = trans.persist(StorageLevel.MEMORY_AND_DISK_DESER)
     verts = nodes.select("id").join(outw.select(F.col("a").alias("id"), F.lit(True).alias("has_out")),
                                     "id", "left")
     ranks = reliable_checkpoint(verts.select(
         "id", F.col("has_out").isNull().alias("dangling"), F.lit(1.0 / n).alias("r")))
     dang = ranks.agg(F.sum(F.when(F.col("dangling"), F.col("r")).otherwise(0.0))).first()[0] or 0.0
     base = (1.0 - alpha) / n
-    for _ in range(max_iter):
-        cur = sized_broadcast(ranks.select(F.col("id").alias("a"), F.col("r").alias("rp")),
-                              n, broadcast_max_rows)
-        contrib = trans.join(cur, "a").select(
-            F.col("b").alias("id"), F.lit(None).cast("boolean").alias("dangling"),
-            F.lit(None).cast("double").alias("r_old"), (F.col("rp") * F.col("p")).alias("s"))
-        prev = ranks.select("id", "dangling", F.col("r").alias("r_old"), F.lit(0.0).alias("s"))
-        new = (prev.unionByName(contrib).groupBy("id")
-               .agg(F.max("dangling").alias("dangling"), F.max("r_old").alias("r_old"),
-                    F.sum("s").alias("s"))
-               .select("id", "dangling", "r_old",
-                       (F.lit(alpha) * (F.col("s") + F.lit(dang / n)) + F.lit(base)).alias("r")))
-        new = reliable_checkpoint(new)
-        row = new.agg(F.sum(F.abs(F.col("r") - F.col("r_old"))).alias("err"),
-                      F.sum(F.when(F.col("dangling"), F.col("r")).otherwise(0.0)).alias("dm")).first()
-        ranks = new.select("id", "dangling", "r")
-        dang = row["dm"] or 0.0
-        if tol is not None and row["err"] < n * tol:
-            return ranks.select("id", F.col("r").alias("pagerank"))
-    if tol is not None:
-        raise PageRankNotConverged(f"PageRank did not converge in {max_iter} iterations")
-    return ranks.select("id", F.col("r").alias("pagerank"))
+    held: list[DataFrame] = []
+    converged = False
+    try:
+        for step in range(1, max_iter + 1):
+            cur = sized_broadcast(ranks.select(F.col("id").alias("a"), F.col("r").alias("rp")),
+                                  n, broadcast_max_rows)
+            # map-side: one partial sum per (partition, target) before the shuffle
+            contrib = (trans.join(cur, "a").groupBy(F.col("b").alias("id"))
+                       .agg(F.sum(F.col("rp") * F.col("p")).alias("s")))
+            new = (ranks.join(sized_broadcast(contrib, n, broadcast_max_rows), "id", "left")
+                   .select("id", "dangling", F.col("r").alias("r_old"),
+                           (F.lit(alpha) * (F.coalesce("s", F.lit(0.0)) + F.lit(dang / n))
+                            + F.lit(base)).alias("r"))
+                   .persist(StorageLevel.MEMORY_AND_DISK_DESER))
+            row = new.agg(F.sum(F.abs(F.col("r") - F.col("r_old"))).alias("err"),
+                          F.sum(F.when(F.col("dangling"), F.col("r")).otherwise(0.0)).alias("dm")).first()
+            held.append(new)
+            ranks = new.select("id", "dangling", "r")
+            if step % checkpoint_every == 0:
+                ranks = reliable_checkpoint(ranks)
+                for h in held:
+                    h.unpersist()
+                held = []
+            dang = row["dm"] or 0.0
+            if tol is not None and row["err"] < n * tol:
+                converged = True
+                break
+        if tol is not None and not converged:
+            raise PageRankNotConverged(f"PageRank did not converge in {max_iter} iterations")
+        result = reliable_checkpoint(ranks.select("id", F.col("r").alias("pagerank")))
+    finally:
+        for h in held:
+            h.unpersist()
+        trans.unpersist()
+    return result
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 64) -> DataFrame:

@@ -49,7 +49,7 @@ def run_pipeline(features_df: DataFrame, features: Sequence[str],
         check_unique_ids(features_df, id_col)
     df = features_df if id_col == "user_id" else features_df.withColumnRenamed(id_col, "user_id")
     normalized, model = zscore(df, features, "user_id", config.nulls)
-    vecs = as_vectors(normalized, model.features).persist(StorageLevel.MEMORY_AND_DISK)
+    vecs = as_vectors(normalized, model.features).persist(StorageLevel.MEMORY_AND_DISK_DESER)
     n = vecs.count()
     if n == 0:
         raise ValueError("no users")
