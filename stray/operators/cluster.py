@@ -75,6 +75,37 @@ def lloyd(vecs: DataFrame, init: Centroids, iterations: int, tol: float | None =
     return cents, steps
 
 
+def lloyd_many(vecs: DataFrame, inits: Sequence[Centroids], iterations: int,
+               tol: float | None = None, vec_col: str = "z") -> list[Centroids]:
+    """Several independent Lloyd runs (e.g. one per k) sharing each pass over
+    the data: one projection labels every row for every run, one
+    groupBy(run, cluster) updates all centroids. A run that has converged
+    (shift <= tol) is frozen."""
+    cents = [[list(c) for c in init] for init in inits]
+    d = len(cents[0][0])
+    active = [True] * len(cents)
+    for _ in range(iterations):
+        if not any(active):
+            break
+        labs = []
+        for cs in cents:
+            d2s = _argmin_cluster(vec_col, cs)
+            labs.append((F.array_position(d2s, F.array_min(d2s)) - 1).cast("int"))
+        rows = (vecs.select(F.col(vec_col), F.posexplode(F.array(*labs)).alias("run", "cluster"))
+                .groupBy("run", "cluster")
+                .agg(*[F.avg(F.col(vec_col)[i]).alias(f"c{i}") for i in range(d)]).collect())
+        new = [[list(c) for c in cs] for cs in cents]
+        for r in rows:
+            if active[r["run"]]:
+                new[r["run"]][r["cluster"]] = [float(r[f"c{i}"]) for i in range(d)]
+        for j, (o, nw) in enumerate(zip(cents, new)):
+            shift = max(sum((x - y) ** 2 for x, y in zip(a, b)) for a, b in zip(o, nw))
+            if tol is not None and shift <= tol:
+                active[j] = False
+        cents = new
+    return cents
+
+
 @dataclass(frozen=True)
 class KMeansFit:
     k: int
@@ -182,7 +213,12 @@ def find_optimal_k(vecs: DataFrame, k_range: Sequence[int] = tuple(range(2, 11))
     (k, inertia, silhouette)). Best = highest silhouette, first k on ties."""
     spark = vecs.sparkSession
     ks = list(k_range)
-    fits = [fit_centroids(vecs, k, init, seed, n_starts, max_iter, tol, id_col, vec_col) for k in ks]
+    if init == "lowest_ids":
+        fits = lloyd_many(vecs, [lowest_id_centroids(vecs, k, id_col, vec_col) for k in ks],
+                          max_iter, tol, vec_col)
+    else:
+        fits = [fit_centroids(vecs, k, init, seed, n_starts, max_iter, tol, id_col, vec_col)
+                for k in ks]
     labs, d2 = [], []
     for cents in fits:
         d2s = _argmin_cluster(vec_col, cents)
