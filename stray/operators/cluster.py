@@ -27,8 +27,8 @@ def centroids_literal(centroids: Centroids):
 
 
 def _argmin_cluster(vec_col: str, centroids: Centroids):
-    d2s = F.transform(centroids_literal(centroids), lambda c: sq_dist(vec_col, c))
-    return d2s
+    """Squared distances to each centroid, as one array column."""
+    return F.transform(centroids_literal(centroids), lambda c: sq_dist(vec_col, c))
 
 
 def assign_clusters(vecs: DataFrame, centroids: Centroids, vec_col: str = "z",
@@ -87,11 +87,11 @@ def lloyd_many(vecs: DataFrame, inits: Sequence[Centroids], iterations: int,
     for _ in range(iterations):
         if not any(active):
             break
-        labs = []
-        for cs in cents:
-            d2s = _argmin_cluster(vec_col, cs)
-            labs.append((F.array_position(d2s, F.array_min(d2s)) - 1).cast("int"))
-        rows = (vecs.select(F.col(vec_col), F.posexplode(F.array(*labs)).alias("run", "cluster"))
+        # distances first (one column), argmin in a second projection
+        dists = vecs.select(F.col(vec_col),
+                            F.array(*[_argmin_cluster(vec_col, cs) for cs in cents]).alias("_d"))
+        labs = F.transform("_d", lambda x: (F.array_position(x, F.array_min(x)) - 1).cast("int"))
+        rows = (dists.select(F.col(vec_col), F.posexplode(labs).alias("run", "cluster"))
                 .groupBy("run", "cluster")
                 .agg(*[F.avg(F.col(vec_col)[i]).alias(f"c{i}") for i in range(d)]).collect())
         new = [[list(c) for c in cs] for cs in cents]
