@@ -2,8 +2,8 @@
 
 Vertices are all users, edges (src < dst, weight) come from the pair
 kernel. Iterative jobs run one DataFrame step per iteration and cut the
-lineage through the shared checkpoint folder every few steps, so a lost
-executor only replays the steps since the last checkpoint.
+lineage through the shared checkpoint folder each step, so plans stay one
+step deep and a lost executor only replays the current step.
 """
 
 from __future__ import annotations
@@ -43,7 +43,7 @@ def degree_centrality(nodes: DataFrame, edges: DataFrame, n: int | None = None)
 
 def pagerank(nodes: DataFrame, edges: DataFrame, alpha: float = 0.85, max_iter: int = 100,
              tol: float | None = 1e-6, broadcast_max_rows: int = 2_000_000,
-             n: int | None = None, checkpoint_every: int = 5) -> DataFrame:
+             n: int | None = None) -> DataFrame:
     """Weighted PageRank of the undirected graph: (id, pagerank).
 
     Power iteration x' = alpha (x P + D/n) + (1 - alpha)/n with P the
@@ -51,14 +51,13 @@ def pagerank(nodes: DataFrame, edges: DataFrame, alpha: float = 0.85, max_iter:
     tol=None runs exactly `max_iter` steps; otherwise stops when the L1
     change < n * tol and raises if that never happens.
 
-    One job per step: the step's aggregate (L1 change, next dangling mass)
-    also materialises the persisted ranks. The transition table stays
-    persisted; while n is under `broadcast_max_rows` the rank vector and the
+    Each step writes its n-row rank frame to the shared checkpoint folder
+    (plans stay one step deep; a lost executor replays one step) and one
+    small aggregate gives the L1 change and the next dangling mass. The
+    transition table stays persisted; while n is under `broadcast_max_rows` the rank vector and the
     per-target sums (both n rows) travel by broadcast, so the only shuffle is
     the partial-aggregated contributions. Above the bound both joins are
-    shuffle joins and the transitions are pre-partitioned by source. Every
-    `checkpoint_every` steps the ranks go to the shared checkpoint folder,
-    so a lost executor never replays more than that many steps.
+    shuffle joins and the transitions are pre-partitioned by source.
     """
     if n is None:
         n = nodes.count()
@@ -79,41 +78,31 @@ def pagerank(nodes: DataFrame, edges: DataFrame, alpha: float = 0.85, max_iter:
         "id", F.col("has_out").isNull().alias("dangling"), F.lit(1.0 / n).alias("r")))
     dang = ranks.agg(F.sum(F.when(F.col("dangling"), F.col("r")).otherwise(0.0))).first()[0] or 0.0
     base = (1.0 - alpha) / n
-    held: list[DataFrame] = []
     converged = False
     try:
-        for step in range(1, max_iter + 1):
+        for _ in range(max_iter):
             cur = sized_broadcast(ranks.select(F.col("id").alias("a"), F.col("r").alias("rp")),
                                   n, broadcast_max_rows)
             # map-side: one partial sum per (partition, target) before the shuffle
             contrib = (trans.join(cur, "a").groupBy(F.col("b").alias("id"))
                        .agg(F.sum(F.col("rp") * F.col("p")).alias("s")))
-            new = (ranks.join(sized_broadcast(contrib, n, broadcast_max_rows), "id", "left")
-                   .select("id", "dangling", F.col("r").alias("r_old"),
-                           (F.lit(alpha) * (F.coalesce("s", F.lit(0.0)) + F.lit(dang / n))
-                            + F.lit(base)).alias("r"))
-                   .persist(StorageLevel.MEMORY_AND_DISK_DESER))
+            new = reliable_checkpoint(
+                ranks.join(sized_broadcast(contrib, n, broadcast_max_rows), "id", "left")
+                .select("id", "dangling", F.col("r").alias("r_old"),
+                        (F.lit(alpha) * (F.coalesce("s", F.lit(0.0)) + F.lit(dang / n))
+                         + F.lit(base)).alias("r")))
             row = new.agg(F.sum(F.abs(F.col("r") - F.col("r_old"))).alias("err"),
                           F.sum(F.when(F.col("dangling"), F.col("r")).otherwise(0.0)).alias("dm")).first()
-            held.append(new)
             ranks = new.select("id", "dangling", "r")
-            if step % checkpoint_every == 0:
-                ranks = reliable_checkpoint(ranks)
-                for h in held:
-                    h.unpersist()
-                held = []
             dang = row["dm"] or 0.0
             if tol is not None and row["err"] < n * tol:
                 converged = True
                 break
         if tol is not None and not converged:
             raise PageRankNotConverged(f"PageRank did not converge in {max_iter} iterations")
-        result = reliable_checkpoint(ranks.select("id", F.col("r").alias("pagerank")))
     finally:
-        for h in held:
-            h.unpersist()
         trans.unpersist()
-    return result
+    return ranks.select("id", F.col("r").alias("pagerank"))
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 64) -> DataFrame:

@@ -92,6 +92,7 @@ def run_pipeline(features_df: DataFrame, features: Sequence[str],
                              *[F.col("z")[i].alias(c) for i, c in enumerate(model.features)],
                              "cluster", "cluster_distance", "final_anomaly_score", "rank")
     summary = score_summary(results, config.normalized_weights()) if config.show_summary else None
+    vecs.unpersist()   # results/extended read the rank checkpoint; the rest recomputes lazily
     return PipelineResult(results, extended, normalized, model, cl.k, cl.centroids, cl.k_table,
                           cf, graph, summary)
 
