@@ -95,3 +95,18 @@ def export_results(df: DataFrame, path: str, top_k: int | None = None, fmt: str
     out = df if top_k is None else top_anomalies(df, top_k, score)
     save_table(out, path, fmt)
     return out
+
+
+def combine_anomaly_scores(cluster: DataFrame, cf: DataFrame, graph: DataFrame,
+                           weight_cluster: float = 0.3, weight_cf: float = 0.4,
+                           weight_graph: float = 0.3, output_path: str | None = None,
+                           show_summary: bool = True, fmt: str = "csv"
+                           ) -> tuple[DataFrame, DataFrame | None]:
+    """Combine + rank, optionally export (S7) and summarise."""
+    ranked = rank_scores(combine_scores(cluster, cf, graph, weight_cluster, weight_cf, weight_graph))
+    if output_path:
+        export_results(ranked, output_path, fmt=fmt)
+    summary = None
+    if show_summary:
+        summary = score_summary(ranked, normalize_weights(weight_cluster, weight_cf, weight_graph))
+    return ranked, summary
