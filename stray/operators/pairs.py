@@ -145,20 +145,6 @@ def _pair_values(diagonal, L, R, id_col, vec_col) -> np.ndarray:
     return s.ravel() if mask is None else s[mask]
 
 
-def moments_kernel(id_col: str, vec_col: str):
-    """One row per block pair: count, mean, M2, min, max of the unique-pair cosines."""
-
-    def k(diagonal, L, R):
-        v = _pair_values(diagonal, L, R, id_col, vec_col)
-        if v.size == 0:
-            return pd.DataFrame({"n": [], "mean": [], "m2": [], "vmin": [], "vmax": []})
-        mu = float(v.mean())
-        return pd.DataFrame({"n": [int(v.size)], "mean": [mu],
-                             "m2": [float(((v - mu) ** 2).sum())],
-                             "vmin": [float(v.min())], "vmax": [float(v.max())]})
-    return k
-
-
 def histogram_kernel(id_col: str, vec_col: str, intervals: Sequence[tuple[float, float]],
                      nbins: int):
     """For each interval q=[lo, hi]: count below lo (bin -1) and, per equal-width
@@ -189,6 +175,31 @@ def histogram_kernel(id_col: str, vec_col: str, intervals: Sequence[tuple[float,
     return k
 
 
+def histogram_moments_kernel(id_col: str, vec_col: str, lo: float, hi: float, nbins: int):
+    """One pass over the unique-pair cosines in [lo, hi]: per equal-width bin the
+    count, sum, squared deviation from the bin mean, min and max. Summing the
+    bins gives the moments; the bins seed exact rank selection."""
+
+    def k(diagonal, L, R):
+        v = _pair_values(diagonal, L, R, id_col, vec_col)
+        v = v[(v >= lo) & (v <= hi)]
+        if v.size == 0:
+            return pd.DataFrame({"bin": [], "n": [], "s1": [], "m2": [], "vmin": [], "vmax": []})
+        b = np.clip(np.floor((v - lo) / (hi - lo) * nbins).astype(np.int64), 0, nbins - 1)
+        order = np.argsort(b, kind="stable")
+        bs, vs = b[order], v[order]
+        uniq, start = np.unique(bs, return_index=True)
+        ends = np.append(start[1:], bs.size)
+        rows = []
+        for u, s0, e0 in zip(uniq, start, ends):
+            seg = vs[s0:e0]
+            mu = seg.mean()
+            rows.append((int(u), int(seg.size), float(seg.sum()), float(((seg - mu) ** 2).sum()),
+                         float(seg.min()), float(seg.max())))
+        return pd.DataFrame(rows, columns=["bin", "n", "s1", "m2", "vmin", "vmax"])
+    return k
+
+
 def values_kernel(id_col: str, vec_col: str, intervals: Sequence[tuple[float, float]]):
     """The unique-pair cosines inside each (small) interval q."""
 

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +22,7 @@ from stray.operators import pairs as P
 
 VALUES_CAP = 200_000     # pair values the driver may receive for one quantile
 HIST_BINS = 4096
+COS_SLACK = 1e-6         # cosines computed in floating point may leave [-1, 1] by an ulp
 
 
 def unit_vectors(vecs: DataFrame, id_col: str = "user_id", vec_col: str = "z") -> DataFrame:
@@ -145,11 +148,12 @@ def cf_anomalies(vecs: DataFrame, threshold_percentile: float = 25.0, id_col: st
                       F.coalesce(flag, F.lit(False)).alias("is_anomaly"))
 
 
-def _pair_rank_values(units: DataFrame, nb: int, ranks: list[int], n_pairs: int,
-                      vmin: float, vmax: float, cap: int = VALUES_CAP) -> dict[int, float]:
-    """Exact values at 0-based positions `ranks` of the sorted unique-pair cosines,
-    by histogram narrowing; the driver only ever receives bins and <= cap values."""
-    state = {r: (vmin, vmax, 0, n_pairs) for r in ranks}   # lo, hi, below, count inside
+def _pair_rank_values(units: DataFrame, nb: int, state: dict[int, tuple[float, float, int, int]],
+                      cap: int = None) -> dict[int, float]:
+    """Exact values at 0-based positions of the sorted unique-pair cosines, by
+    histogram narrowing. `state[r] = (lo, hi, below, count)` brackets rank r.
+    The driver only ever receives bins and at most `cap` values per interval."""
+    cap = VALUES_CAP if cap is None else cap
     done: dict[int, float] = {}
     for _ in range(12):
         pending = {r: st for r, st in state.items() if r not in done}
@@ -187,44 +191,64 @@ def _pair_rank_values(units: DataFrame, nb: int, ranks: list[int], n_pairs: int,
             for b in bins:
                 by_q.setdefault(b["q"], []).append((b["bin"], b["n"], b["vmin"], b["vmax"]))
             for r, (lo, hi, below) in big.items():
-                run = below
-                for _, n, bmin, bmax in sorted(by_q.get(qi[(lo, hi)], [])):
-                    if r < run + n:
-                        state[r] = (bmin, bmax, run, n)
-                        break
-                    run += n
+                state[r] = _locate(sorted(by_q.get(qi[(lo, hi)], [])), r, below)
     return done
 
 
+def _locate(bins, r: int, below: int) -> tuple[float, float, int, int]:
+    """The bin (sorted (bin, n, vmin, vmax)) holding rank r -> its new bracket."""
+    run = below
+    for _, n, bmin, bmax in bins:
+        if r < run + n:
+            return (bmin, bmax, run, n)
+        run += n
+    raise RuntimeError("rank outside the histogram")
+
+
 def similarity_statistics(vecs: DataFrame, id_col: str = "user_id", vec_col: str = "z",
                           block_size: int = 2048) -> DataFrame:
     """mean, median, std (population), min, max, q25, q75 over the off-diagonal
-    similarities, each unordered pair counted twice as in the full matrix."""
+    similarities, each unordered pair counted twice as in the full matrix.
+
+    Cosines lie in [-1, 1], so the first pair pass bins all of them and sums the
+    bins into the moments at once; ranks are then narrowed inside their bins.
+    When every pair fits the driver bound, one pass returns the values."""
     spark = vecs.sparkSession
     units = unit_vectors(vecs, id_col, vec_col).withColumnRenamed(id_col, "user_id")
-    nb = _n_blocks(units, block_size)
-    mom = P.run_pairs(units, "user_id", ["user_id", "u"], nb,
-                      P.moments_kernel("user_id", "u"),
-                      "n long, mean double, m2 double, vmin double, vmax double")
-    r = mom.agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("mean")).alias("s1"),
-                F.sum(F.col("n") * F.col("mean") * F.col("mean")).alias("s2"),
-                F.sum("m2").alias("m2"), F.min("vmin").alias("vmin"),
-                F.max("vmax").alias("vmax")).first()
-    n = int(r["n"] or 0)
+    n_users = units.count()
+    n = n_users * (n_users - 1) // 2                # unique pairs
     metrics = ["mean", "median", "std", "min", "max", "q25", "q75"]
     if n == 0:
         return spark.createDataFrame([(m, None) for m in metrics], "metric string, value double")
-    mean = r["s1"] / n
-    m2 = max(0.0, r["m2"] + r["s2"] - r["s1"] * r["s1"] / n)
-    std = (m2 / n) ** 0.5
-    full = 2 * n                                   # ordered off-diagonal entries
-    targets = rank_targets(full, [50, 25, 75])
+    nb = P.n_blocks_for(n_users, block_size)
+    lo0, hi0 = -1.0 - COS_SLACK, 1.0 + COS_SLACK
+    targets = rank_targets(2 * n, [50, 25, 75])     # ordered off-diagonal entries
     ranks = sorted({x // 2 for lo, hi, _ in targets for x in (lo, hi)})
-    vals = _pair_rank_values(units, nb, ranks, n, r["vmin"], r["vmax"])
+    if n <= VALUES_CAP:
+        v = np.sort(np.array([r["v"] for r in P.run_pairs(
+            units, "user_id", ["user_id", "u"], nb, P.values_kernel("user_id", "u", [(lo0, hi0)]),
+            "q long, v double").collect()]))
+        mean, std, vmin, vmax = float(v.mean()), float(v.std()), float(v[0]), float(v[-1])
+        vals = {r: float(v[r]) for r in ranks}
+    else:
+        h = P.run_pairs(units, "user_id", ["user_id", "u"], nb,
+                        P.histogram_moments_kernel("user_id", "u", lo0, hi0, HIST_BINS),
+                        "bin long, n long, s1 double, m2 double, vmin double, vmax double")
+        bins = (h.groupBy("bin").agg(
+            F.sum("n").alias("n"), F.sum("s1").alias("s1"),
+            F.sum(F.col("s1") * F.col("s1") / F.col("n")).alias("s2"), F.sum("m2").alias("m2"),
+            F.min("vmin").alias("vmin"), F.max("vmax").alias("vmax")).orderBy("bin").collect())
+        tot = sum(b["n"] for b in bins)
+        s1 = sum(b["s1"] for b in bins)
+        m2 = max(0.0, sum(b["m2"] for b in bins) + sum(b["s2"] for b in bins) - s1 * s1 / tot)
+        mean, std = s1 / tot, (m2 / tot) ** 0.5
+        vmin, vmax = min(b["vmin"] for b in bins), max(b["vmax"] for b in bins)
+        hist = [(b["bin"], b["n"], b["vmin"], b["vmax"]) for b in bins]
+        vals = _pair_rank_values(units, nb, {r: _locate(hist, r, 0) for r in ranks})
     q = [interpolate(vals[lo // 2], vals[hi // 2], f) for lo, hi, f in targets]
-    rows = [("mean", mean), ("median", q[0]), ("std", std), ("min", r["vmin"]),
-            ("max", r["vmax"]), ("q25", q[1]), ("q75", q[2])]
-    return spark.createDataFrame([(m, float(v)) for m, v in rows], "metric string, value double")
+    rows = [("mean", mean), ("median", q[0]), ("std", std), ("min", vmin),
+            ("max", vmax), ("q25", q[1]), ("q75", q[2])]
+    return spark.createDataFrame([(m, float(x)) for m, x in rows], "metric string, value double")
 
 
 def detect_anomalies_cf(vecs: DataFrame, threshold_percentile: float = 25.0,

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from helpers import collect_map, cosine_matrix, rand_vectors, vec_frame
 from stray.operators import similarity as S
-from stray.operators.similarity import _pair_rank_values  # noqa: F401
+
 
 
 def test_zero_vector_and_identical_users(spark):
