@@ -145,33 +145,37 @@ def _pair_values(diagonal, L, R, id_col, vec_col) -> np.ndarray:
     return s.ravel() if mask is None else s[mask]
 
 
+def _bin_runs(v: np.ndarray, lo: float, hi: float, nbins: int):
+    """Sort v (all inside [lo, hi]) and cut it into runs of equal bin index;
+    bins are monotone in v, so each run is one bin. Returns (bins, starts, ends, sorted v)."""
+    vs = np.sort(v)
+    if hi > lo:
+        b = np.clip(np.floor((vs - lo) / (hi - lo) * nbins).astype(np.int64), 0, nbins - 1)
+    else:
+        b = np.zeros(vs.size, dtype=np.int64)
+    starts = np.concatenate(([0], np.flatnonzero(np.diff(b)) + 1))
+    ends = np.append(starts[1:], vs.size)
+    return b[starts], starts, ends, vs
+
+
 def histogram_kernel(id_col: str, vec_col: str, intervals: Sequence[tuple[float, float]],
                      nbins: int):
-    """For each interval q=[lo, hi]: count below lo (bin -1) and, per equal-width
-    bin, count / min / max of the unique-pair cosines inside it."""
+    """For each interval q=[lo, hi]: per equal-width bin, count / min / max of the
+    unique-pair cosines inside it."""
 
     def k(diagonal, L, R):
         v = _pair_values(diagonal, L, R, id_col, vec_col)
-        rows = []
+        parts = []
         for q, (lo, hi) in enumerate(intervals):
-            below = int((v < lo).sum())
             inside = v[(v >= lo) & (v <= hi)]
-            rows.append((q, -1, below, np.nan, np.nan))
-            if inside.size:
-                width = hi - lo
-                if width > 0:
-                    b = np.floor((inside - lo) / width * nbins).astype(np.int64)
-                    b = np.clip(b, 0, nbins - 1)
-                else:
-                    b = np.zeros(inside.size, dtype=np.int64)
-                order = np.argsort(b, kind="stable")
-                bs, vs = b[order], inside[order]
-                uniq, start = np.unique(bs, return_index=True)
-                ends = np.append(start[1:], bs.size)
-                for u, s0, e0 in zip(uniq, start, ends):
-                    seg = vs[s0:e0]
-                    rows.append((q, int(u), int(seg.size), float(seg.min()), float(seg.max())))
-        return pd.DataFrame(rows, columns=["q", "bin", "n", "vmin", "vmax"])
+            if inside.size == 0:
+                continue
+            bins, starts, ends, vs = _bin_runs(inside, lo, hi, nbins)
+            parts.append(pd.DataFrame({"q": np.full(bins.size, q, dtype=np.int64), "bin": bins,
+                                       "n": ends - starts, "vmin": vs[starts], "vmax": vs[ends - 1]}))
+        if not parts:
+            return pd.DataFrame({"q": [], "bin": [], "n": [], "vmin": [], "vmax": []})
+        return pd.concat(parts, ignore_index=True)
     return k
 
 
@@ -185,18 +189,13 @@ def histogram_moments_kernel(id_col: str, vec_col: str, lo: float, hi: float, nb
         v = v[(v >= lo) & (v <= hi)]
         if v.size == 0:
             return pd.DataFrame({"bin": [], "n": [], "s1": [], "m2": [], "vmin": [], "vmax": []})
-        b = np.clip(np.floor((v - lo) / (hi - lo) * nbins).astype(np.int64), 0, nbins - 1)
-        order = np.argsort(b, kind="stable")
-        bs, vs = b[order], v[order]
-        uniq, start = np.unique(bs, return_index=True)
-        ends = np.append(start[1:], bs.size)
-        rows = []
-        for u, s0, e0 in zip(uniq, start, ends):
-            seg = vs[s0:e0]
-            mu = seg.mean()
-            rows.append((int(u), int(seg.size), float(seg.sum()), float(((seg - mu) ** 2).sum()),
-                         float(seg.min()), float(seg.max())))
-        return pd.DataFrame(rows, columns=["bin", "n", "s1", "m2", "vmin", "vmax"])
+        bins, starts, ends, vs = _bin_runs(v, lo, hi, nbins)
+        cnt = ends - starts
+        s1 = np.add.reduceat(vs, starts)
+        mean = np.repeat(s1 / cnt, cnt)
+        m2 = np.add.reduceat((vs - mean) ** 2, starts)
+        return pd.DataFrame({"bin": bins, "n": cnt, "s1": s1, "m2": m2,
+                             "vmin": vs[starts], "vmax": vs[ends - 1]})
     return k
 
 

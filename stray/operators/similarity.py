@@ -184,7 +184,7 @@ def _pair_rank_values(units: DataFrame, nb: int, state: dict[int, tuple[float, f
             h = P.run_pairs(units, "user_id", ["user_id", "u"], nb,
                             P.histogram_kernel("user_id", "u", ivs, HIST_BINS),
                             "q long, bin long, n long, vmin double, vmax double")
-            bins = (h.where(F.col("bin") >= 0).groupBy("q", "bin")
+            bins = (h.groupBy("q", "bin")
                     .agg(F.sum("n").alias("n"), F.min("vmin").alias("vmin"),
                          F.max("vmax").alias("vmax")).collect())
             by_q: dict[int, list] = {}
