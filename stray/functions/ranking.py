@@ -21,10 +21,13 @@ from stray.session import reliable_checkpoint
 def global_rank(df: DataFrame, order: Sequence[Column], name: str = "rank",
                 n_partitions: int | None = None) -> DataFrame:
     """Append `name` = 1..N following `order` (which must be a total order)."""
-    spark = df.sparkSession
+    # without an explicit count AQE may merge adjacent ranges (order is kept);
+    # the checkpoint then fixes whatever partitioning was chosen
     if n_partitions is None:
-        n_partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ordered = df.repartitionByRange(n_partitions, *order).sortWithinPartitions(*order)
+        ordered = df.repartitionByRange(*order)
+    else:
+        ordered = df.repartitionByRange(n_partitions, *order)
+    ordered = ordered.sortWithinPartitions(*order)
     ck = reliable_checkpoint(ordered)
     tagged = ck.select("*", F.spark_partition_id().alias("_pid"),
                        F.monotonically_increasing_id().alias("_mid"))

@@ -8,6 +8,7 @@ step deep and a lost executor only replays the current step.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
@@ -19,6 +20,9 @@ from stray.functions.stats import minmax_bounds, minmax_eps
 from stray.session import reliable_checkpoint, sized_broadcast
 
 
+TRANS_ROWS_PER_PARTITION = 2_000_000   # transition rows (24 bytes each) per scan task
+
+
 class PageRankNotConverged(RuntimeError):
     pass
 
@@ -71,7 +75,11 @@ def pagerank(nodes: DataFrame, edges: DataFrame, alpha: float = 0.85, max_iter:
     if not small:   # ranks will be shuffled to the transitions: keep them co-partitioned
         nparts = int(spark.conf.get("spark.sql.shuffle.partitions"))
         trans = trans.repartition(nparts, "a")
-    trans = trans.persist(StorageLevel.MEMORY_AND_DISK_DESER)
+    cached = trans.persist(StorageLevel.MEMORY_AND_DISK_DESER)
+    m2 = cached.count()
+    trans = cached
+    if small:   # a cached plan keeps its shuffle width; narrow it to the data size
+        trans = cached.coalesce(max(1, math.ceil(m2 / TRANS_ROWS_PER_PARTITION)))
     verts = nodes.select("id").join(outw.select(F.col("a").alias("id"), F.lit(True).alias("has_out")),
                                     "id", "left")
     ranks = reliable_checkpoint(verts.select(
@@ -101,7 +109,7 @@ def pagerank(nodes: DataFrame, edges: DataFrame, alpha: float = 0.85, max_iter:
         if tol is not None and not converged:
             raise PageRankNotConverged(f"PageRank did not converge in {max_iter} iterations")
     finally:
-        trans.unpersist()
+        cached.unpersist()
     return ranks.select("id", F.col("r").alias("pagerank"))
 
 

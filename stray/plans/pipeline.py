@@ -11,7 +11,6 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,7 +48,9 @@ def run_pipeline(features_df: DataFrame, features: Sequence[str],
         check_unique_ids(features_df, id_col)
     df = features_df if id_col == "user_id" else features_df.withColumnRenamed(id_col, "user_id")
     normalized, model = zscore(df, features, "user_id", config.nulls)
-    vecs = as_vectors(normalized, model.features).persist(StorageLevel.MEMORY_AND_DISK_DESER)
+    # every later stage re-reads these vectors: materialise them once in the
+    # shared folder (AQE sizes the partitions; survives executor loss)
+    vecs = reliable_checkpoint(as_vectors(normalized, model.features))
     n = vecs.count()
     if n == 0:
         raise ValueError("no users")
@@ -92,7 +93,6 @@ def run_pipeline(features_df: DataFrame, features: Sequence[str],
                              *[F.col("z")[i].alias(c) for i, c in enumerate(model.features)],
                              "cluster", "cluster_distance", "final_anomaly_score", "rank")
     summary = score_summary(results, config.normalized_weights()) if config.show_summary else None
-    vecs.unpersist()   # results/extended read the rank checkpoint; the rest recomputes lazily
     return PipelineResult(results, extended, normalized, model, cl.k, cl.centroids, cl.k_table,
                           cf, graph, summary)
 

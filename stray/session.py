@@ -21,9 +21,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     """Set `fallback` only where the session names no checkpoint folder (tests, local runs)."""
-    d = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
-    if not d:
-        d = fallback
+    d = spark.sparkContext.getCheckpointDir()
+    if d:
+        return d
+    d = spark.conf.get("spark.checkpoint.dir", None) or fallback
     spark.sparkContext.setCheckpointDir(d)
     return d
 
