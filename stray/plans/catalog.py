@@ -20,6 +20,7 @@ from stray.operators import scoring as A
 from stray.operators import similarity as S
 from stray.operators.normalize import as_vectors, fit_zscore, zscore
 from stray.sources import fixtures as X
+from stray.session import reliable_checkpoint
 from stray.sources.loader import dataset_summary, feature_columns, prepare_user_features
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,14 +44,15 @@ def features(spark, sf) -> tuple[DataFrame, list[str]]:
 
 
 def vectors(spark, sf) -> DataFrame:
+    """(user_id, z): materialised once, every consumer re-reads it."""
     df, feats = features(spark, sf)
     norm, model = zscore(df, feats)
-    return as_vectors(norm, model.features)
+    return reliable_checkpoint(as_vectors(norm, model.features))
 
 
 def _graph_inputs(spark, sf):
     vecs = vectors(spark, sf)
-    edges = S.similarity_edges(vecs, THRESHOLD)
+    edges = reliable_checkpoint(S.similarity_edges(vecs, THRESHOLD))
     nodes = vecs.select(F.col("user_id").alias("id"))
     return vecs, nodes, edges
 
