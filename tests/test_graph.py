@@ -96,3 +96,17 @@ def test_isolated_nodes_order(spark):
     nodes, e = _graph(spark, 5, [(0, 1, 1.0), (1, 2, 1.0)])
     got = [r["user_id"] for r in G.isolated_nodes(G.degree_centrality(nodes, e), 3).collect()]
     assert got == [3, 4, 0]
+
+
+def test_shuffle_paths_above_broadcast_bound(spark):
+    rng = np.random.default_rng(21)
+    n = 40
+    edges = [(a, b, float(rng.uniform(0.7, 1))) for a in range(n) for b in range(a + 1, n)
+             if rng.uniform() < 0.06]
+    nodes, e = _graph(spark, n, edges)
+    got = collect_map(G.pagerank(nodes, e, max_iter=15, tol=None, broadcast_max_rows=0), "id", "pagerank")
+    want = _np_pagerank(n, edges, iters=15)
+    assert [got[i] for i in range(n)] == pytest.approx(list(want), abs=1e-12)
+    small = collect_map(G.connected_components(nodes, e), "id", "component")
+    big = collect_map(G.connected_components(nodes, e, broadcast_max_rows=0), "id", "component")
+    assert small == big

@@ -58,3 +58,11 @@ def test_sample_is_deterministic_and_bounded(spark):
     b = [r["user"] for r in C.sample_users(users.repartition(7), 10, 42).collect()]
     assert a == b and len(a) == 10
     assert C.sample_users(users, 500, 42).count() == 100
+
+
+def test_sample_rank_path_equals_take_ordered(spark, monkeypatch):
+    users = spark.createDataFrame([(i,) for i in range(300)], "user long")
+    want = [r["user"] for r in C.sample_users(users, 40, 7).collect()]
+    monkeypatch.setattr(C, "TAKE_ORDERED_MAX", 10)
+    got = [r["user"] for r in C.sample_users(users.repartition(5), 40, 7).collect()]
+    assert sorted(got) == sorted(want)
