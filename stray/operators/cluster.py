@@ -138,6 +138,80 @@ def mllib_kmeans(vecs: DataFrame, k: int, seed: int = 42, n_starts: int = 10,
         data.unpersist()
 
 
+def _multi_run_step(vecs: DataFrame, runs: Sequence[Centroids], vec_col: str) -> DataFrame:
+    """One Lloyd pass for many runs: NumPy labels each Arrow batch for every run
+    and emits only per-(run, cluster) partial sums, at most sum(k) rows a batch;
+    the centroids travel in the closure, not in the plan."""
+    import numpy as np
+    import pandas as pd
+    cents = [np.asarray(c, dtype=np.float64) for c in runs]
+    d = cents[0].shape[1]
+
+    def fn(batches):
+        for pdf in batches:
+            if len(pdf) == 0:
+                continue
+            x = np.stack(pdf[vec_col].to_numpy()).astype(np.float64, copy=False)
+            rows = []
+            for r, c in enumerate(cents):
+                d2 = ((x[:, None, :] - c[None, :, :]) ** 2).sum(-1)
+                lab = d2.argmin(1)
+                best = d2[np.arange(len(x)), lab]
+                for j in np.unique(lab):
+                    sel = lab == j
+                    rows.append((r, int(j), int(sel.sum()), x[sel].sum(0).tolist(),
+                                 float(best[sel].sum())))
+            yield pd.DataFrame(rows, columns=["run", "cluster", "n", "s", "d2"])
+
+    part = vecs.select(vec_col).mapInPandas(
+        fn, "run int, cluster int, n long, s array<double>, d2 double")
+    return part.groupBy("run", "cluster").agg(
+        F.sum("n").alias("n"), F.sum("d2").alias("d2"),
+        *[F.sum(F.col("s")[i]).alias(f"s{i}") for i in range(d)])
+
+
+def best_of_starts(vecs: DataFrame, ks: Sequence[int], n_starts: int = 10, seed: int = 42,
+                   max_iter: int = 300, tol: float | None = 1e-4, id_col: str = "user_id",
+                   vec_col: str = "z") -> dict[int, KMeansFit]:
+    """K1 for several k at once: n_starts seeded starts per k (the k rows with the
+    lowest md5('<seed>|<id>'), one bounded take-ordered job per seed), every
+    (k, start) run advancing in the same pass over the data; per k the run
+    with the lowest inertia wins. A run stops moving once its shift <= tol."""
+    n = vecs.count()
+    if n < max(ks):
+        raise ValueError(f"too few users ({n}) for {max(ks)} clusters")
+    seeds = list(range(seed, seed + n_starts))
+    starts = {}
+    for sd in seeds:
+        key = F.md5(F.concat(F.lit(f"{sd}|"), F.col(id_col).cast("string")))
+        rows = vecs.orderBy(key, F.col(id_col)).limit(max(ks)).select(vec_col).collect()
+        starts[sd] = [list(map(float, r[vec_col])) for r in rows]
+    runs = [(k, sd) for k in ks for sd in seeds]
+    cents = [[list(c) for c in starts[sd][:k]] for k, sd in runs]
+    d = len(cents[0][0])
+    active = [True] * len(runs)
+    for _ in range(max_iter):
+        new = [[list(c) for c in cs] for cs in cents]
+        for r in _multi_run_step(vecs, cents, vec_col).collect():
+            if active[r["run"]]:          # an empty cluster keeps its centroid
+                new[r["run"]][r["cluster"]] = [r[f"s{i}"] / r["n"] for i in range(d)]
+        for j, (o, nw) in enumerate(zip(cents, new)):
+            shift = max(sum((a - b) ** 2 for a, b in zip(p, q)) for p, q in zip(o, nw))
+            if tol is not None and shift <= tol:
+                active[j] = False
+        cents = new
+        if not any(active):
+            break
+    cost = [0.0] * len(runs)
+    for r in _multi_run_step(vecs, cents, vec_col).collect():   # inertia at the final centroids
+        cost[r["run"]] += r["d2"]
+    best: dict[int, KMeansFit] = {}
+    for j, (k, _) in enumerate(runs):
+        if k not in best or cost[j] < best[k].cost:
+            best[k] = KMeansFit(k, cents[j], cost[j])
+    return best
+
+
 def fit_centroids(vecs: DataFrame, k: int, init: str = "mllib", seed: int = 42,
                   n_starts: int = 10, max_iter: int = 300, tol: float | None = 1e-4,
                   id_col: str = "user_id", vec_col: str = "z") -> Centroids:
@@ -146,6 +220,8 @@ def fit_centroids(vecs: DataFrame, k: int, init: str = "mllib", seed: int = 42,
     if init == "lowest_ids":
         cents, _ = lloyd(vecs, lowest_id_centroids(vecs, k, id_col, vec_col), max_iter, tol, vec_col)
         return cents
+    if init == "sampled":
+        return best_of_starts(vecs, [k], n_starts, seed, max_iter, tol, id_col, vec_col)[k].centroids
     raise ValueError(f"unknown init {init!r}")
 
 
@@ -216,6 +292,9 @@ def find_optimal_k(vecs: DataFrame, k_range: Sequence[int] = tuple(range(2, 11))
     if init == "lowest_ids":
         fits = lloyd_many(vecs, [lowest_id_centroids(vecs, k, id_col, vec_col) for k in ks],
                           max_iter, tol, vec_col)
+    elif init == "sampled":
+        got = best_of_starts(vecs, ks, n_starts, seed, max_iter, tol, id_col, vec_col)
+        fits = [got[k].centroids for k in ks]
     else:
         fits = [fit_centroids(vecs, k, init, seed, n_starts, max_iter, tol, id_col, vec_col)
                 for k in ks]

@@ -72,3 +72,15 @@ def test_mllib_best_of_n_and_optimal_k(spark):
     rows = {r["k"]: r for r in table.collect()}
     assert best == max(rows, key=lambda k: (rows[k]["silhouette"], -k))
     assert best == 2
+
+
+def test_sampled_best_of_starts(spark):
+    x = np.vstack([rand_vectors(25, 2, seed=3) + 6, rand_vectors(25, 2, seed=4) - 6])
+    v = vec_frame(spark, x)
+    fits = K.best_of_starts(v, [2, 3], n_starts=4, max_iter=20)
+    assert set(fits) == {2, 3} and fits[3].cost <= fits[2].cost + 1e-9
+    c = np.array(fits[2].centroids)
+    lab = np.argmin(((x[:, None, :] - c[None]) ** 2).sum(-1), axis=1)
+    assert fits[2].cost == pytest.approx(((x - c[lab]) ** 2).sum())
+    best, table = K.find_optimal_k(v, [2, 3, 4], init="sampled", n_starts=3, max_iter=20)
+    assert best == 2 and table.count() == 3
