@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from stray.config import GRAPH_MINMAX_EPS, MINMAX_MIN_RANGE, STD_ZERO_RTOL
-from stray.sources.fixtures import EVENT_FEATURES, EVENT_TYPES, LOG_EVENT_TYPES
+from stray.sources.fixtures import EVENT_FEATURES, EVENT_TYPES
 
 F = list(EVENT_FEATURES)
 

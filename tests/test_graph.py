@@ -1,6 +1,5 @@
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from helpers import collect_map
 from stray.operators import graph as G

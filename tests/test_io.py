@@ -1,7 +1,6 @@
 import os
 import tempfile
 
-from pyspark.sql import functions as F
 
 from stray.config import PipelineConfig
 from stray.operators import cohort as C

@@ -2,13 +2,12 @@ import math
 import os
 import tempfile
 
-import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from stray.operators.normalize import fit_zscore, resolve_feature_columns, zscore
 from stray.sources.loader import (dataset_summary, feature_columns, load_user_features,
-                                  prepare_user_features, read_results)
+                                  read_results)
 
 
 def test_population_std_and_constant_feature(spark):
