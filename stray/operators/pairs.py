@@ -108,33 +108,35 @@ def topk_kernel(id_col: str, vec_col: str, k: int):
     order: similarity desc, other id asc."""
 
     def side(ids_a, ids_b, s, exclude_self):
-        out_u, out_o, out_s = [], [], []
-        kb = order_key(ids_b)
-        kk = min(k + (1 if exclude_self else 0), s.shape[1])
-        if kk == 0:
-            return out_u, out_o, out_s
-        # lexsort on (-sim, id rank) along rows
-        order = np.lexsort((np.broadcast_to(kb, s.shape), -s), axis=1)[:, :kk]
-        for i in range(s.shape[0]):
-            cols = order[i]
-            if exclude_self:
-                cols = cols[ids_b[cols] != ids_a[i]][:k]
-            out_u.append(np.repeat(ids_a[i:i + 1], len(cols)))
-            out_o.append(ids_b[cols])
-            out_s.append(s[i, cols])
-        return out_u, out_o, out_s
+        if exclude_self:                       # diagonal block: drop i == j
+            s = s.copy()
+            s[ids_a[:, None] == ids_b[None, :]] = -np.inf
+        m = s.shape[1] - (1 if exclude_self else 0)
+        kk = min(k, m)
+        if kk <= 0:
+            return None
+        # every candidate >= the row's kk-th largest value (all boundary ties kept)
+        kth = -np.partition(-s, kk - 1, axis=1)[:, kk - 1]
+        rows, cols = np.nonzero(s >= kth[:, None])
+        sims = s[rows, cols]
+        order = np.lexsort((order_key(ids_b)[cols], -sims, rows))
+        rows, cols, sims = rows[order], cols[order], sims[order]
+        first = np.searchsorted(rows, rows, side="left")
+        keep = (np.arange(rows.size) - first) < kk
+        return ids_a[rows[keep]], ids_b[cols[keep]], sims[keep]
 
     def kern(diagonal, L, R):
         ids_l, ids_r = L[id_col].to_numpy(), R[id_col].to_numpy()
         s = matrix(L, vec_col) @ matrix(R, vec_col).T
-        u, o, v = side(ids_l, ids_r, s, diagonal)
+        parts = [side(ids_l, ids_r, s, diagonal)]
         if not diagonal:
-            u2, o2, v2 = side(ids_r, ids_l, s.T, False)
-            u, o, v = u + u2, o + o2, v + v2
-        if not u:
+            parts.append(side(ids_r, ids_l, s.T, False))
+        parts = [p for p in parts if p is not None]
+        if not parts:
             return pd.DataFrame({"user_id": [], "other_id": [], "similarity": []})
-        return pd.DataFrame({"user_id": np.concatenate(u), "other_id": np.concatenate(o),
-                             "similarity": np.concatenate(v)})
+        return pd.DataFrame({"user_id": np.concatenate([p[0] for p in parts]),
+                             "other_id": np.concatenate([p[1] for p in parts]),
+                             "similarity": np.concatenate([p[2] for p in parts])})
     return kern
 
 

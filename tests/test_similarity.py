@@ -79,3 +79,17 @@ def test_similarity_statistics_with_narrowing(spark, monkeypatch):
     assert st["q25"] == pytest.approx(np.percentile(off, 25), abs=1e-12)
     assert st["q75"] == pytest.approx(np.percentile(off, 75), abs=1e-12)
     assert st["min"] == pytest.approx(off.min()) and st["max"] == pytest.approx(off.max())
+
+
+def test_top_k_ties_break_by_id(spark):
+    x = [[1.0, 0.0]] * 6 + [[0.0, 1.0]] * 3      # many exact ties
+    v = vec_frame(spark, x)
+    s = cosine_matrix(x)
+    for block in (2, 100):
+        got = S.similar_users_all(v, 4, block_size=block).collect()
+        by = {}
+        for r in got:
+            by.setdefault(r["user_id"], []).append((r["rank"], r["other_id"]))
+        for i in range(len(x)):
+            order = sorted([j for j in range(len(x)) if j != i], key=lambda j: (-s[i, j], j))[:4]
+            assert [o for _, o in sorted(by[i])] == order
