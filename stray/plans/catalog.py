@@ -447,7 +447,7 @@ QUERIES: dict[str, Query] = {
     "threshold_anomalies": q_threshold_anomalies,
     "score_summary": q_score_summary,
     "export_top_k": q_export_top_k,
-    "pipeline": q_pipeline,
+    "anomaly_pipeline": q_pipeline,
     "extended_results": q_extended_results,
     "distinct_users": q_distinct_users,
     "common_users": q_common_users,

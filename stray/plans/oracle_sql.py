@@ -481,7 +481,7 @@ SQL = {
     "threshold_anomalies": threshold_anomalies,
     "score_summary": score_summary,
     "export_top_k": export_top_k,
-    "pipeline": pipeline,
+    "anomaly_pipeline": pipeline,
     "extended_results": extended_results,
     "distinct_users": distinct_users,
     "common_users": common_users,
