@@ -11,9 +11,10 @@ Consistent weighted samples (Ioffe's scheme) agree between two classes with prob
 equal to their weighted Jaccard similarity. Two samples make a band, and classes that
 agree in two bands are candidates. In each bucket of candidates a few leaders are
 compared with the rest, by exact weighted Jaccard; classes tied to a leader are done and
-the rest get twice as many leaders in the next round, until no bucket has two classes
-that were neither compared nor tied. So no bucket is expanded into all its pairs, and
-none is capped. Verified links are closed to groups by min-label propagation.
+the rest get twice as many leaders in the next round, until all have led or are tied.
+Then classes of different groups in one bucket are compared, a few first, at last all.
+So any two candidates are compared or are in one group already: no bucket is expanded
+into all its pairs, and none is capped. Links are closed to groups by min-label propagation.
 
 A hot leader's pairs are salted in lots of `lot` and its text repeated once per lot.
 Class texts are kept compressed in a table bucketed by class, so rounds do not shuffle them.
@@ -266,11 +267,31 @@ def components(links: DataFrame) -> DataFrame:
             return labels
 
 
-def links_between(classes: DataFrame, weights: Weights, p: NearDup) -> DataFrame:
-    """(a, b): verified links that join all classes of each group."""
-    waiting = buckets(classes, weights, p)
-    done: DataFrame | None = None   # compared so far
-    leaders = 1
+class Compared:
+    """The pairs compared so far. A pair is (leader, cls); it is the same pair turned round."""
+
+    def __init__(self, classes: DataFrame, weights: Weights, p: NearDup) -> None:
+        self.classes, self.weights, self.p = classes, weights, p
+        self.pairs = classes.sparkSession.createDataFrame([], "a string, b string, near boolean")
+
+    @staticmethod
+    def ends() -> list:
+        return [F.least("leader", "cls").alias("a"), F.greatest("leader", "cls").alias("b")]
+
+    def add(self, wanted: DataFrame) -> None:
+        """Compare those of `wanted` (leader, cls) that have not been compared."""
+        fresh = wanted.select("leader", "cls", *self.ends()).join(self.pairs.select("a", "b"), ["a", "b"], "left_anti")
+        fresh = fresh.groupBy("a", "b").agg(F.min(F.struct("leader", "cls")).alias("p")).select("p.leader", "p.cls")
+        checked = verified(materialise(fresh, "pairs"), self.classes, self.weights, self.p)
+        self.pairs = self.pairs.union(materialise(checked.select(*self.ends(), "near"), "checked"))
+
+    def links(self) -> DataFrame:
+        return self.pairs.where("near").select("a", "b")
+
+
+def tie_to_leaders(shared: DataFrame, compared: Compared) -> None:
+    """Compare leaders with their buckets until every class of a bucket has led or is tied to a leader."""
+    waiting, leaders = shared, 1
     while not waiting.isEmpty():
         # About `leaders` classes of each bucket lead: those of least rank, and always the first.
         sizes = materialise(waiting.groupBy("bucket").agg(
@@ -280,20 +301,45 @@ def links_between(classes: DataFrame, weights: Weights, p: NearDup) -> DataFrame
             "bucket", F.col("cls").alias("leader"), F.col("rank").alias("at")), "leaders")
         met = materialise(waiting.join(chosen, "bucket").where(
             F.struct("rank", "cls") > F.struct("at", "leader")).select("bucket", "leader", "cls"), "met")
-        fresh = met.select("leader", "cls").distinct()
-        if done is not None:
-            fresh = fresh.join(done.select("leader", "cls"), ["leader", "cls"], "left_anti")
-        checked = materialise(verified(materialise(fresh, "pairs"), classes, weights, p), "checked")
-        done = checked if done is None else done.union(checked)
-        # Tied to a leader, or a leader: done with in this bucket.
-        tied = met.join(done.where("near"), ["leader", "cls"], "left_semi").select("bucket", "cls")
+        compared.add(met)
+        tied = met.select("bucket", "cls", *Compared.ends()).join(compared.links(), ["a", "b"], "left_semi").select("bucket", "cls")
         gone = tied.union(chosen.select("bucket", F.col("leader").alias("cls"))).distinct()
         rest = materialise(waiting.join(gone, ["bucket", "cls"], "left_anti"), "rest")
         waiting = rest if rest.isEmpty() else shared_by_two(rest, "bucket", "waiting")
         leaders *= 2
-    if done is None:
-        return classes.sparkSession.createDataFrame([], "a string, b string")
-    return done.where("near").select(F.col("leader").alias("a"), F.col("cls").alias("b")).distinct()
+
+
+def join_groups(shared: DataFrame, compared: Compared) -> None:
+    """Compare classes of different groups that share a bucket: two that were both tied, to different leaders,
+    or one tied and one leader. First a few of each group, then more, at last all, so that groups that belong
+    together meet early and only groups that stay apart are compared in full."""
+    few = 4
+    while True:
+        labels = components(compared.links())
+        marked = shared.join(labels, "cls", "left").select("bucket", "cls", "rank", F.coalesce("label", "cls").alias("label"))
+        groups = materialise(marked.groupBy("bucket", "label").agg(F.count("*").alias("k"), F.min("rank").alias("first")), "groups")
+        # Classes that are alone in their buckets have led, and so have met all the others that are.
+        several = materialise(groups.groupBy("bucket").agg(F.count("*").alias("n"), F.max("k").alias("most")).where(
+            "n > 1 and most > 1"), "several")
+        most = several.agg(F.max("most").alias("m")).head().m
+        if most is None:
+            return
+        some = materialise(marked.join(groups.join(several.select("bucket"), "bucket", "left_semi"), ["bucket", "label"]).where(
+            (F.col("rank") <= F.col("first")) | (F.col("rank") < few / F.col("k"))), "some")
+        one = some.select("bucket", F.col("label").alias("l1"), F.col("k").alias("k1"), F.col("cls").alias("leader"))
+        two = some.select("bucket", F.col("label").alias("l2"), F.col("k").alias("k2"), "cls")
+        compared.add(one.join(two, "bucket").where("l1 < l2 and (k1 > 1 or k2 > 1)").select("leader", "cls"))
+        if few >= most:
+            return
+        few *= 16
+
+
+def links_between(classes: DataFrame, weights: Weights, p: NearDup) -> DataFrame:
+    """(a, b): verified links. Any two classes that share a bucket were compared or are in one group by them."""
+    shared, compared = buckets(classes, weights, p), Compared(classes, weights, p)
+    tie_to_leaders(shared, compared)
+    join_groups(shared, compared)
+    return compared.links()
 
 
 def verdicts(rows: DataFrame, p: NearDup) -> DataFrame:
