@@ -44,6 +44,18 @@ def materialise(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def least_count(counts: DataFrame, limit: int) -> int | None:
+    """The least c such that at most `limit` rows of `counts` (c) have it or more; None if there is none.
+    Rows of equal count are in or out together, so the choice needs no order within them."""
+    total, least = 0, None
+    for r in counts.groupBy("c").agg(F.count("*").alias("k")).orderBy(F.desc("c")).toLocalIterator():
+        total += r.k
+        if total > limit:
+            break
+        least = int(r.c)
+    return least
+
+
 def text_of(col: str) -> Column:
     """A text column with null as the empty text."""
     return F.coalesce(F.col(col).cast("string"), F.lit(""))

@@ -20,6 +20,7 @@ import hashlib
 import heapq
 import os
 import tempfile
+import uuid
 from collections.abc import Iterator
 from functools import cache
 
@@ -32,22 +33,41 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from stray.llm.bpe import MARK, byte_ranks, chunks, tokenizer_path
-from stray.llm.common import bounded_batches, rows_of, text_of
+from stray.llm.common import bounded_batches, least_count, materialise, rows_of, text_of
 
 #: Fixed value: the pre-tokeniser's pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 MARK_ID = 50256
-REMEMBERED = 400_000
+#: Merged chunks that a worker remembers before it starts afresh.
+REMEMBERED = 600_000
+#: Bytes up to which a piece is merged by looking at all its pairs.
+SHORT = 32
 
 
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Ids of one piece: the adjacent pair of lowest rank is joined until none can be.
-
-    Neighbours are linked and pairs wait in a heap, so a piece of n bytes takes n log n steps.
-    """
+    """Ids of one piece: the adjacent pair of lowest rank, of equals the first, is joined until none can be."""
     whole = ranks.get(piece)
     if whole is not None:
         return [whole]
+    return merge_short(piece, ranks) if len(piece) <= SHORT else merge_long(piece, ranks)
+
+
+def merge_short(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """By looking at all pairs each time: the fastest way for a word."""
+    parts = [piece[i:i + 1] for i in range(len(piece))]
+    while True:
+        best, at = None, -1
+        for i in range(len(parts) - 1):
+            r = ranks.get(parts[i] + parts[i + 1])
+            if r is not None and (best is None or r < best):
+                best, at = r, i
+        if best is None:
+            return [ranks[p] for p in parts]
+        parts[at:at + 2] = [parts[at] + parts[at + 1]]
+
+
+def merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Neighbours are linked and pairs wait in a heap, so a piece of n bytes takes n log n steps."""
     n = len(piece)
     part = [piece[i:i + 1] for i in range(n)]
     after, before = list(range(1, n + 1)), list(range(-1, n - 1))
@@ -238,12 +258,21 @@ class Codec:
 
 
 def frequent_chunks(docs: DataFrame, words: int) -> list[bytes]:
-    """The chunks most often met in all texts, at most `words`: blanks cut the text, and
-    counts pre-aggregate. Ties are broken by the chunk."""
-    parts = docs.select(F.explode(F.split(text_of("text"), " ", -1)).alias("c"))
-    top = (parts.where(F.col("c").rlike(r"^[\p{L}\p{N}!-~][^\s]*$")).groupBy("c").count()
-           .orderBy(F.desc("count"), "c").limit(words))
-    return [(" " + r.c).encode() for r in top.select("c").collect()]
+    """The chunks most often met in all texts, at most `words`: blanks cut the text, and counts
+    pre-aggregate. Chunks of equal count are in or out together."""
+    parts = docs.select(F.explode(F.split(text_of("text"), " ", -1)).alias("chunk"))
+    plain = parts.where(F.col("chunk").rlike(r"^[\p{L}\p{N}!-~]\S*$"))
+    counts = materialise(plain.groupBy("chunk").agg(F.count("*").alias("c")).where("c > 1"), "chunks")
+    least = least_count(counts, words)
+    if least is None:
+        return []
+    return [(" " + c).encode() for c in counts.where(F.col("c") >= least).select("chunk").toPandas()["chunk"]]
+
+
+@cache
+def worker_codec(name: str, ranks_path: str) -> Codec:
+    """One codec for all tasks of a worker."""
+    return Codec(map_lexicon(SparkFiles.get(name)), byte_ranks(ranks_path))
 
 
 ENCODED = StructType([StructField("doc_id", StringType()), StructField("n_tokens", LongType()),
@@ -253,18 +282,14 @@ ENCODED = StructType([StructField("doc_id", StringType()), StructField("n_tokens
 def build_lexicon(docs: DataFrame, words: int, ranks_path: str) -> str:
     """Compile the lexicon of `docs` and send it to the executors; its file name there."""
     lexicon = compile_lexicon(frequent_chunks(docs, words), byte_ranks(ranks_path))
-    folder = tempfile.mkdtemp(prefix="stray-lexicon-")  # the driver's side of addFile only
-    path = os.path.join(folder, "lexicon")
+    name = f"lexicon-{uuid.uuid4().hex}.bin"
+    path = os.path.join(tempfile.mkdtemp(prefix="stray-lexicon-"), name)  # the driver's side of addFile only
     write_lexicon(lexicon, path)
-    with open(path, "rb") as f:
-        name = f"lexicon-{hashlib.sha256(f.read()).hexdigest()[:24]}.bin"
-    named = os.path.join(folder, name)
-    os.rename(path, named)
-    docs.sparkSession.sparkContext.addFile(named)
+    docs.sparkSession.sparkContext.addFile(path)
     return name
 
 
-def encode_documents(docs: DataFrame, words: int = 65_536, ranks_path: str | None = None) -> DataFrame:
+def encode_documents(docs: DataFrame, words: int = 200_000, ranks_path: str | None = None) -> DataFrame:
     """One row per row of `docs` (doc_id, text): id count and digests of ids and decoded text."""
     ranks_path = ranks_path or tokenizer_path("byte_bpe_50k.tiktoken")
     docs = docs.select(F.col("doc_id").cast("string").alias("doc_id"), F.col("text"))
@@ -272,7 +297,7 @@ def encode_documents(docs: DataFrame, words: int = 65_536, ranks_path: str | Non
     name = build_lexicon(docs, words, ranks_path)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        codec = Codec(map_lexicon(SparkFiles.get(name)), byte_ranks(ranks_path))
+        codec = worker_codec(name, ranks_path)
         for batch in rows_of(batches):
             out = [(len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(),
                     hashlib.sha256(codec.decode(ids).encode()).hexdigest())

@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StringType, StructField, StructType
 
-from stray.llm.common import bounded_batches, materialise, rows_of, text_of, word_hashes
+from stray.llm.common import bounded_batches, least_count, materialise, rows_of, text_of, word_hashes
 
 #: The end token: white space, so no word is equal to it.
 END = b"\n"
@@ -45,8 +45,8 @@ END = b"\n"
 class Shape:
     """classes: outcomes of the bigram level; frequent: words looked up where the text is read."""
 
-    classes: int = 1024
-    frequent: int = 1 << 20
+    classes: int = 512
+    frequent: int = 1 << 19
     em_steps: int = 30
 
 
@@ -85,17 +85,11 @@ def word_counts(rows: DataFrame) -> DataFrame:
 
 def at_most(counts: DataFrame, limit: int) -> pd.DataFrame:
     """(word, c) of the most frequent words, sorted by word; words of equal count are in or out together."""
-    sizes = counts.groupBy((F.col("a") + F.col("b")).alias("c")).agg(F.count("*").alias("k")).orderBy(F.desc("c"))
-    total, least = 0, None
-    for r in sizes.toLocalIterator():
-        total += r.k
-        if total > limit:
-            break
-        least = r.c
+    both = counts.select("word", (F.col("a") + F.col("b")).alias("c"))
+    least = least_count(both, limit)
     if least is None:
         return pd.DataFrame({"word": np.zeros(0, np.int64), "c": np.zeros(0, np.int64)})
-    top = counts.where(F.col("a") + F.col("b") >= int(least)).select("word", (F.col("a") + F.col("b")).alias("c"))
-    return top.toPandas().sort_values("word", ignore_index=True)
+    return both.where(F.col("c") >= least).toPandas().sort_values("word", ignore_index=True)
 
 
 def places(words: np.ndarray, among: np.ndarray) -> np.ndarray:
