@@ -11,7 +11,7 @@ Consistent weighted samples (Ioffe's scheme) agree between two classes with prob
 equal to their weighted Jaccard similarity. Two samples make a band, and classes that
 agree in two bands are candidates. In each bucket of candidates a few leaders are
 compared with the rest, by exact weighted Jaccard; classes tied to a leader are done and
-the rest get twice as many leaders in the next round, until all have led or are tied.
+the rest get four times as many leaders in the next round, until all have led or are tied.
 Then classes of different groups in one bucket are compared, a few first, at last all.
 So any two candidates are compared or are in one group already: no bucket is expanded
 into all its pairs, and none is capped. Links are closed to groups by min-label propagation.
@@ -306,14 +306,14 @@ def tie_to_leaders(shared: DataFrame, compared: Compared) -> None:
         gone = tied.union(chosen.select("bucket", F.col("leader").alias("cls"))).distinct()
         rest = materialise(waiting.join(gone, ["bucket", "cls"], "left_anti"), "rest")
         waiting = rest if rest.isEmpty() else shared_by_two(rest, "bucket", "waiting")
-        leaders *= 2
+        leaders *= 4
 
 
 def join_groups(shared: DataFrame, compared: Compared) -> None:
     """Compare classes of different groups that share a bucket: two that were both tied, to different leaders,
     or one tied and one leader. First a few of each group, then more, at last all, so that groups that belong
     together meet early and only groups that stay apart are compared in full."""
-    few = 4
+    few = 8
     while True:
         labels = components(compared.links())
         marked = shared.join(labels, "cls", "left").select("bucket", "cls", "rank", F.coalesce("label", "cls").alias("label"))
@@ -331,7 +331,7 @@ def join_groups(shared: DataFrame, compared: Compared) -> None:
         compared.add(one.join(two, "bucket").where("l1 < l2 and (k1 > 1 or k2 > 1)").select("leader", "cls"))
         if few >= most:
             return
-        few *= 16
+        few *= 32
 
 
 def links_between(classes: DataFrame, weights: Weights, p: NearDup) -> DataFrame:
