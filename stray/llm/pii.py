@@ -137,7 +137,7 @@ def revealing_pairs(found: DataFrame, terms: DataFrame, d: Disclosure) -> DataFr
     wanted = joint.select("term").distinct()
     # Copies count as often as they stand here: only a lower disclosure can come of that.
     spread = (copies.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("of_term"))
-              .join(wanted, "term", "left_semi"))
+              .join(wanted, "term"))  # inner: a semi join would be moved below the count
     n = F.col("n").cast("double")
     pmi = F.log(F.col("both") * n / (F.col("of_entity") * F.col("of_term")))
     known = F.log(n / F.col("of_entity"))
