@@ -1,11 +1,10 @@
 """Distributed statistics with bounded driver traffic.
 
-Spark's exact ``percentile`` merges every distinct value of a global
-aggregate in one task. ``exact_percentiles`` instead narrows the target
-ranks with ``percentile_approx`` brackets until the remaining candidates
-fit a small bound, and only then brings (value, count) pairs to the driver.
-Hot values (one value holding a third of the rows) collapse to a single
-(value, count) pair, so ties never blow the bound.
+Spark's exact ``percentile`` merges every distinct value of a global aggregate in one
+task. Here the wanted ranks are narrowed by histograms: each pass counts the values of
+every bracket in equal-width bins, and a rank's bin, with the least and greatest value
+seen in it, is its next bracket, until the two are equal. The driver gets bins only, at
+any size, and a hot value is a single count.
 """
 
 from __future__ import annotations
@@ -17,8 +16,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-DEFAULT_CAP = 200_000        # (value, count) pairs the driver may receive at once
-DEFAULT_ACCURACY = 10_000    # percentile_approx accuracy used for the brackets
+#: Bins of a bracket in one pass.
+BINS = 4096
 
 
 def rank_targets(n: int, ps: Sequence[float]) -> list[tuple[int, int, float]]:
@@ -38,110 +37,60 @@ def interpolate(vlo: float, vhi: float, frac: float) -> float:
     return vlo + (vhi - vlo) * frac
 
 
-def _pick_from_counts(rows, ranks: Sequence[int], offset: int = 0) -> dict[int, float]:
-    """rows: sorted (value, count); ranks: 0-based positions relative to `offset`."""
-    want = sorted(ranks)
-    res: dict[int, float] = {}
-    seen = offset
-    i = 0
-    for v, c in rows:
-        seen_next = seen + c
-        while i < len(want) and want[i] < seen_next:
-            res[want[i]] = float(v)
-            i += 1
-        seen = seen_next
-        if i == len(want):
+def _ranked(long: DataFrame, wanted: dict[str, list[int]], bounds: dict[str, tuple[float, float]]
+            ) -> dict[tuple[str, int], float]:
+    """Values at 0-based sorted positions per key of `long` (k, x); x has neither null nor NaN."""
+    done: dict[tuple[str, int], float] = {}
+    # (key, rank) -> (least, greatest, values below): a bracket that holds the rank
+    state = {(k, r): (*bounds[k], 0) for k, ranks in wanted.items() for r in ranks}
+    while state:
+        for at in [at for at, (lo, hi, _) in state.items() if lo == hi]:
+            done[at] = state.pop(at)[0]
+        if not state:
             break
-    return res
-
-
-def _select_ranks(base: DataFrame, ranks: Sequence[int], n: int, n_distinct: int,
-                  cap: int, accuracy: int, depth: int) -> dict[int, float]:
-    """Values at 0-based sorted positions `ranks` of column x in `base` (n rows)."""
-    if n_distinct <= cap or depth >= 5:
-        rows = (base.groupBy("x").agg(F.count(F.lit(1)).alias("c"))
-                .orderBy("x").collect())
-        return _pick_from_counts([(r["x"], r["c"]) for r in rows], ranks)
-
-    margin = 2.0 / accuracy
-    fracs = []
-    for r in ranks:
-        fracs += [max(0.0, r / n - margin), min(1.0, (r + 1) / n + margin)]
-    bounds = base.agg(F.percentile_approx("x", fracs, accuracy).alias("b")).first()["b"]
-    aggs = []
-    for i, _ in enumerate(ranks):
-        a, b = bounds[2 * i], bounds[2 * i + 1]
-        aggs += [F.count_if(F.col("x") < F.lit(a)).alias(f"lt{i}"),
-                 F.count_if(F.col("x") <= F.lit(b)).alias(f"le{i}"),
-                 F.approx_count_distinct(
-                     F.when((F.col("x") >= F.lit(a)) & (F.col("x") <= F.lit(b)), F.col("x")),
-                     0.05).alias(f"nd{i}")]
-    cnt = base.agg(*aggs).first()
-    out: dict[int, float] = {}
-    for i, r in enumerate(ranks):
-        a, b = bounds[2 * i], bounds[2 * i + 1]
-        below, upto, nd = cnt[f"lt{i}"], cnt[f"le{i}"], cnt[f"nd{i}"]
-        if not (below <= r < upto):        # bracket missed (never expected): widen
-            a, b, below, upto, nd = None, None, 0, n, n_distinct
-            depth = 4
-        sub = base
-        if a is not None:
-            sub = sub.where((F.col("x") >= F.lit(a)) & (F.col("x") <= F.lit(b)))
-        got = _select_ranks(sub, [r - below], upto - below, nd, cap, accuracy, depth + 1)
-        out[r] = got[r - below]
-    return out
-
-
-def exact_percentiles(df: DataFrame, col: str | Column, ps: Sequence[float],
-                      cap: int = DEFAULT_CAP, accuracy: int = DEFAULT_ACCURACY
-                      ) -> list[float | None]:
-    """Exact linear-interpolated percentiles (p in 0..100) of a column, nulls skipped."""
-    c = F.col(col) if isinstance(col, str) else col
-    base = df.select(c.cast("double").alias("x")).where(F.col("x").isNotNull())
-    row = base.agg(F.count(F.lit(1)).alias("n"),
-                   F.approx_count_distinct("x", 0.05).alias("nd")).first()
-    n, nd = row["n"], row["nd"]
-    if n == 0:
-        return [None] * len(ps)
-    targets = rank_targets(n, ps)
-    ranks = sorted({r for lo, hi, _ in targets for r in (lo, hi)})
-    vals = _select_ranks(base, ranks, n, nd, cap, accuracy, 0)
-    return [interpolate(vals[lo], vals[hi], frac) for lo, hi, frac in targets]
-
-
-def exact_percentiles_by_column(df: DataFrame, cols: Sequence[str], ps: Sequence[float],
-                                cap: int = DEFAULT_CAP) -> dict[str, list[float | None]]:
-    """Percentiles of several columns; small columns share one (column, value, count) pass."""
+        brackets = sorted({(k, lo, hi) for (k, _), (lo, hi, _) in state.items()})
+        number = {b: q for q, b in enumerate(brackets)}
+        # as many rows as keys times ranks
+        rows = long.sparkSession.createDataFrame(
+            [(q, k, lo, hi) for (k, lo, hi), q in number.items()], "q int, bk string, lo double, hi double")
+        half = (F.col("x") / 2 - F.col("lo") / 2) / (F.col("hi") / 2 - F.col("lo") / 2)
+        bin_no = F.least(F.lit(BINS - 1), F.floor(half * BINS)).cast("int")
+        bins = (long.join(F.broadcast(rows), (F.col("k") == F.col("bk")) & F.col("x").between(F.col("lo"), F.col("hi")))
+                .groupBy("q", bin_no.alias("b")).agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
+                .orderBy("q", "b").collect())
+        of: dict[int, list] = {}
+        for row in bins:
+            of.setdefault(row["q"], []).append(row)
+        for (k, r), (lo, hi, below) in list(state.items()):
+            for row in of[number[(k, lo, hi)]]:
+                if r < below + row["n"]:
+                    state[(k, r)] = (row["lo"], row["hi"], below)
+                    break
+                below += row["n"]
+    return done
+
+
+def exact_percentiles_by_column(df: DataFrame, cols: Sequence[str], ps: Sequence[float]
+                                ) -> dict[str, list[float | None]]:
+    """Exact linear-interpolated percentiles (p in 0..100) of several columns, nulls and NaN skipped."""
     if not cols:
         return {}
-    stats = df.agg(*[F.count(F.col(c)).alias(f"n{i}") for i, c in enumerate(cols)],
-                   *[F.approx_count_distinct(F.col(c), 0.05).alias(f"d{i}")
-                     for i, c in enumerate(cols)]).first()
-    small = [c for i, c in enumerate(cols) if stats[f"d{i}"] * len(cols) <= cap]
-    out: dict[str, list[float | None]] = {}
-    if small:
-        long = df.select(F.explode(F.array(*[
-            F.struct(F.lit(c).alias("k"), F.col(c).cast("double").alias("x")) for c in small
-        ])).alias("kv")).select("kv.k", "kv.x").where(F.col("x").isNotNull())
-        rows = (long.groupBy("k", "x").agg(F.count(F.lit(1)).alias("c"))
-                .orderBy("k", "x").collect())
-        by: dict[str, list] = {c: [] for c in small}
-        for r in rows:
-            by[r["k"]].append((r["x"], r["c"]))
-        for i, c in enumerate(cols):
-            if c not in by:
-                continue
-            n = stats[f"n{i}"]
-            if n == 0:
-                out[c] = [None] * len(ps)
-                continue
-            targets = rank_targets(n, ps)
-            vals = _pick_from_counts(by[c], sorted({r for lo, hi, _ in targets for r in (lo, hi)}))
-            out[c] = [interpolate(vals[lo], vals[hi], f) for lo, hi, f in targets]
-    for c in cols:
-        if c not in out:
-            out[c] = exact_percentiles(df, c, ps, cap=cap)
-    return out
+    long = df.select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("k"), F.col(f"`{c}`").cast("double").alias("x")) for c in cols
+    ])).alias("kv")).select("kv.k", "kv.x").where(F.col("x").isNotNull() & ~F.isnan("x"))
+    found = {r["k"]: r for r in long.groupBy("k").agg(
+        F.count(F.lit(1)).alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).collect()}
+    targets = {c: rank_targets(found[c]["n"], ps) for c in cols if c in found}
+    vals = _ranked(long, {c: sorted({r for lo, hi, _ in t for r in (lo, hi)}) for c, t in targets.items()},
+                   {c: (found[c]["lo"], found[c]["hi"]) for c in targets})
+    return {c: [interpolate(vals[c, lo], vals[c, hi], f) for lo, hi, f in targets[c]] if c in targets else [None] * len(ps)
+            for c in cols}
+
+
+def exact_percentiles(df: DataFrame, col: str | Column, ps: Sequence[float]) -> list[float | None]:
+    """Exact linear-interpolated percentiles (p in 0..100) of one column."""
+    c = F.col(col) if isinstance(col, str) else col
+    return exact_percentiles_by_column(df.select(c.alias("x")), ["x"], ps)["x"]
 
 
 def minmax_bounds(df: DataFrame, cols: Sequence[str]) -> dict[str, tuple[float, float]]:

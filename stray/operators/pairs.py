@@ -22,10 +22,15 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+#: Blocks at least, at any size: the pairs of blocks are the tasks of a job.
+MIN_BLOCKS = 4
 
 
 def n_blocks_for(n: int, block_size: int) -> int:
-    return max(1, int(math.ceil(n / max(1, block_size))))
+    return max(MIN_BLOCKS, int(math.ceil(n / max(1, block_size))))
 
 
 def _sides(vecs: DataFrame, id_col: str, cols: Sequence[str], n_blocks: int
@@ -50,12 +55,17 @@ def run_pairs(vecs: DataFrame, id_col: str, cols: Sequence[str], n_blocks: int,
               schema: str) -> DataFrame:
     """Apply `kernel(diagonal, left_rows, right_rows)` to every block pair."""
     left, right = _sides(vecs, id_col, cols, n_blocks)
+    names = T.StructType.fromDDL(schema).names
+
+    def by_id(pdf: pd.DataFrame) -> pd.DataFrame:
+        # a fixed row order makes every product the same in every run
+        return pdf.sort_values(id_col, kind="stable", ignore_index=True)
 
     def fn(key, lpdf: pd.DataFrame, rpdf: pd.DataFrame) -> pd.DataFrame:
         if len(lpdf) == 0 or len(rpdf) == 0:
-            return pd.DataFrame({f.split()[0]: [] for f in schema.split(",")})
+            return pd.DataFrame({name: [] for name in names})
         bi, bj = divmod(int(key[0]), n_blocks)
-        return kernel(bi == bj, lpdf, rpdf)
+        return kernel(bi == bj, by_id(lpdf), by_id(rpdf))
 
     return left.groupBy("_pair").cogroup(right.groupBy("_pair")).applyInPandas(fn, schema)
 

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from stray.functions.stats import exact_percentiles, interpolate, rank_targets
 from stray.functions.vectors import dot, lit_vector, norm, unit
 from stray.operators import pairs as P
+from stray.session import reliable_checkpoint
 
 VALUES_CAP = 200_000     # pair values the driver may receive for one quantile
 HIST_BINS = 4096
@@ -155,10 +156,7 @@ def _pair_rank_values(units: DataFrame, nb: int, state: dict[int, tuple[float, f
     The driver only ever receives bins and at most `cap` values per interval."""
     cap = VALUES_CAP if cap is None else cap
     done: dict[int, float] = {}
-    for _ in range(12):
-        pending = {r: st for r, st in state.items() if r not in done}
-        if not pending:
-            break
+    while pending := {r: st for r, st in state.items() if r not in done}:
         small, big = {}, {}
         for r, (lo, hi, below, cnt) in pending.items():
             if lo == hi:
@@ -211,10 +209,10 @@ def similarity_statistics(vecs: DataFrame, id_col: str = "user_id", vec_col: str
     similarities, each unordered pair counted twice as in the full matrix.
 
     Cosines lie in [-1, 1], so the first pair pass bins all of them and sums the
-    bins into the moments at once; ranks are then narrowed inside their bins.
-    When every pair fits the driver bound, one pass returns the values."""
+    bins into the moments at once; ranks are then narrowed inside their bins. The unit
+    vectors are written once, so every pass sees the same values."""
     spark = vecs.sparkSession
-    units = unit_vectors(vecs, id_col, vec_col).withColumnRenamed(id_col, "user_id")
+    units = reliable_checkpoint(unit_vectors(vecs, id_col, vec_col).withColumnRenamed(id_col, "user_id"))
     n_users = units.count()
     n = n_users * (n_users - 1) // 2                # unique pairs
     metrics = ["mean", "median", "std", "min", "max", "q25", "q75"]
@@ -224,27 +222,20 @@ def similarity_statistics(vecs: DataFrame, id_col: str = "user_id", vec_col: str
     lo0, hi0 = -1.0 - COS_SLACK, 1.0 + COS_SLACK
     targets = rank_targets(2 * n, [50, 25, 75])     # ordered off-diagonal entries
     ranks = sorted({x // 2 for lo, hi, _ in targets for x in (lo, hi)})
-    if n <= VALUES_CAP:
-        v = np.sort(np.array([r["v"] for r in P.run_pairs(
-            units, "user_id", ["user_id", "u"], nb, P.values_kernel("user_id", "u", [(lo0, hi0)]),
-            "q long, v double").collect()]))
-        mean, std, vmin, vmax = float(v.mean()), float(v.std()), float(v[0]), float(v[-1])
-        vals = {r: float(v[r]) for r in ranks}
-    else:
-        h = P.run_pairs(units, "user_id", ["user_id", "u"], nb,
-                        P.histogram_moments_kernel("user_id", "u", lo0, hi0, HIST_BINS),
-                        "bin long, n long, s1 double, m2 double, vmin double, vmax double")
-        bins = (h.groupBy("bin").agg(
-            F.sum("n").alias("n"), F.sum("s1").alias("s1"),
-            F.sum(F.col("s1") * F.col("s1") / F.col("n")).alias("s2"), F.sum("m2").alias("m2"),
-            F.min("vmin").alias("vmin"), F.max("vmax").alias("vmax")).orderBy("bin").collect())
-        tot = sum(b["n"] for b in bins)
-        s1 = sum(b["s1"] for b in bins)
-        m2 = max(0.0, sum(b["m2"] for b in bins) + sum(b["s2"] for b in bins) - s1 * s1 / tot)
-        mean, std = s1 / tot, (m2 / tot) ** 0.5
-        vmin, vmax = min(b["vmin"] for b in bins), max(b["vmax"] for b in bins)
-        hist = [(b["bin"], b["n"], b["vmin"], b["vmax"]) for b in bins]
-        vals = _pair_rank_values(units, nb, {r: _locate(hist, r, 0) for r in ranks})
+    h = P.run_pairs(units, "user_id", ["user_id", "u"], nb,
+                    P.histogram_moments_kernel("user_id", "u", lo0, hi0, HIST_BINS),
+                    "bin long, n long, s1 double, m2 double, vmin double, vmax double")
+    bins = (h.groupBy("bin").agg(
+        F.sum("n").alias("n"), F.sum("s1").alias("s1"),
+        F.sum(F.col("s1") * F.col("s1") / F.col("n")).alias("s2"), F.sum("m2").alias("m2"),
+        F.min("vmin").alias("vmin"), F.max("vmax").alias("vmax")).orderBy("bin").collect())
+    tot = sum(b["n"] for b in bins)
+    s1 = sum(b["s1"] for b in bins)
+    m2 = max(0.0, sum(b["m2"] for b in bins) + sum(b["s2"] for b in bins) - s1 * s1 / tot)
+    mean, std = s1 / tot, (m2 / tot) ** 0.5
+    vmin, vmax = min(b["vmin"] for b in bins), max(b["vmax"] for b in bins)
+    hist = [(b["bin"], b["n"], b["vmin"], b["vmax"]) for b in bins]
+    vals = _pair_rank_values(units, nb, {r: _locate(hist, r, 0) for r in ranks})
     q = [interpolate(vals[lo // 2], vals[hi // 2], f) for lo, hi, f in targets]
     rows = [("mean", mean), ("median", q[0]), ("std", std), ("min", vmin),
             ("max", vmax), ("q25", q[1]), ("q75", q[2])]

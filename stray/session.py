@@ -19,6 +19,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def names_checkpoint_dir(spark: SparkSession) -> bool:
+    return bool(spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None))
+
+
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str) -> str:
     """Set `fallback` only where the session names no checkpoint folder (tests, local runs)."""
     d = spark.sparkContext.getCheckpointDir()

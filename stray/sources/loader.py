@@ -12,6 +12,9 @@ from pyspark.sql import types as T
 from stray.config import METADATA_COLUMNS
 from stray.functions.stats import exact_percentiles_by_column
 
+#: Quotes within quotes are doubled, and a quoted value may hold line breaks.
+CSV_QUOTES = {"quote": '"', "escape": '"', "multiLine": True, "ignoreLeadingWhiteSpace": False,
+              "ignoreTrailingWhiteSpace": False}
 _FEATURE_TYPES = (T.NumericType, T.BooleanType)
 
 
@@ -23,8 +26,9 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_table(spark: SparkSession, path: str, fmt: str | None = None,
-               schema: T.StructType | str | None = None) -> DataFrame:
-    """CSV (header, NA as null) or Parquet by extension; a missing path is an error."""
+               schema: T.StructType | str | None = None, as_text: bool = False) -> DataFrame:
+    """CSV (header, NA as null, doubled quotes, line breaks within quotes) or Parquet by
+    extension; a missing path is an error. `as_text` leaves CSV values as they stand."""
     if not _exists(spark, path):
         raise FileNotFoundError(f"File not found: {path}")
     fmt = fmt or ("parquet" if path.rstrip("/").endswith(".parquet") else "csv")
@@ -32,10 +36,9 @@ def read_table(spark: SparkSession, path: str, fmt: str | None = None,
     if schema is not None:
         reader = reader.schema(schema)
     if fmt == "csv":
-        reader = (reader.option("header", True).option("nullValue", "NA")
-                  .option("nanValue", "NaN"))
+        reader = reader.options(header=True, nullValue="NA", nanValue="NaN", **CSV_QUOTES)
         if schema is None:
-            reader = reader.option("inferSchema", True)
+            reader = reader.option("inferSchema", not as_text)
     return reader.format(fmt).load(path)
 
 
@@ -117,7 +120,7 @@ def save_table(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrit
     """One distributed write (a folder of part files)."""
     w = df.write.mode(mode)
     if fmt == "csv":
-        w = w.option("header", True)
+        w = w.options(header=True, **{k: v for k, v in CSV_QUOTES.items() if k != "multiLine"})
     w.format(fmt).save(path)
 
 
