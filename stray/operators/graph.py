@@ -21,6 +21,7 @@ from stray.session import reliable_checkpoint, sized_broadcast
 
 
 TRANS_ROWS_PER_PARTITION = 2_000_000   # transition rows (24 bytes each) per scan task
+HUB_LOTS = 16   # a node's transitions are dealt to so many partitions where ranks are shuffled to them
 
 
 class PageRankNotConverged(RuntimeError):
@@ -61,7 +62,8 @@ def pagerank(nodes: DataFrame, edges: DataFrame, alpha: float = 0.85, max_iter:
     transition table stays persisted; while n is under `broadcast_max_rows` the rank vector and the
     per-target sums (both n rows) travel by broadcast, so the only shuffle is
     the partial-aggregated contributions. Above the bound both joins are
-    shuffle joins and the transitions are pre-partitioned by source.
+    shuffle joins; the transitions are pre-partitioned by source and lot, so a hub is
+    spread over HUB_LOTS partitions, and each rank is sent once per lot.
     """
     if n is None:
         n = nodes.count()
@@ -71,10 +73,12 @@ def pagerank(nodes: DataFrame, edges: DataFrame, alpha: float = 0.85, max_iter:
     small = n <= broadcast_max_rows
     d = both_directions(edges)
     outw = d.groupBy("a").agg(F.sum("w").alias("sw"))
+    if not small:   # read back, both sides of the next join are plain shuffles, which AQE can split at a hub
+        outw = reliable_checkpoint(outw)
     trans = d.join(outw, "a").select("a", "b", (F.col("w") / F.col("sw")).alias("p"))
     if not small:   # ranks will be shuffled to the transitions: keep them co-partitioned
         nparts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        trans = trans.repartition(nparts, "a")
+        trans = trans.withColumn("lot", F.pmod(F.xxhash64("b"), F.lit(HUB_LOTS)).cast("int")).repartition(nparts, "a", "lot")
     cached = trans.persist(StorageLevel.MEMORY_AND_DISK_DESER)
     m2 = cached.count()
     trans = cached
@@ -89,10 +93,11 @@ def pagerank(nodes: DataFrame, edges: DataFrame, alpha: float = 0.85, max_iter:
     converged = False
     try:
         for _ in range(max_iter):
-            cur = sized_broadcast(ranks.select(F.col("id").alias("a"), F.col("r").alias("rp")),
-                                  n, broadcast_max_rows)
+            cur = ranks.select(F.col("id").alias("a"), F.col("r").alias("rp"))
+            cur = F.broadcast(cur) if small else cur.select(
+                "a", "rp", F.explode(F.sequence(F.lit(0), F.lit(HUB_LOTS - 1))).alias("lot"))
             # map-side: one partial sum per (partition, target) before the shuffle
-            contrib = (trans.join(cur, "a").groupBy(F.col("b").alias("id"))
+            contrib = (trans.join(cur, ["a"] if small else ["a", "lot"]).groupBy(F.col("b").alias("id"))
                        .agg(F.sum(F.col("rp") * F.col("p")).alias("s")))
             new = reliable_checkpoint(
                 ranks.join(sized_broadcast(contrib, n, broadcast_max_rows), "id", "left")
@@ -113,6 +118,12 @@ def pagerank(nodes: DataFrame, edges: DataFrame, alpha: float = 0.85, max_iter:
     return ranks.select("id", F.col("r").alias("pagerank"))
 
 
+def _minima(links: DataFrame, small: bool) -> DataFrame:
+    """(u, mv): the least neighbour of each node, ready to be joined to the links again."""
+    mn = links.groupBy("u").agg(F.min("v").alias("mv"))
+    return F.broadcast(mn) if small else reliable_checkpoint(mn)
+
+
 def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 64,
                          broadcast_max_rows: int = 2_000_000, n: int | None = None) -> DataFrame:
     """(id, component = smallest id of its component).
@@ -121,7 +132,8 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 6
     rounds of joins and aggregations, each round checkpointed. The per-node
     minima (at most n rows) reach the edge list by broadcast while n is under
     `broadcast_max_rows`, so a hub node never concentrates the edge list in
-    one task; above the bound they are shuffle joins (AQE splits skew).
+    one task; above the bound the minima are checkpointed, so that both sides of
+    their joins are plain shuffles, which AQE splits at a hub.
     Converged when every node has at most one parent and no parent has one.
     """
     if n is None:
@@ -132,12 +144,12 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 6
                               .distinct())
     for _ in range(max_rounds):
         # large-star: link every larger neighbour of u to min(N(u) + u)
-        mn = sized_broadcast(und.groupBy("u").agg(F.min("v").alias("mv")), n, broadcast_max_rows)
+        mn = _minima(und, n <= broadcast_max_rows)
         large = (und.join(mn, "u").where(F.col("v") > F.col("u"))
                  .select(F.col("v").alias("u"), F.least("u", "mv").alias("v")))
         # small-star: u's smaller neighbours and u itself point to min(N(u) + u);
         # duplicates of `large` only repeat rows that the final distinct removes
-        ms = sized_broadcast(large.groupBy("u").agg(F.min("v").alias("mv")), n, broadcast_max_rows)
+        ms = _minima(large, n <= broadcast_max_rows)
         small = (large.join(ms, "u").where(F.col("v") != F.col("mv"))
                  .select(F.col("v").alias("u"), F.col("mv").alias("v"))
                  .unionByName(ms.select("u", F.col("mv").alias("v"))).distinct())
