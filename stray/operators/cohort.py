@@ -90,6 +90,15 @@ def row_counts(frames: Mapping[str, DataFrame]) -> dict[str, int]:
     return {name: int(got.get(name, 0)) for name in frames}
 
 
+def input_bytes(frames: Mapping[str, DataFrame]) -> dict[str, int]:
+    """Bytes of the files that each frame reads (file-system metadata only); frames without files are left out."""
+    out = {}
+    for name, df in frames.items():
+        if files := df.inputFiles():
+            out[name] = sum(path_bytes(df.sparkSession, f) for f in files)
+    return out
+
+
 def path_bytes(spark: SparkSession, path: str) -> int:
     """Total bytes under a written path (file-system metadata only)."""
     jvm = spark._jvm
@@ -150,5 +159,5 @@ def cohort_reduce(logs: Mapping[str, DataFrame], psychometric: DataFrame | None
         total_mb = sum(bytes_out.values()) / (1024 * 1024)
         within = total_mb <= target_size_mb * 1.2
         suggested = None if within or total_mb == 0 else int(n_users * target_size_mb / total_mb)
-    report = cohort_report(before, filtered, None, bytes_out)
+    report = cohort_report(before, filtered, input_bytes(before) if out_dir is not None else None, bytes_out)
     return CohortResult(sample, n_sampled, filtered, report, total_mb, within, suggested)

@@ -230,5 +230,5 @@ def detect_anomalies_graph(nodes: DataFrame, edges: DataFrame, alpha: float = 0.
     """PageRank + degree -> graph anomaly scores on a given edge set."""
     n = nodes.count()
     pr = pagerank(nodes, edges, alpha, max_iter, tol, broadcast_max_rows, n)
-    deg = degree_centrality(nodes, edges, n)
-    return GraphResult(edges, pr, deg, graph_anomalies(pr, deg))
+    deg = reliable_checkpoint(degree_centrality(nodes, edges, n))
+    return GraphResult(edges, pr, deg, reliable_checkpoint(graph_anomalies(pr, deg)))

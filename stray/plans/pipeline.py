@@ -38,15 +38,18 @@ class PipelineResult:
     cf: DataFrame
     graph: G.GraphResult
     summary: DataFrame | None
+    top: DataFrame              # the config.top_k highest ranks of results
 
 
 def run_pipeline(features_df: DataFrame, features: Sequence[str],
                  config: PipelineConfig = PipelineConfig(), id_col: str = "user_id",
                  validate: bool = True) -> PipelineResult:
     """Load -> z-score -> cluster -> CF -> graph -> combine -> rank."""
+    # uniqueness, fit and transform each read the features: write them once
+    df = reliable_checkpoint(
+        features_df if id_col == "user_id" else features_df.withColumnRenamed(id_col, "user_id"))
     if validate:
-        check_unique_ids(features_df, id_col)
-    df = features_df if id_col == "user_id" else features_df.withColumnRenamed(id_col, "user_id")
+        check_unique_ids(df, "user_id")
     normalized, model = zscore(df, features, "user_id", config.nulls)
     # every later stage re-reads these vectors: materialise them once in the
     # shared folder (AQE sizes the partitions; survives executor loss)
@@ -83,7 +86,8 @@ def run_pipeline(features_df: DataFrame, features: Sequence[str],
     assigned = assigned.withColumn("u", unit("z", "_norm"))
     own = assigned.select("user_id", "z", "cluster", "cluster_distance",
                           (F.lit(1.0) - avg).alias("cf_anomaly_score"))
-    joined = own.join(graph.scores.select("user_id", "graph_anomaly_score"), "user_id")
+    # bounds, range sample and ranks each read the joined scores
+    joined = reliable_checkpoint(own.join(graph.scores.select("user_id", "graph_anomaly_score"), "user_id"))
     combined = combine_columns(joined, config.normalized_weights(),
                                keep=["z", "cluster", "cluster_distance"])
     ranked = rank_scores(combined)
@@ -94,7 +98,7 @@ def run_pipeline(features_df: DataFrame, features: Sequence[str],
                              "cluster", "cluster_distance", "final_anomaly_score", "rank")
     summary = score_summary(results, config.normalized_weights()) if config.show_summary else None
     return PipelineResult(results, extended, normalized, model, cl.k, cl.centroids, cl.k_table,
-                          cf, graph, summary)
+                          cf, graph, summary, results.where(F.col("rank") <= config.top_k))
 
 
 def write_outputs(res: PipelineResult, output_path: str, fmt: str = "csv") -> None:
