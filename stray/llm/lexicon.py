@@ -38,8 +38,8 @@ from stray.llm.common import bounded_batches, least_count, materialise, rows_of,
 #: Fixed value: the pre-tokeniser's pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 MARK_ID = 50256
-#: Merged chunks that a worker remembers before it starts afresh.
-REMEMBERED = 600_000
+#: Merged chunks, and pieces of them, that a worker remembers before it starts afresh.
+REMEMBERED = 300_000
 #: Bytes up to which a piece is merged by looking at all its pairs.
 SHORT = 32
 
@@ -53,17 +53,19 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 def merge_short(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """By looking at all pairs each time: the fastest way for a word."""
+    """With the ranks of all adjacent pairs in a list: the fastest way for a word."""
     parts = [piece[i:i + 1] for i in range(len(piece))]
-    while True:
-        best, at = None, -1
-        for i in range(len(parts) - 1):
-            r = ranks.get(parts[i] + parts[i + 1])
-            if r is not None and (best is None or r < best):
-                best, at = r, i
-        if best is None:
-            return [ranks[p] for p in parts]
-        parts[at:at + 2] = [parts[at] + parts[at + 1]]
+    rank, none = ranks.get, len(ranks) + MARK_ID
+    pairs = [rank(piece[i:i + 2], none) for i in range(len(piece) - 1)]
+    while pairs and (least := min(pairs)) < none:
+        i = pairs.index(least)
+        parts[i] += parts.pop(i + 1)
+        del pairs[i]
+        if i:
+            pairs[i - 1] = rank(parts[i - 1] + parts[i], none)
+        if i < len(pairs):
+            pairs[i] = rank(parts[i] + parts[i + 1], none)
+    return [ranks[p] for p in parts]
 
 
 def merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -96,13 +98,18 @@ def pattern():
     return regex.compile(PATTERN)
 
 
-def merge_chunk(chunk: str, ranks: dict[bytes, int]) -> list[int]:
+def merge_chunk(chunk: str, ranks: dict[bytes, int], known: dict[str, list[int]] | None = None) -> list[int]:
+    """Ids of a chunk; `known` remembers its pieces."""
+    known = {} if known is None else known
     ids: list[int] = []
     for k, section in enumerate(chunk.split(MARK)):
         if k:
             ids.append(MARK_ID)
         for piece in pattern().findall(section):
-            ids += merge(piece.encode(), ranks)
+            got = known.get(piece)
+            if got is None:
+                got = known[piece] = merge(piece.encode(), ranks)
+            ids += got
     return ids
 
 
@@ -219,6 +226,7 @@ class Codec:
     def __init__(self, lexicon: dict[str, np.ndarray], ranks: dict[bytes, int]) -> None:
         self.lexicon, self.ranks = lexicon, ranks
         self.merged: dict[str, list[int]] = {}
+        self.pieces: dict[str, list[int]] = {}
         self.bytes_of = [b""] * (MARK_ID + 1)
         for token, i in ranks.items():
             self.bytes_of[i] = token
@@ -227,12 +235,12 @@ class Codec:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
         split = [chunks(t) if t else [] for t in texts]
-        codes: dict[str, int] = {}
-        rows = [np.fromiter((codes.setdefault(c, len(codes)) for c in cs), np.int64, len(cs)) for cs in split]
-        distinct = list(codes)
+        codes, distinct = pd.factorize(np.array([c for cs in split for c in cs], dtype=object))
+        rows = np.split(codes, np.cumsum([len(cs) for cs in split])[:-1]) if split else []
         known = numbers(self.lexicon, [c.encode() for c in distinct])
-        if len(self.merged) > REMEMBERED:
-            self.merged.clear()
+        for memory in (self.merged, self.pieces):
+            if len(memory) > REMEMBERED:
+                memory.clear()
         ends, stored = self.lexicon["ends"], self.lexicon["ids"]
         ids_of = []
         for c, number in zip(distinct, known.tolist()):
@@ -241,7 +249,7 @@ class Codec:
                 continue
             got = self.merged.get(c)
             if got is None:
-                got = self.merged[c] = merge_chunk(c, self.ranks)
+                got = self.merged[c] = merge_chunk(c, self.ranks, self.pieces)
             ids_of.append(got)
         size = np.fromiter(map(len, ids_of), np.int64, len(ids_of))
         flat = np.fromiter((x for ids in ids_of for x in ids), np.uint32, int(size.sum()))
