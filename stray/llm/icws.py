@@ -10,11 +10,12 @@ then counted one by one.
 Consistent weighted samples (Ioffe's scheme) agree between two classes with probability
 equal to their weighted Jaccard similarity. Two samples make a band, and classes that
 agree in two bands are candidates. In each bucket of candidates a few leaders are
-compared with the rest, by exact weighted Jaccard; classes tied to a leader are done and
-the rest get four times as many leaders in the next round, until all have led or are tied.
+compared with the rest, by exact weighted Jaccard; classes in a leader's group are done and
+the rest get four times as many leaders in the next round, until all have led or are done.
 Then classes of different groups in one bucket are compared, a few first, at last all.
-So any two candidates are compared or are in one group already: no bucket is expanded
-into all its pairs, and none is capped. Links are closed to groups by min-label propagation.
+So any two candidates are compared, are in one group already, or are too far apart by
+their distances to a third (1 - weighted Jaccard is a metric): no bucket is expanded into
+all its pairs, and none is capped. Links are closed to groups by min-label propagation.
 
 A hot leader's pairs are salted in lots of `lot` and its text repeated once per lot.
 Class texts are kept compressed in a table bucketed by class, so rounds do not shuffle them.
@@ -36,7 +37,7 @@ import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, BooleanType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, DoubleType, LongType, StringType, StructField, StructType
 
 from stray.llm.common import (batch_word_hashes, bounded_batches, materialise, mixed, rows_of, shared_path,
                               shingle_hashes, squeezed, text_of)
@@ -201,7 +202,7 @@ def shared_by_two(rows: DataFrame, key: str, name: str) -> DataFrame:
 
 def buckets(classes: DataFrame, weights: Weights, p: NearDup) -> DataFrame:
     """(bucket, cls, rank): a bucket for each two bands that a class shares with others, of two classes or more.
-    rank orders the classes of a bucket, in one of three orders, evenly over [0, 1)."""
+    rank orders the classes evenly over [0, 1), alike in all buckets, so that buckets share their leaders."""
     sent = classes.sparkSession.sparkContext.broadcast(weights)  # bounded: the common shingles
 
     def sign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -217,12 +218,12 @@ def buckets(classes: DataFrame, weights: Weights, p: NearDup) -> DataFrame:
     two = F.flatten(F.transform("b", lambda x, i: F.transform(
         F.slice("b", i + 2, F.size("b")), lambda y: F.xxhash64(x, y))))
     each = materialise(held.select("cls", F.explode(two).alias("bucket")), "pairs-of-bands")
-    rank = F.xxhash64("cls", F.pmod("bucket", F.lit(3))).cast("double") / F.lit(2.0 ** 64) + 0.5
+    rank = F.xxhash64("cls").cast("double") / F.lit(2.0 ** 64) + 0.5
     return shared_by_two(each.select("bucket", "cls", rank.alias("rank")), "bucket", "buckets")
 
 
 def verified(pairs: DataFrame, classes: DataFrame, weights: Weights, p: NearDup) -> DataFrame:
-    """(leader, cls, near) for each of `pairs` (leader, cls), by exact weighted Jaccard."""
+    """(leader, cls, sim) for each of `pairs` (leader, cls): exact weighted Jaccard."""
     sent = classes.sparkSession.sparkContext.broadcast(weights)
 
     def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -231,14 +232,14 @@ def verified(pairs: DataFrame, classes: DataFrame, weights: Weights, p: NearDup)
         for batch in rows_of(batches):
             fresh = batch["leader"] != batch["leader"].shift()
             leaders = iter(shingles_of(batch["lz"][fresh]))
-            near = []
+            sim = []
             for leader, new, (h, times) in zip(batch["leader"], fresh, shingles_of(batch["z"])):
                 if new:
                     got = next(leaders)
                     if leader != last:
                         last, theirs = leader, (got[0], sent.value.of(*got))
-                near.append(weighted_jaccard((h, sent.value.of(h, times)), theirs) >= p.similarity)
-            yield pd.DataFrame({"leader": batch["leader"], "cls": batch["cls"], "near": near})
+                sim.append(weighted_jaccard((h, sent.value.of(h, times)), theirs))
+            yield pd.DataFrame({"leader": batch["leader"], "cls": batch["cls"], "sim": sim})
 
     # A leader's text is repeated once for each lot of its pairs; both sides are even then.
     lots = materialise(pairs.groupBy("leader").agg(F.ceil(F.count("*") / p.lot).cast("int").alias("lots")), "lots")
@@ -247,7 +248,7 @@ def verified(pairs: DataFrame, classes: DataFrame, weights: Weights, p: NearDup)
     leaders = lots.join(classes.select(F.col("cls").alias("leader"), F.col("z").alias("lz")), "leader").select(
         "leader", "lz", F.explode(F.sequence(F.lit(0), F.col("lots") - 1)).alias("lot"))
     both = members.join(leaders, ["leader", "lot"]).select("leader", "cls", "z", "lz")
-    out = StructType([StructField("leader", StringType()), StructField("cls", StringType()), StructField("near", BooleanType())])
+    out = StructType([StructField("leader", StringType()), StructField("cls", StringType()), StructField("sim", DoubleType())])
     return both.mapInPandas(compare, out)
 
 
@@ -272,7 +273,7 @@ class Compared:
 
     def __init__(self, classes: DataFrame, weights: Weights, p: NearDup) -> None:
         self.classes, self.weights, self.p = classes, weights, p
-        self.pairs = classes.sparkSession.createDataFrame([], "a string, b string, near boolean")
+        self.pairs = classes.sparkSession.createDataFrame([], "a string, b string, sim double")
 
     @staticmethod
     def ends() -> list:
@@ -280,43 +281,66 @@ class Compared:
 
     def add(self, wanted: DataFrame) -> None:
         """Compare those of `wanted` (leader, cls) that have not been compared."""
-        fresh = wanted.select("leader", "cls", *self.ends()).join(self.pairs.select("a", "b"), ["a", "b"], "left_anti")
-        fresh = fresh.groupBy("a", "b").agg(F.min(F.struct("leader", "cls")).alias("p")).select("p.leader", "p.cls")
+        fresh = wanted.groupBy(*self.ends()).agg(F.min(F.struct("leader", "cls")).alias("p"))
+        fresh = fresh.join(self.pairs.select("a", "b"), ["a", "b"], "left_anti").select("p.leader", "p.cls")
         checked = verified(materialise(fresh, "pairs"), self.classes, self.weights, self.p)
-        self.pairs = self.pairs.union(materialise(checked.select(*self.ends(), "near"), "checked"))
+        self.pairs = self.pairs.union(materialise(checked.select(*self.ends(), "sim"), "checked"))
 
     def links(self) -> DataFrame:
-        return self.pairs.where("near").select("a", "b")
-
-
-def tie_to_leaders(shared: DataFrame, compared: Compared) -> None:
-    """Compare leaders with their buckets until every class of a bucket has led or is tied to a leader."""
-    waiting, leaders = shared, 1
+        return self.pairs.where(F.col("sim") >= self.p.similarity).select("a", "b")
+
+    def marked(self, rows: DataFrame) -> DataFrame:
+        """`rows` (.., cls) with the group (label) that the links so far give each class."""
+        labels = components(self.links())
+        return rows.join(labels, "cls", "left").withColumn("label", F.coalesce("label", "cls"))
+
+    def may_be_near(self, sim: str, other: str):
+        """False only for pairs that cannot reach the similarity: 1 - weighted Jaccard is a metric, so
+        the distances of the two to the first leader of their bucket differ by at most their own."""
+        return F.abs(F.col(sim) - F.col(other)) <= 1 - self.p.similarity + 1e-9
+
+
+def meet_first_leaders(shared: DataFrame, compared: Compared) -> DataFrame:
+    """Compare each bucket with its class of least rank: (bucket, cls, rank, sim to that class)."""
+    first = materialise(shared.groupBy("bucket").agg(F.min(F.struct("rank", "cls")).alias("f")).select(
+        "bucket", F.col("f.cls").alias("leader")), "first")
+    met = materialise(shared.join(first, "bucket"), "met")
+    compared.add(met.where(F.col("leader") != F.col("cls")).select("leader", "cls"))
+    told = met.select("bucket", "cls", "rank", *Compared.ends()).join(compared.pairs, ["a", "b"], "left")
+    return materialise(told.select("bucket", "cls", "rank", F.coalesce("sim", F.lit(1.0)).alias("sim")), "placed")
+
+
+def tie_to_leaders(placed: DataFrame, compared: Compared) -> None:
+    """Compare more leaders with their buckets until every class of a bucket has led or is in a leader's group."""
+    marked = compared.marked(placed)
+    own = marked.groupBy("bucket").agg(F.min_by("label", F.struct("rank", "cls")).alias("led"))
+    waiting = marked.join(materialise(own, "led"), "bucket").where(F.col("label") != F.col("led")).select(placed.columns)
+    waiting, leaders = shared_by_two(materialise(waiting, "rest"), "bucket", "waiting"), 4
     while not waiting.isEmpty():
         # About `leaders` classes of each bucket lead: those of least rank, and always the first.
         sizes = materialise(waiting.groupBy("bucket").agg(
             F.count("*").alias("k"), F.min(F.struct("rank", "cls")).alias("first")), "sizes")
         chosen = materialise(waiting.join(sizes, "bucket").where(
-            (F.col("cls") == F.col("first.cls")) | ((F.lit(leaders) > 1) & (F.col("rank") < leaders / F.col("k")))).select(
-            "bucket", F.col("cls").alias("leader"), F.col("rank").alias("at")), "leaders")
-        met = materialise(waiting.join(chosen, "bucket").where(
-            F.struct("rank", "cls") > F.struct("at", "leader")).select("bucket", "leader", "cls"), "met")
-        compared.add(met)
-        tied = met.select("bucket", "cls", *Compared.ends()).join(compared.links(), ["a", "b"], "left_semi").select("bucket", "cls")
-        gone = tied.union(chosen.select("bucket", F.col("leader").alias("cls"))).distinct()
-        rest = materialise(waiting.join(gone, ["bucket", "cls"], "left_anti"), "rest")
+            (F.col("cls") == F.col("first.cls")) | (F.col("rank") < leaders / F.col("k"))).select(
+            "bucket", F.col("cls").alias("leader"), F.col("rank").alias("at"), F.col("sim").alias("lsim")), "leaders")
+        met = waiting.join(chosen, "bucket").where(
+            (F.struct("rank", "cls") > F.struct("at", "leader")) & compared.may_be_near("sim", "lsim"))
+        compared.add(met.select("leader", "cls"))
+        marked = materialise(compared.marked(waiting), "marked")
+        led = marked.join(chosen.select("bucket", F.col("leader").alias("cls")), ["bucket", "cls"], "left_semi").select(
+            "bucket", "label").distinct()
+        rest = materialise(marked.join(led, ["bucket", "label"], "left_anti").select(placed.columns), "rest")
         waiting = rest if rest.isEmpty() else shared_by_two(rest, "bucket", "waiting")
         leaders *= 4
 
 
-def join_groups(shared: DataFrame, compared: Compared) -> None:
-    """Compare classes of different groups that share a bucket: two that were both tied, to different leaders,
-    or one tied and one leader. First a few of each group, then more, at last all, so that groups that belong
+def join_groups(placed: DataFrame, compared: Compared) -> None:
+    """Compare classes of different groups that share a bucket: two in the groups of different leaders, or one
+    in a group and one leader. First a few of each group, then more, at last all, so that groups that belong
     together meet early and only groups that stay apart are compared in full."""
     few = 8
     while True:
-        labels = components(compared.links())
-        marked = shared.join(labels, "cls", "left").select("bucket", "cls", "rank", F.coalesce("label", "cls").alias("label"))
+        marked = materialise(compared.marked(placed), "marked")
         groups = materialise(marked.groupBy("bucket", "label").agg(F.count("*").alias("k"), F.min("rank").alias("first")), "groups")
         # Classes that are alone in their buckets have led, and so have met all the others that are.
         several = materialise(groups.groupBy("bucket").agg(F.count("*").alias("n"), F.max("k").alias("most")).where(
@@ -326,19 +350,24 @@ def join_groups(shared: DataFrame, compared: Compared) -> None:
             return
         some = materialise(marked.join(groups.join(several.select("bucket"), "bucket", "left_semi"), ["bucket", "label"]).where(
             (F.col("rank") <= F.col("first")) | (F.col("rank") < few / F.col("k"))), "some")
-        one = some.select("bucket", F.col("label").alias("l1"), F.col("k").alias("k1"), F.col("cls").alias("leader"))
-        two = some.select("bucket", F.col("label").alias("l2"), F.col("k").alias("k2"), "cls")
-        compared.add(one.join(two, "bucket").where("l1 < l2 and (k1 > 1 or k2 > 1)").select("leader", "cls"))
+        one = some.select("bucket", F.col("label").alias("l1"), F.col("k").alias("k1"), F.col("sim").alias("s1"),
+                          F.col("cls").alias("leader"))
+        two = some.select("bucket", F.col("label").alias("l2"), F.col("k").alias("k2"), F.col("sim").alias("s2"), "cls")
+        compared.add(one.join(two, "bucket").where(
+            F.expr("l1 < l2 and (k1 > 1 or k2 > 1)") & compared.may_be_near("s1", "s2")).select("leader", "cls"))
         if few >= most:
             return
         few *= 32
 
 
 def links_between(classes: DataFrame, weights: Weights, p: NearDup) -> DataFrame:
-    """(a, b): verified links. Any two classes that share a bucket were compared or are in one group by them."""
+    """(a, b): verified links. Any two classes that share a bucket were compared, are in one group by others, or
+    cannot be near by their distances to the bucket's first leader."""
     shared, compared = buckets(classes, weights, p), Compared(classes, weights, p)
-    tie_to_leaders(shared, compared)
-    join_groups(shared, compared)
+    if not shared.isEmpty():
+        placed = meet_first_leaders(shared, compared)
+        tie_to_leaders(placed, compared)
+        join_groups(placed, compared)
     return compared.links()
 
 
