@@ -114,3 +114,55 @@ def test_edges(spark):
     r = lm.score_documents(only).head()
     assert (r.n_known, r.train_tokens, r.score) == (0, 0, 0.0)
     assert lm.score_documents(clashing(spark)).count() == len(out)
+
+
+def test_every_word_is_a_context_of_its_own(spark):
+    """The model of the query by brute force: all pairs, weights by the bucket of the true context count."""
+    rows = [(r.doc_id, r.text) for r in documents(spark, SF).collect()] + [(10_001, "never seen words"), (10_002, None)]
+    sides, pairs = [Counter(), Counter()], [Counter(), Counter()]
+    for i, x in rows:
+        if fold(i) >= 0:
+            ts = tokens(x)
+            sides[fold(i)].update(ts)
+            pairs[fold(i)].update(zip([lm.END, *ts[:-1]], ts))
+    c, both = sides[0] + sides[1], pairs[0] + pairs[1]
+    n, v = sum(c.values()), len(c)
+    e1 = 0.5
+    steps = lm.Shape().em_steps
+    for _ in range(steps):
+        num = 0.0
+        for f in (0, 1):
+            for t, k in sides[1 - f].items():
+                a = e1 * sides[f][t] / sum(sides[f].values())
+                num += k * a / (a + (1 - e1) / (v + 1))
+        e1 = num / n
+    e = 1 - e1
+    bucket = lambda x: 1 + int(math.log2(x)) if x > 0 else 0
+    seen = []  # (bucket, p2, p1, times)
+    for f in (0, 1):
+        size = sum(sides[f].values())
+        seen += [(bucket(sides[f][h]), pairs[f][(h, w)] / max(sides[f][h], 1), (1 - e) * sides[f][w] / size + e / (v + 1), k)
+                 for (h, w), k in pairs[1 - f].items()]
+    weight = {}
+    for _ in range(steps):
+        num, den = Counter(), Counter()
+        for b, p2, low, k in seen:
+            l = weight.get(b, 0.5)
+            num[b] += k * l * p2 / (l * p2 + (1 - l) * low)
+            den[b] += k
+        weight = {b: num[b] / den[b] for b in den}
+
+    def p(w, h):
+        l = weight.get(bucket(c[h]), 0.0) if c[h] else 0.0
+        return l * both[(h, w)] / max(c[h], 1) + (1 - l) * ((1 - e) * c[w] / n + e / (v + 1))
+
+    for h in (lm.END, min(c, key=lambda t: (c[t], t)), b"never seen"):  # a distribution, also after a word met once
+        assert sum(p(w, h) for w in c) + p(b"never seen", h) == pytest.approx(1.0)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for shape in (lm.Shape(), lm.Shape(frequent=300, pairs=500), lm.Shape(frequent=0, pairs=0)):
+        out = lm.score_documents(docs, shape).collect()
+        assert len(out) == len(rows)
+        for r in out:
+            ts = tokens(dict(rows)[r.doc_id])
+            assert r.score == pytest.approx(sum(math.log10(p(w, h)) for w, h in zip(ts, [lm.END, *ts[:-1]])), rel=1e-4)
+            assert r.n_known == sum(c[t] > 0 for t in ts)
