@@ -1,17 +1,20 @@
 """Personal data: fixed patterns, and information-theoretic sanitisation around them.
 
 Four kinds of entity are found by pattern in every whole text. The corpus then tells
-how strongly other terms reveal an entity: for a term t near an entity e, the pointwise
-mutual information log(p(e, t) / (p(e) p(t))) over distinct documents, as a share of the
-entity's own information -log p(e). A term that discloses at least `share` of it, seen
-with it in at least `min_docs` distinct texts, is a span of kind `term` wherever it
-stands near that entity. Sanitised texts carry the kind in place of each entity and a
-generalised mark in place of each term.
+how strongly other terms reveal an entity: for a term t of a document that holds the
+entity e, the pointwise mutual information log(p(t | e) / p(t)) over distinct documents,
+as a share of the entity's own information -log p(e). p(t | e) is smoothed towards p(t)
+by `prior` documents, so that few texts prove less, without a least number. An entity is
+its value, and also each group that it is in: its mail domain or number prefix, and its
+kind. A term that discloses at least `share` of any of them is a span of kind `term`
+wherever it stands in a document that holds it. Sanitised texts carry the kind in place
+of each entity and a generalised mark in place of each term.
 
 All of it is DataFrame functions. Positions come from cutting the text at its matches:
 the lengths of the parts add up to code-point offsets. The patterns are written with
 possessive repeats, which match the same and neither recurse nor go back in long runs.
 Co-occurrences pre-aggregate per (entity, term), exact copies of a text counting once.
+A document gives a row for each of its entities with each of its terms.
 
 Defined cases: a null text is empty and has no spans; repeated rows are treated alike;
 an entity seen in all documents carries no information and discloses nothing; extra
@@ -22,7 +25,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stray.llm.common import materialise, text_of
@@ -44,11 +47,10 @@ BYTE_VALUE = r"^0*+(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})?$"
 
 @dataclass(frozen=True)
 class Disclosure:
-    """Terms within `window` code points of an entity; a term is a run of letters."""
+    """prior: documents of p(t) by which p(t | e) is smoothed; a term is a run of letters."""
 
     share: float = 0.5
-    min_docs: int = 3
-    window: int = 60
+    prior: float = 2.0
     min_letters: int = 4
 
 
@@ -95,51 +97,53 @@ def find_entities(docs: DataFrame, text: str = "text") -> DataFrame:
     return rows.select("doc", "row", "text", F.concat(*[spans_of(k, F.col("text")) for k in KINDS]).alias("spans"))
 
 
-def nearby_terms(found: DataFrame, d: Disclosure) -> DataFrame:
-    """(row, copy, entity, term, start, end): each term beside each entity of a document.
+def groups_of(span: Column) -> Column:
+    """The entity's value and the groups it is in: mail domain or the first digits of a number, and kind."""
+    value = F.lower(span["value"])
+    digits = F.regexp_replace(value, "[^0-9]", "")
+    part = (F.when(span["kind"] == "email", F.regexp_extract(value, "@.*$", 0))
+            .when(span["kind"] == "ip", F.concat(F.substring_index(value, ".", 2), F.lit(".")))
+            .when(span["kind"] == "card", F.concat(F.substring(digits, 1, 6), F.lit("-")))
+            .otherwise(F.concat(F.lit("+"), F.substring(digits, 1, 4), F.lit("-"))))
+    return F.array(F.concat_ws(":", span["kind"], value), F.concat_ws(":", span["kind"], part), span["kind"])
 
-    Words are the runs without white space wholly inside the window; a term is such a
-    word, without punctuation at its ends, that consists of letters.
+
+def holders(found: DataFrame) -> DataFrame:
+    """(row, copy, text, entities) of the documents with an entity; entities with their groups, each once."""
+    entities = F.array_distinct(F.flatten(F.transform("spans", groups_of)))
+    return found.where(F.size("spans") > 0).select("row", F.xxhash64("text").alias("copy"), "text", entities.alias("entities"))
+
+
+def terms_of(held: DataFrame, d: Disclosure) -> DataFrame:
+    """(row, term, start, end): every term of these documents.
+
+    A term is a run without white space that consists of letters, without the punctuation at its ends.
     """
-    hits = found.where(F.size("spans") > 0).select(
-        "row", "text", F.xxhash64("text").alias("copy"), F.explode("spans").alias("s"))
-    entity = F.concat_ws(":", "s.kind", F.lower("s.value"))
-    begin = F.greatest(F.lit(0), F.col("s.start") - d.window)
-    before = F.substring(F.col("text"), begin + 1, F.col("s.start") - begin)
-    after = F.substring(F.col("text"), F.col("s.end") + 1, F.lit(d.window))
-    cut = F.when(begin > 0, F.char_length(F.regexp_extract(before, r"^\S*+", 0))).otherwise(0)
-    glued = F.char_length(F.regexp_extract(after, r"^\S*+", 0))
-    whole = F.col("s.end") + d.window >= F.char_length("text")
-    no_last = lambda part: F.regexp_replace(part, r"(?<!\S)\S++$", "")
-    trimmed = F.when(whole, after).otherwise(no_last(after))
-    sides = F.array(
-        F.struct((begin + cut).alias("at"), no_last(F.substring(before, cut + 1, F.char_length(before))).alias("part")),
-        F.struct((F.col("s.end") + glued).alias("at"),
-                 F.substring(trimmed, glued + 1, F.char_length(trimmed)).alias("part")))
-    parts = hits.select("row", "copy", entity.alias("entity"), F.explode(sides).alias("side"))
     word = rf"(?<=(?:^|\s)\p{{P}}{{0,3}})\p{{L}}{{{d.min_letters},}}+(?=\p{{P}}*+(?:\s|$))"
-    terms = parts.select("row", "copy", "entity", "side.at", F.explode(located(F.col("side.part"), word)).alias("w"))
-    return terms.select("row", "copy", "entity", F.lower("w.value").alias("term"),
-                        (F.col("at") + F.col("w.start")).alias("start"), (F.col("at") + F.col("w.end")).alias("end"))
+    parts = F.arrays_zip(F.split("text", word, -1).alias("gap"), F.regexp_extract_all("text", F.lit(word), F.lit(0)).alias("value"))
+    cut = held.select("row", F.posexplode(parts).alias("at", "p")).select(
+        "row", "at", F.char_length("p.gap").alias("gap"), F.col("p.value").alias("value"))
+    size = F.coalesce(F.char_length("value"), F.lit(0))
+    end = F.sum(F.col("gap") + size).over(Window.partitionBy("row").orderBy("at")).cast("int")
+    return cut.withColumn("end", end).where(F.col("value").isNotNull()).select(
+        "row", F.lower("value").alias("term"), (F.col("end") - size).alias("start"), "end")
 
 
-def revealing_pairs(found: DataFrame, terms: DataFrame, d: Disclosure) -> DataFrame:
+def revealing_pairs(found: DataFrame, held: DataFrame, both: DataFrame, d: Disclosure) -> DataFrame:
     """(entity, term) pairs that disclose too much, from counts over all distinct texts."""
     copies = found.select("text", F.xxhash64("text").alias("copy"))
     total = copies.agg(F.count_distinct("copy").alias("n"))
-    joint = materialise(terms.groupBy("entity", "term").agg(F.count_distinct("copy").alias("both"))
-                        .where(F.col("both") >= d.min_docs), "joint")
-    owners = found.select(F.xxhash64("text").alias("copy"), F.explode("spans").alias("s")).select(
-        "copy", F.concat_ws(":", "s.kind", F.lower("s.value")).alias("entity"))
-    entities = owners.join(joint.select("entity").distinct(), "entity", "left_semi").groupBy("entity").agg(
-        F.count_distinct("copy").alias("of_entity"))
+    once = held.groupBy("copy").agg(F.min("row").alias("row"), F.min("entities").alias("entities"))  # copies collapse before they are dealt
+    joint = materialise(both.where("once").groupBy("entity", "term").agg(F.count("*").alias("both")), "joint")
+    entities = once.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("of_entity"))
     words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))
     wanted = joint.select("term").distinct()
     # Copies count as often as they stand here: only a lower disclosure can come of that.
     spread = (copies.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("of_term"))
               .join(wanted, "term"))  # inner: a semi join would be moved below the count
     n = F.col("n").cast("double")
-    pmi = F.log(F.col("both") * n / (F.col("of_entity") * F.col("of_term")))
+    rate = F.col("of_term") / n
+    pmi = F.log((F.col("both") + d.prior * rate) / (F.col("of_entity") + d.prior) / rate)
     known = F.log(n / F.col("of_entity"))
     return (joint.join(entities, "entity").join(spread, "term").crossJoin(F.broadcast(total))  # one row
             .where((known > 0) & (pmi >= d.share * known)).select("entity", "term"))
@@ -148,10 +152,17 @@ def revealing_pairs(found: DataFrame, terms: DataFrame, d: Disclosure) -> DataFr
 def find_spans(docs: DataFrame, text: str = "text", d: Disclosure = Disclosure()) -> DataFrame:
     """(doc, text, spans, terms): base spans and revealing terms, each by start."""
     found = find_entities(docs, text)
-    terms = materialise(nearby_terms(found, d), "terms")
-    pairs = materialise(revealing_pairs(found, terms, d), "revealing")
+    texts = holders(found)
+    held = materialise(texts.select("row", "copy", "entities"), "holders")
+    terms = materialise(terms_of(texts, d), "terms")
+    first = held.groupBy("copy").agg(F.min("row").alias("row")).select("row", F.lit(True).alias("f"))
+    owners = held.select("row", F.explode("entities").alias("entity")).join(first, "row", "left")
+    both = materialise(terms.select("row", "term").distinct().join(owners, "row").select(
+        "row", "entity", "term", F.coalesce("f", F.lit(False)).alias("once")), "both")
+    pairs = materialise(revealing_pairs(found, held, both, d), "revealing")
     # Of all overlapping base spans none is touched: a term is letters only, between blanks or punctuation.
-    kept = terms.join(pairs, ["entity", "term"], "left_semi").select(
+    shown = both.join(pairs, ["entity", "term"], "left_semi").select("row", "term").distinct()
+    kept = terms.join(shown, ["row", "term"]).select(
         F.col("row").alias("r"), F.struct(F.lit("term").alias("kind"), "start", "end", F.col("term").alias("value")).alias("s"))
     per_row = kept.groupBy("r").agg(F.sort_array(F.collect_set("s")).alias("terms"))
     none = F.array().cast("array<struct<kind:string,start:int,end:int,value:string>>")

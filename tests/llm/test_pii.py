@@ -72,3 +72,21 @@ def test_overlaps_and_edges(spark):
     docs = clashing(spark)
     stage = pii.pii_stage(docs)
     assert stage.columns == docs.columns and stage.count() == docs.count()
+
+
+def test_terms_of_whole_documents_and_of_groups(spark):
+    """A name far from an address seen in one text, and a firm's name beside different addresses of its domain."""
+    far = " and so on" * 20
+    rows = [(1, f"Zebedee was here{far} mail zb@one.net now{far} then Zebedee left", "en", "s", 0)]
+    rows += [(10 + i, f"ask Acmecorp about part q{i}z{far} at u{i}@acme.com now", "en", "s", 0) for i in range(6)]
+    rows += [(100 + i, f"mail was here q{i}z now then left ask about part", "en", "s", 0) for i in range(200)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    text = {r[0]: r[1] for r in rows}
+    got = {r.doc_id: r.spans for r in pii.pii_query(docs).collect()}
+
+    def terms(i):
+        return [text[i][int(a):int(b)] for k, a, b in (s.split(":") for s in got[i].split(",") if s) if k == "term"]
+
+    assert terms(1) == ["Zebedee", "Zebedee"]
+    assert all(terms(10 + i) == ["Acmecorp"] for i in range(6))
+    assert all(got[100 + i] == "" for i in range(200))
