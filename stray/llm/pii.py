@@ -131,14 +131,13 @@ def terms_of(held: DataFrame, d: Disclosure) -> DataFrame:
 
 def revealing_pairs(found: DataFrame, held: DataFrame, both: DataFrame, d: Disclosure) -> DataFrame:
     """(entity, term) pairs that disclose too much, from counts over all distinct texts."""
-    copies = found.select("text", F.xxhash64("text").alias("copy"))
-    total = copies.agg(F.count_distinct("copy").alias("n"))
+    copies = found.groupBy(F.xxhash64("text").alias("copy")).agg(F.min("text").alias("text"))  # one row for each distinct text
+    total = found.agg(F.count_distinct(F.xxhash64("text")).alias("n"))
     once = held.groupBy("copy").agg(F.min("row").alias("row"), F.min("entities").alias("entities"))  # copies collapse before they are dealt
     joint = materialise(both.where("once").groupBy("entity", "term").agg(F.count("*").alias("both")), "joint")
     entities = once.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("of_entity"))
     words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+"))
     wanted = joint.select("term").distinct()
-    # Copies count as often as they stand here: only a lower disclosure can come of that.
     spread = (copies.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("of_term"))
               .join(wanted, "term"))  # inner: a semi join would be moved below the count
     n = F.col("n").cast("double")

@@ -90,3 +90,11 @@ def test_terms_of_whole_documents_and_of_groups(spark):
     assert terms(1) == ["Zebedee", "Zebedee"]
     assert all(terms(10 + i) == ["Acmecorp"] for i in range(6))
     assert all(got[100 + i] == "" for i in range(200))
+
+
+def test_copies_do_not_hide_a_term(spark):
+    told = [f"part q{i}z of Zebedee at zb@mail.net" for i in range(3)]
+    rows = [(100 * i + k, t, "en", "s", 0) for i, t in enumerate(told) for k in range(30)]
+    rows += [(1000 + i, f"part q{i}z alone", "en", "s", 0) for i in range(20)]
+    got = {r.doc_id: r.spans for r in pii.pii_query(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert all(f"term:{t.index('Zebedee')}:{t.index('Zebedee') + 7}" in got[100 * i + k] for i, t in enumerate(told) for k in range(30))
