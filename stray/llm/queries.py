@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from stray.llm import fracsketch, hosts, icws, lexicon, licenses, lm, packing, pii, quality, toxicity
+from stray.llm import (dialogue, fracsketch, hosts, icws, lexicon, licenses, line_store, lm, packing, pii, quality,
+                       spelling, toxicity)
 from stray.llm.common import table
 
 
@@ -58,6 +59,23 @@ def op10_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexicon.encode_documents(table(spark, sf_dir, "documents"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants of every frequent word."""
+    return spelling.spelling_query(table(spark, sf_dir, "documents"))
+
+
+def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines that a later document repeats."""
+    return line_store.line_dedup_query(table(spark, sf_dir, "documents"))
+
+
+def op13_dialogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cheapest repair of every damaged conversation."""
+    return dialogue.dialogue_query(table(spark, sf_dir, "conversations"))
+
+
 QUERIES = {f.__name__: f for f in (op1_quality, op2_licenses, op3_hosts, op4_toxicity, op5_packing, op6_lm, op7_pii,
-                                   op8_fingerprints, op9_near_duplicates, op10_lexicon)}
-ORACLE = {"op1_quality": quality.QUALITY_SQL, "op2_licenses": licenses.LICENSE_SQL, "op3_hosts": hosts.HOSTS_SQL}
+                                   op8_fingerprints, op9_near_duplicates, op10_lexicon, op11_spelling, op12_line_dedup,
+                                   op13_dialogue)}
+ORACLE = {"op1_quality": quality.QUALITY_SQL, "op2_licenses": licenses.LICENSE_SQL, "op3_hosts": hosts.HOSTS_SQL,
+          "op12_line_dedup": line_store.LINE_DEDUP_SQL}
