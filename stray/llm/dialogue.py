@@ -413,7 +413,7 @@ def cut_conversations(chunks: DataFrame, rules: list[str]) -> DataFrame:
             cell = pa.list_(pa.struct([("cost", pa.int64()), ("audit", pa.string())]))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, cell)], [*batch.schema.names, "cells"])
 
-    own = chunks.select("conv", "part", "chunk", "seq", F.col("roles")[0].alias("r1"), F.element_at(
+    own = chunks.select("conv", "part", "chunk", "seq", F.get("roles", F.lit(0)).alias("r1"), F.element_at(
         F.when(F.size("roles") > 0, F.col("roles")), -1).alias("r2"), *FIGURES[4:-1])
     matrix = own.mapInArrow(evaluated, T.StructType([*own.schema.fields, T.StructField("cells", T.StructType.fromDDL(f"c {cells}")["c"].dataType)]))
     # the chunks of a conversation in order: only matrices and figures, no texts

@@ -139,6 +139,21 @@ def test_a_conversation_over_many_chunks_and_tasks(spark, monkeypatch):
     assert got(D.dialogue_query(df)) == expected(rows)
 
 
+def test_every_conversation_at_the_edge_of_a_task(spark):
+    """More partitions than conversations: chunks of one row, and chunks whose rows were all dropped."""
+    conf = {"spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "61"}
+    before = {k: spark.conf.get(k) for k in conf}
+    rows = odd_rows(25, seed=9)
+    rows += [(conv, turn, "user", "x.") for conv in range(100, 140) for turn in range(9) if zlib.crc32(f"{conv}:{turn}".encode()) % 20 == 0]
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        assert got(D.dialogue_query(spark.createDataFrame(rows, SCHEMA))) == expected(rows)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_rules_change_no_product():
     rnd, known = random.Random(1), {}
     signs = [chr(D.FIRST + i) for i in range(9)]
