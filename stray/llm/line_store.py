@@ -313,7 +313,8 @@ class LineStore:
 
     def _joined(self, docs: DataFrame, doc_id: str, *columns: Column) -> DataFrame:
         gone = materialise(self.dropped(), "line-gone").withColumnRenamed("doc", "_doc")
-        own = docs.select(F.col(doc_id).alias("_id"), *columns)
+        # a shuffle join at every size: what a document loses has no bound over all documents
+        own = docs.select(F.col(doc_id).alias("_id"), *columns).hint("merge")
         return own.join(gone, F.col("_id").eqNullSafe(F.col("_doc")), "left").drop("_doc")
 
     def digests(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
