@@ -8,13 +8,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stray.functions.moments import co_moments
 from stray.functions.stats import exact_percentiles
 from stray.operators.scoring import SCORE, top_anomalies
 
+# Columns of the detail table that may be absent.
 DETAIL_OPTIONAL = ("cluster", "cluster_distance", "cf_anomaly_score", "pagerank_score")
 
 
@@ -64,32 +67,16 @@ def report_cluster_sizes(df: DataFrame, cluster_col: str = "cluster") -> DataFra
 
 
 def report_correlation(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """V5: Pearson correlation of every column pair as (x, y, corr), one aggregate.
-    Pairwise deletion of nulls; a constant column gives null (no division by 0)."""
+    """V5: Pearson correlation of every column pair as (x, y, corr), from mergeable co-moment matrices.
+    Pairwise deletion of nulls and NaN; a constant column gives null (no division by 0)."""
     spark = df.sparkSession
     if columns is None:
         columns = [f.name for f in df.schema.fields
                    if isinstance(f.dataType, T.NumericType)]
     cols = list(columns)
-    aggs = []
-    for i, x in enumerate(cols):
-        for j, y in enumerate(cols):
-            if j < i:
-                continue
-            both = F.col(x).isNotNull() & F.col(y).isNotNull()
-            xv = F.when(both, F.col(x).cast("double"))
-            yv = F.when(both, F.col(y).cast("double"))
-            aggs += [F.covar_pop(xv, yv).alias(f"c_{i}_{j}"), F.var_pop(xv).alias(f"vx_{i}_{j}"),
-                     F.var_pop(yv).alias(f"vy_{i}_{j}")]
-    row = df.agg(*aggs).first()
-    out = []
-    for i, x in enumerate(cols):
-        for j, y in enumerate(cols):
-            a, b = (i, j) if i <= j else (j, i)
-            c, vx, vy = row[f"c_{a}_{b}"], row[f"vx_{a}_{b}"], row[f"vy_{a}_{b}"]
-            val = None if (c is None or not vx or not vy or vx <= 0 or vy <= 0) \
-                else c / (vx * vy) ** 0.5
-            out.append((x, y, val))
+    found = co_moments(df, cols) if cols else None
+    r = found.correlation() if found is not None else np.full((len(cols), len(cols)), np.nan)
+    out = [(x, y, None if np.isnan(r[i, j]) else float(r[i, j])) for i, x in enumerate(cols) for j, y in enumerate(cols)]
     return spark.createDataFrame(out, "x string, y string, corr double")
 
 

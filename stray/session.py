@@ -42,3 +42,8 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
 def sized_broadcast(df: DataFrame, n_rows: int, max_rows: int) -> DataFrame:
     """Broadcast hint only for a side whose row count is known to be small."""
     return F.broadcast(df) if n_rows <= max_rows else df
+
+
+def bounded_batches(spark: SparkSession, size: int) -> None:
+    """Bound Arrow batches by bytes: rows that hold blocks or texts differ in size."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))

@@ -47,3 +47,41 @@ def test_correlation_guards_constant_column(spark):
     assert corr[("a", "b")] == pytest.approx(1.0)
     assert corr[("a", "c")] is None and corr[("c", "c")] is None
     assert len(corr) == 9
+
+
+def test_correlation_of_many_columns_with_gaps_and_large_means(spark, monkeypatch):
+    import pandas as pd
+    from stray.functions import moments
+    monkeypatch.setattr(moments, "FAN_IN", 3)
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(900, 7)) @ rng.normal(size=(7, 7)) + 1e6
+    x[rng.uniform(size=x.shape) < 0.2] = np.nan
+    x[:, 5] = 0.1                                   # constant
+    x[:880, 6] = np.nan
+    names = ["a", "b.c", "d`e", "f", "g", "h", "i"]
+    pdf = pd.DataFrame(x, columns=names)
+    rows = [[None if np.isnan(v) else float(v) for v in r] for r in x]
+    df = spark.createDataFrame(rows, ", ".join(f"`{n.replace('`', '``')}` double" for n in names)).repartition(13)
+    m = moments.co_moments(df.toDF(*[f"c{i}" for i in range(7)]), [f"c{i}" for i in range(7)])
+    want = pdf.corr().to_numpy()
+    got = m.correlation()
+    ok = ~np.isnan(want) & (np.arange(7) != 5)[:, None] & (np.arange(7) != 5)[None, :]
+    assert np.allclose(got[ok], want[ok], atol=1e-9) and np.isnan(got[5]).all() and np.isnan(got[:, 5]).all()
+    assert m.n[0, 1] == (~np.isnan(x[:, 0]) & ~np.isnan(x[:, 1])).sum()
+    one = {(r["x"], r["y"]): r["corr"] for r in R.report_correlation(df, ["a", "b.c"]).collect()}
+    assert one[("a", "b.c")] == pytest.approx(want[0, 1], abs=1e-9)
+    assert all(r["corr"] is None for r in R.report_correlation(df.limit(0), ["a", "f"]).collect())
+
+
+def test_correlation_of_300_columns(spark):
+    import time
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(2000, 300))
+    x[:, 1] = x[:, 0] * 2
+    df = spark.createDataFrame([r.tolist() for r in x], ", ".join(f"c{i} double" for i in range(300)))
+    df = df.repartition(4)
+    begun = time.time()
+    got = R.report_correlation(df)
+    assert got.count() == 90_000 and time.time() - begun < 30
+    by = {(r["x"], r["y"]): r["corr"] for r in got.where("x = 'c0'").collect()}
+    assert by[("c0", "c1")] == pytest.approx(1.0) and by[("c0", "c7")] == pytest.approx(np.corrcoef(x[:, 0], x[:, 7])[0, 1])
