@@ -38,9 +38,9 @@ class PipelineConfig:
     show_summary: bool = True
     seed: int = 42
     # K-Means: "mllib" = best of `kmeans_starts` MLlib fits (k-means||);
-    # "sampled" = best of `kmeans_starts` seeded starts, all runs (and all k of
-    # find_optimal_k) advancing in one pass per step; "lowest_ids" = Lloyd from
-    # the k rows with the lowest ids (deterministic).
+    # "d2" = best of `kmeans_starts` D^2-weighted starts, "sampled" = of seeded rows,
+    # all runs (and all k of find_optimal_k) advancing in one pass per step with
+    # distance bounds; "lowest_ids" = Lloyd from the k rows with the lowest ids.
     kmeans_init: str = "mllib"
     kmeans_starts: int = 10
     kmeans_max_iter: int = 300

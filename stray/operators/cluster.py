@@ -9,17 +9,25 @@ costs one row per map partition.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import math
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stray.functions.vectors import lit_vector, sq_dist
-from stray.operators import pairs as P
+from stray.operators import blocks as B
+from stray.operators import kmeans as M
+from stray.session import bounded_batches, reliable_checkpoint
 
 Centroids = list[list[float]]
+#: Digits of the inertia by which starts are compared: starts that end in one clustering differ in rounding only.
+COST_DIGITS = 6
 
 
 def centroids_literal(centroids: Centroids):
@@ -76,34 +84,11 @@ def lloyd(vecs: DataFrame, init: Centroids, iterations: int, tol: float | None =
 
 
 def lloyd_many(vecs: DataFrame, inits: Sequence[Centroids], iterations: int,
-               tol: float | None = None, vec_col: str = "z") -> list[Centroids]:
-    """Several independent Lloyd runs (e.g. one per k) sharing each pass over
-    the data: one projection labels every row for every run, one
-    groupBy(run, cluster) updates all centroids. A run that has converged
-    (shift <= tol) is frozen."""
-    cents = [[list(c) for c in init] for init in inits]
-    d = len(cents[0][0])
-    active = [True] * len(cents)
-    for _ in range(iterations):
-        if not any(active):
-            break
-        # distances first (one column), argmin in a second projection
-        dists = vecs.select(F.col(vec_col),
-                            F.array(*[_argmin_cluster(vec_col, cs) for cs in cents]).alias("_d"))
-        labs = F.transform("_d", lambda x: (F.array_position(x, F.array_min(x)) - 1).cast("int"))
-        rows = (dists.select(F.col(vec_col), F.posexplode(labs).alias("run", "cluster"))
-                .groupBy("run", "cluster")
-                .agg(*[F.avg(F.col(vec_col)[i]).alias(f"c{i}") for i in range(d)]).collect())
-        new = [[list(c) for c in cs] for cs in cents]
-        for r in rows:
-            if active[r["run"]]:
-                new[r["run"]][r["cluster"]] = [float(r[f"c{i}"]) for i in range(d)]
-        for j, (o, nw) in enumerate(zip(cents, new)):
-            shift = max(sum((x - y) ** 2 for x, y in zip(a, b)) for a, b in zip(o, nw))
-            if tol is not None and shift <= tol:
-                active[j] = False
-        cents = new
-    return cents
+               tol: float | None = None, vec_col: str = "z", id_col: str = "user_id") -> list[Centroids]:
+    """Several independent Lloyd runs (e.g. one per k) sharing each pass over the data, with distance
+    bounds (see `kmeans`). A run that has converged (shift <= tol) is frozen."""
+    rows = M.packed_rows(vecs, (), id_col, vec_col)
+    return [c.tolist() for c in M.Bounded(rows, [np.array(i) for i in inits]).run(iterations, tol)]
 
 
 @dataclass(frozen=True)
@@ -138,77 +123,35 @@ def mllib_kmeans(vecs: DataFrame, k: int, seed: int = 42, n_starts: int = 10,
         data.unpersist()
 
 
-def _multi_run_step(vecs: DataFrame, runs: Sequence[Centroids], vec_col: str) -> DataFrame:
-    """One Lloyd pass for many runs: NumPy labels each Arrow batch for every run
-    and emits only per-(run, cluster) partial sums, at most sum(k) rows a batch;
-    the centroids travel in the closure, not in the plan."""
-    import numpy as np
-    import pandas as pd
-    cents = [np.asarray(c, dtype=np.float64) for c in runs]
-    d = cents[0].shape[1]
-
-    def fn(batches):
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            x = np.stack(pdf[vec_col].to_numpy()).astype(np.float64, copy=False)
-            rows = []
-            for r, c in enumerate(cents):
-                d2 = ((x[:, None, :] - c[None, :, :]) ** 2).sum(-1)
-                lab = d2.argmin(1)
-                best = d2[np.arange(len(x)), lab]
-                for j in np.unique(lab):
-                    sel = lab == j
-                    rows.append((r, int(j), int(sel.sum()), x[sel].sum(0).tolist(),
-                                 float(best[sel].sum())))
-            yield pd.DataFrame(rows, columns=["run", "cluster", "n", "s", "d2"])
-
-    part = vecs.select(vec_col).mapInPandas(
-        fn, "run int, cluster int, n long, s array<double>, d2 double")
-    return part.groupBy("run", "cluster").agg(
-        F.sum("n").alias("n"), F.sum("d2").alias("d2"),
-        *[F.sum(F.col("s")[i]).alias(f"s{i}") for i in range(d)])
-
-
 def best_of_starts(vecs: DataFrame, ks: Sequence[int], n_starts: int = 10, seed: int = 42,
                    max_iter: int = 300, tol: float | None = 1e-4, id_col: str = "user_id",
-                   vec_col: str = "z") -> dict[int, KMeansFit]:
-    """K1 for several k at once: n_starts seeded starts per k (the k rows with the
-    lowest md5('<seed>|<id>'), one bounded take-ordered job per seed), every
-    (k, start) run advancing in the same pass over the data; per k the run
-    with the lowest inertia wins. A run stops moving once its shift <= tol."""
-    n = vecs.count()
-    if n < max(ks):
-        raise ValueError(f"too few users ({n}) for {max(ks)} clusters")
+                   vec_col: str = "z", starts: str = "d2") -> dict[int, KMeansFit]:
+    """K1 for several k at once: n_starts seeded starts per k, every (k, start) run advancing in
+    the same pass over the data; per k the run with the lowest inertia (to COST_DIGITS) wins, of
+    equals the first. A run stops moving once its shift <= tol. Starts are D^2-weighted draws, or
+    ("sampled") the k rows with the lowest md5('<seed>|<id>')."""
     seeds = list(range(seed, seed + n_starts))
-    starts = {}
-    for sd in seeds:
-        key = F.md5(F.concat(F.lit(f"{sd}|"), F.col(id_col).cast("string")))
-        rows = vecs.orderBy(key, F.col(id_col)).limit(max(ks)).select(vec_col).collect()
-        starts[sd] = [list(map(float, r[vec_col])) for r in rows]
+    rows = M.packed_rows(vecs, seeds if starts == "d2" else (), id_col, vec_col)
+    if rows.n < max(ks):
+        raise ValueError(f"too few users ({rows.n}) for {max(ks)} clusters")
+    if starts == "d2":
+        first = M.d2_starts(rows, max(ks))
+    elif starts == "sampled":
+        first = {}
+        for sd in seeds:
+            key = F.md5(F.concat(F.lit(f"{sd}|"), F.col(id_col).cast("string")))
+            got = vecs.orderBy(key, F.col(id_col)).limit(max(ks)).select(vec_col).collect()
+            first[sd] = np.array([r[vec_col] for r in got], np.float64)
+    else:
+        raise ValueError(f"unknown starts {starts!r}")
     runs = [(k, sd) for k in ks for sd in seeds]
-    cents = [[list(c) for c in starts[sd][:k]] for k, sd in runs]
-    d = len(cents[0][0])
-    active = [True] * len(runs)
-    for _ in range(max_iter):
-        new = [[list(c) for c in cs] for cs in cents]
-        for r in _multi_run_step(vecs, cents, vec_col).collect():
-            if active[r["run"]]:          # an empty cluster keeps its centroid
-                new[r["run"]][r["cluster"]] = [r[f"s{i}"] / r["n"] for i in range(d)]
-        for j, (o, nw) in enumerate(zip(cents, new)):
-            shift = max(sum((a - b) ** 2 for a, b in zip(p, q)) for p, q in zip(o, nw))
-            if tol is not None and shift <= tol:
-                active[j] = False
-        cents = new
-        if not any(active):
-            break
-    cost = [0.0] * len(runs)
-    for r in _multi_run_step(vecs, cents, vec_col).collect():   # inertia at the final centroids
-        cost[r["run"]] += r["d2"]
+    fit = M.Bounded(rows, [first[sd][:k] for k, sd in runs])
+    cents = fit.run(max_iter, tol)
+    cost = fit.inertia()
     best: dict[int, KMeansFit] = {}
     for j, (k, _) in enumerate(runs):
-        if k not in best or cost[j] < best[k].cost:
-            best[k] = KMeansFit(k, cents[j], cost[j])
+        if k not in best or round(cost[j], COST_DIGITS) < round(best[k].cost, COST_DIGITS):
+            best[k] = KMeansFit(k, cents[j].tolist(), cost[j])
     return best
 
 
@@ -220,8 +163,8 @@ def fit_centroids(vecs: DataFrame, k: int, init: str = "mllib", seed: int = 42,
     if init == "lowest_ids":
         cents, _ = lloyd(vecs, lowest_id_centroids(vecs, k, id_col, vec_col), max_iter, tol, vec_col)
         return cents
-    if init == "sampled":
-        return best_of_starts(vecs, [k], n_starts, seed, max_iter, tol, id_col, vec_col)[k].centroids
+    if init in ("d2", "sampled"):
+        return best_of_starts(vecs, [k], n_starts, seed, max_iter, tol, id_col, vec_col, init)[k].centroids
     raise ValueError(f"unknown init {init!r}")
 
 
@@ -239,40 +182,128 @@ def inertia(assigned: DataFrame) -> float:
     return float(assigned.agg(F.sum("d2")).first()[0] or 0.0)
 
 
+#: Rows that a task holds while all others stream past it, and cells of its sums.
+PANEL_ROWS, PANEL_CELLS = 8192, 1 << 22
+STREAM_ROWS = 256
+
+
+def silhouette_values(vecs: DataFrame, labels_col: str, n_sets: int, id_col: str = "user_id",
+                      vec_col: str = "z", block_size: int = 2048) -> DataFrame:
+    """K5: (user_id, silhouettes): the exact Euclidean silhouette of every row for each of `n_sets`
+    label sets held in array<int> `labels_col`.
+
+    A task holds a panel of rows and their distance sums to every label, all other rows
+    stream past it in packed blocks, and it emits one row for each of its users. A panel
+    has at most PANEL_ROWS rows and PANEL_CELLS sums. The driver gets one count for each label."""
+    spark = vecs.sparkSession
+    bounded_batches(spark, B.BATCH_BYTES)
+    base = vecs.select(F.col(id_col).alias("id"), F.transform(vec_col, lambda x: x.cast("double")).alias("u"), F.col(labels_col).alias("labs"))
+    counts: list[dict[int, int]] = [{} for _ in range(n_sets)]
+    for r in base.select(F.posexplode("labs").alias("s", "label")).groupBy("s", "label").agg(F.count(F.lit(1)).alias("n")).collect():
+        counts[r.s][r.label] = r.n
+    n = sum(counts[0].values())
+    for c in counts:
+        if not 2 <= len(c) <= n - 1:
+            raise ValueError(f"silhouette needs 2 <= n_labels <= n_samples - 1, got {len(c)} labels for {n} samples")
+    names = [np.array(sorted(c)) for c in counts]
+    sizes = np.concatenate([[c[x] for x in sorted(c)] for c in counts]).astype(np.float64)
+    begin = np.cumsum([0, *map(len, names)])
+    cells = int(begin[-1])
+    slots = spark.sparkContext.defaultParallelism
+    rows = max(1, min(PANEL_ROWS, PANEL_CELLS // cells))
+    panels = max(math.ceil(n / rows), min(slots, math.ceil(n / STREAM_ROWS)))
+    blocks = panels * max(1, math.ceil(n / panels / block_size))
+    kind = base.schema["id"].dataType
+
+    def packed(table: pa.Table) -> pa.Table:
+        table = table.sort_by("id")
+        x, labels = B.pack(table, ("u", "labs"))
+        code = np.stack([np.searchsorted(names[s], labels[:, s]) + begin[s] for s in range(n_sets)], axis=1)
+        ids = table.column("id").combine_chunks()
+        return pa.table({"block": table.column("block")[:1], "ids": pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+                         "m": pa.array([np.ascontiguousarray(x).tobytes()], pa.binary()),
+                         "code": pa.array([code.astype(np.int32).tobytes()], pa.binary())})
+
+    schema = T.StructType([T.StructField("block", T.IntegerType()), T.StructField("ids", T.ArrayType(kind)),
+                           T.StructField("m", T.BinaryType()), T.StructField("code", T.BinaryType())])
+    block = F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block")
+    table = reliable_checkpoint(base.select("*", block).groupBy("block").applyInArrow(packed, schema))
+    out = T.StructType([T.StructField("user_id", kind), T.StructField("silhouettes", T.ArrayType(T.DoubleType()))])
+
+    class Panel:
+        def __init__(self) -> None:
+            self.at, self.ids, self.parts, self.codes, self.end = {}, [], [], [], 0
+            self.x = None
+
+        def hold(self, block: int, ids: pa.Array, x: np.ndarray, code: np.ndarray) -> None:
+            self.at[block] = self.end
+            self.end += len(x)
+            self.ids.append(ids)
+            self.parts.append(x)
+            self.codes.append(code)
+
+        def meet(self, block: int, x: np.ndarray, code: np.ndarray) -> None:
+            if not self.parts:  # a panel without rows of its own has nothing to sum
+                return
+            if self.x is None:
+                self.x, self.code = np.concatenate(self.parts), np.concatenate(self.codes)
+                self.sq, self.sums = (self.x * self.x).sum(axis=1), np.zeros((len(self.x), cells))
+            for i in range(0, len(x), STREAM_ROWS):
+                y, c = x[i:i + STREAM_ROWS], code[i:i + STREAM_ROWS]
+                d = np.sqrt(np.maximum(self.sq[:, None] + (y * y).sum(axis=1)[None, :] - 2.0 * (self.x @ y.T), 0.0))
+                if block in self.at:
+                    k = np.arange(len(y))
+                    d[self.at[block] + i + k, k] = 0.0
+                used, place = np.unique(c, return_inverse=True)
+                hot = np.zeros((len(y), len(used)))
+                hot[np.arange(len(y))[:, None], place.reshape(c.shape)] = 1.0
+                self.sums[:, used] += d @ hot
+
+        def values(self) -> pa.RecordBatch:
+            i, sil = np.arange(len(self.x)), np.zeros((len(self.x), n_sets))
+            for s in range(n_sets):
+                own, size = self.code[:, s], sizes[begin[s]:begin[s + 1]]
+                sums = self.sums[:, begin[s]:begin[s + 1]]
+                mean = sums / size
+                a = sums[i, own - begin[s]] / np.maximum(sizes[own] - 1, 1)
+                mean[i, own - begin[s]] = np.inf
+                b = mean.min(axis=1)
+                most = np.maximum(a, b)
+                sil[:, s] = np.where((sizes[own] > 1) & (most > 0), (b - a) / np.where(most > 0, most, 1.0), 0.0)
+            flat = pa.array(sil.ravel())
+            return pa.RecordBatch.from_arrays(
+                [pa.concat_arrays(self.ids), pa.ListArray.from_arrays(pa.array(np.arange(len(sil) + 1) * n_sets, pa.int32()), flat)], out.names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        slot, panel = None, None
+        for batch in batches:
+            for i in range(batch.num_rows):
+                at, turn, block = (batch.column(c)[i].as_py() for c in ("slot", "turn", "block"))
+                if at != slot:
+                    if panel is not None and panel.parts:
+                        yield panel.values()
+                    slot, panel = at, Panel()
+                ids = batch.column("ids")[i].values
+                code = np.frombuffer(batch.column("code")[i].as_py(), np.int32).reshape(-1, n_sets)
+                x = np.frombuffer(batch.column("m")[i].as_py(), np.float64).reshape(len(code), -1)
+                panel.hold(block, ids, x, code) if turn == 0 else panel.meet(block, x, code)
+        if panel is not None and panel.parts:
+            yield panel.values()
+
+    held = table.select((F.col("block") % panels).alias("slot"), F.lit(0).alias("turn"), "block", "ids", "m", "code")
+    passing = table.select(F.explode(F.sequence(F.lit(0), F.lit(panels - 1))).alias("slot"), F.lit(1).alias("turn"), "block",
+                           F.lit(None).cast(schema["ids"].dataType).alias("ids"), "m", "code")
+    return (held.unionByName(passing).repartition(panels, "slot")
+            .sortWithinPartitions("slot", "turn", "block").mapInArrow(run, out))
+
+
 def silhouette_scores(vecs: DataFrame, labels_col: str, n_sets: int, id_col: str = "user_id",
                       vec_col: str = "z", block_size: int = 2048) -> list[float]:
     """K5: exact mean Euclidean silhouette for each of `n_sets` label sets held
-    in array<int> `labels_col`, all sets in one blocked pair pass."""
-    base = vecs.select(F.col(id_col).alias("id"), F.col(vec_col).alias("z"),
-                       F.col(labels_col).alias("labs"))
-    info = base.agg(F.count(F.lit(1)).alias("n"),
-                    *[F.count_distinct(F.col("labs")[s]).alias(f"k{s}") for s in range(n_sets)]).first()
-    n = info["n"]
-    for s in range(n_sets):
-        if not 2 <= info[f"k{s}"] <= n - 1:
-            raise ValueError(f"silhouette needs 2 <= n_labels <= n_samples - 1, got "
-                             f"{info[f'k{s}']} labels for {n} samples")
-    nb = P.n_blocks_for(n, block_size)
-    id_type = base.schema["id"].dataType.simpleString()
-    parts = P.run_pairs(base, "id", ["id", "z", "labs"], nb,
-                        P.silhouette_kernel("id", "z", "labs"),
-                        f"id {id_type}, s long, own long, label long, dsum double, cnt long")
-    per_label = (parts.groupBy("id", "s", "own", "label")
-                 .agg(F.sum("dsum").alias("dsum"), F.sum("cnt").alias("cnt")))
-    own = F.col("label") == F.col("own")
-    per_point = per_label.groupBy("id", "s").agg(
-        F.max(F.when(own, F.col("cnt"))).alias("n_own"),
-        F.max(F.when(own, F.col("dsum"))).alias("d_own"),
-        F.min(F.when(~own, F.col("dsum") / F.col("cnt"))).alias("b"))
-    a = F.col("d_own") / (F.col("n_own") - 1)
-    m = F.greatest(a, F.col("b"))
-    sil = (F.when(F.col("n_own") <= 1, F.lit(0.0))
-           .when(m == 0, F.lit(0.0))
-           .otherwise((F.col("b") - a) / m))
-    rows = per_point.select("s", F.when(F.col("n_own") <= 1, F.lit(0.0)).otherwise(sil).alias("sil")) \
-        .groupBy("s").agg(F.avg("sil").alias("v")).collect()
-    by = {r["s"]: float(r["v"]) for r in rows}
-    return [by[s] for s in range(n_sets)]
+    in array<int> `labels_col`, all sets in one pass."""
+    each = silhouette_values(vecs, labels_col, n_sets, id_col, vec_col, block_size)
+    row = each.agg(*[F.avg(F.col("silhouettes")[s]).alias(f"s{s}") for s in range(n_sets)]).first()
+    return [float(row[f"s{s}"]) for s in range(n_sets)]
 
 
 def silhouette(vecs: DataFrame, label_col: str, id_col: str = "user_id", vec_col: str = "z",
@@ -290,10 +321,10 @@ def find_optimal_k(vecs: DataFrame, k_range: Sequence[int] = tuple(range(2, 11))
     spark = vecs.sparkSession
     ks = list(k_range)
     if init == "lowest_ids":
-        fits = lloyd_many(vecs, [lowest_id_centroids(vecs, k, id_col, vec_col) for k in ks],
-                          max_iter, tol, vec_col)
-    elif init == "sampled":
-        got = best_of_starts(vecs, ks, n_starts, seed, max_iter, tol, id_col, vec_col)
+        first = lowest_id_centroids(vecs, max(ks), id_col, vec_col)
+        fits = lloyd_many(vecs, [first[:k] for k in ks], max_iter, tol, vec_col, id_col)
+    elif init in ("d2", "sampled"):
+        got = best_of_starts(vecs, ks, n_starts, seed, max_iter, tol, id_col, vec_col, init)
         fits = [got[k].centroids for k in ks]
     else:
         fits = [fit_centroids(vecs, k, init, seed, n_starts, max_iter, tol, id_col, vec_col)

@@ -26,9 +26,11 @@ from stray.sources.loader import dataset_summary, feature_columns, prepare_user_
 Query = Callable[[SparkSession, str], DataFrame]
 
 THRESHOLD = 0.7
+ALL_PAIRS = -2.0         # a threshold below every cosine: this query wants all pairs
 PR_ITER = 20
 KM_K = 5
 KM_ITER = 5
+KM_STARTS = 10
 TOP_K = 5
 SAMPLE_N = 50
 SEED = 42
@@ -120,7 +122,7 @@ def q_scaling_params(spark, sf):
 
 
 def q_pairwise_similarity(spark, sf):
-    return round_doubles(S.pairwise_similarity(vectors(spark, sf)).withColumnRenamed("weight", "similarity"))
+    return round_doubles(S.pairwise_similarity(vectors(spark, sf), ALL_PAIRS).withColumnRenamed("weight", "similarity"))
 
 
 def q_global_similarity(spark, sf):
@@ -246,6 +248,13 @@ def q_cluster_users(spark, sf):
     return round_doubles(res.assigned.select("user_id", "cluster", "cluster_distance"))
 
 
+def q_kmeans_best_of(spark, sf):
+    """The best of ten D^2-weighted starts."""
+    vecs = vectors(spark, sf)
+    fit = K.best_of_starts(vecs, [KM_K], KM_STARTS, SEED, KM_ITER, tol=None)[KM_K]
+    return round_doubles(K.assign_clusters(vecs, fit.centroids).select("user_id", "cluster", "cluster_distance"))
+
+
 def q_kmeans_mllib(spark, sf):
     vecs = vectors(spark, sf)
     fit = K.mllib_kmeans(vecs, KM_K, seed=SEED, n_starts=10)
@@ -439,6 +448,7 @@ QUERIES: dict[str, Query] = {
     "silhouette": q_silhouette,
     "optimal_k": q_optimal_k,
     "cluster_users": q_cluster_users,
+    "kmeans_best_of": q_kmeans_best_of,
     "kmeans_mllib": q_kmeans_mllib,
     "minmax_scores": q_minmax_scores,
     "combined_scores": q_combined_scores,

@@ -164,3 +164,48 @@ FROM {prev} o LEFT JOIN (SELECT a.cluster, {avgs} FROM {prefix}_a{it} a JOIN {sr
   ON p.user_id = a.user_id GROUP BY a.cluster) m ON m.cluster = o.cluster"""))
     ctes.append((f"{prefix}_assign", assign(f"{prefix}_c{iterations}")))
     return ctes
+
+
+def best_of_ctes(k: int, starts: int, seed: int, iterations: int, cols: Sequence[str] = F, src: str = "z",
+                 prefix: str = "bo") -> list[tuple[str, str]]:
+    """Lloyd from D^2-weighted starts (seeds seed, seed + 1, ..), all starts side by side; the start of the
+    lowest inertia wins. Ends with `{prefix}_assign` (user_id, cluster, d2)."""
+    sel = ", ".join(cols)
+    hexed = lambda a: f"CAST('0x' || substr(md5(s || '|' || user_id), {a}, 12) AS BIGINT)"
+    span = 2 ** 48
+    d2 = " + ".join(f"(p.{c} - c.{c}) * (p.{c} - c.{c})" for c in cols)
+    ctes = [(f"{prefix}_h", f"SELECT s, user_id, {hexed(1)} AS h1, {hexed(13)} AS h2 FROM {src}, range({seed}, {seed + starts}) t(s)")]
+
+    def u(step: int) -> str:
+        return f"(((h.h1 + {step} * h.h2) % {span} + 1) / {span + 1}.0)"
+
+    ctes.append((f"{prefix}_s0", f"""SELECT s, 0 AS cluster, {sel} FROM (
+  SELECT h.s, arg_min(h.user_id, struct_pack(w := -ln({u(0)}), i := h.user_id)) AS user_id FROM {prefix}_h h GROUP BY h.s)
+  JOIN {src} USING (user_id)"""))
+    for j in range(1, k):
+        prev = f"{prefix}_s{j - 1}"
+        ctes.append((f"{prefix}_s{j}", f"""SELECT s, cluster, {sel} FROM {prev} UNION ALL
+SELECT s, {j} AS cluster, {sel} FROM (
+  SELECT h.s, arg_min(h.user_id, struct_pack(w := -ln({u(j)}) / n.d2, i := h.user_id)) AS user_id
+  FROM {prefix}_h h JOIN (SELECT c.s, p.user_id, min({d2}) AS d2 FROM {src} p, {prev} c GROUP BY c.s, p.user_id) n
+    ON n.s = h.s AND n.user_id = h.user_id
+  WHERE n.d2 > 0 GROUP BY h.s) JOIN {src} USING (user_id)"""))
+
+    def assign(cen: str) -> str:
+        return f"""SELECT s, user_id, arg_min(cluster, struct_pack(d := d2, c := cluster)) AS cluster, min(d2) AS d2
+FROM (SELECT c.s, p.user_id, c.cluster, {d2} AS d2 FROM {src} p, {cen} c) GROUP BY s, user_id"""
+
+    cen = f"{prefix}_s{k - 1}"
+    means = ", ".join(f"coalesce(m.{c}, o.{c}) AS {c}" for c in cols)
+    avgs = ", ".join(f"avg(p.{c}) AS {c}" for c in cols)
+    for it in range(1, iterations + 1):
+        ctes.append((f"{prefix}_a{it}", assign(cen)))
+        ctes.append((f"{prefix}_c{it}", f"""SELECT o.s, o.cluster, {means}
+FROM {cen} o LEFT JOIN (SELECT a.s, a.cluster, {avgs} FROM {prefix}_a{it} a JOIN {src} p
+  ON p.user_id = a.user_id GROUP BY a.s, a.cluster) m ON m.s = o.s AND m.cluster = o.cluster"""))
+        cen = f"{prefix}_c{it}"
+    ctes.append((f"{prefix}_all", assign(cen)))
+    ctes.append((f"{prefix}_best", f"""SELECT arg_min(s, struct_pack(c := cost, s := s)) AS s FROM (
+  SELECT s, round(sum(d2), 6) AS cost FROM {prefix}_all GROUP BY s)"""))
+    ctes.append((f"{prefix}_assign", f"SELECT user_id, cluster, d2 FROM {prefix}_all JOIN {prefix}_best USING (s)"))
+    return ctes

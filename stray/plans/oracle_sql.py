@@ -189,6 +189,12 @@ def kmeans_lloyd() -> str:
   {r6('sqrt(d2)')} AS cluster_distance FROM km_assign""")
 
 
+def kmeans_best_of() -> str:
+    from stray.plans.oracle import best_of_ctes
+    return with_(*base_ctes(), *best_of_ctes(C.KM_K, C.KM_STARTS, C.SEED, C.KM_ITER), body=f"""SELECT user_id,
+  CAST(cluster AS INTEGER) AS cluster, {r6('sqrt(d2)')} AS cluster_distance FROM bo_assign""")
+
+
 def kmeans_predict() -> str:
     return with_(*_km(), body="SELECT user_id, CAST(cluster AS INTEGER) AS cluster FROM km_assign")
 
@@ -467,6 +473,7 @@ SQL = {
     "graph_statistics": graph_statistics,
     "graph_moments": graph_moments,
     "kmeans_lloyd": kmeans_lloyd,
+    "kmeans_best_of": kmeans_best_of,
     "kmeans_predict": kmeans_predict,
     "centroid_distance": centroid_distance,
     "cluster_statistics": cluster_statistics,

@@ -5,7 +5,7 @@ import numpy as np
 import pandas as pd
 
 from stray.functions.stats import exact_percentiles_by_column
-from stray.operators import pairs as P
+from stray.operators import similarity as S
 from stray.sources.loader import read_table
 from stray.sources.logs import read_logs, write_logs
 
@@ -41,10 +41,12 @@ def test_percentiles_of_wide_ranges_and_ties(spark):
     assert np.allclose(got["y"], np.nanpercentile(y, [0, 1, 25, 50, 75, 99.9, 100]))
 
 
-def test_decimal_ids_and_block_floor(spark):
-    assert P.n_blocks_for(3, 2048) == P.MIN_BLOCKS
-    vecs = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(5)], "i long, u array<double>").selectExpr(
-        "cast(i as decimal(20,0)) as user_id", "u")
-    first = lambda diagonal, a, b: pd.DataFrame({"x": a["user_id"], "y": 0.0})
-    out = P.run_pairs(vecs, "user_id", ["user_id", "u"], 4, first, "x decimal(20,0), y double")
-    assert {int(r.x) for r in out.collect()} == set(range(5))
+def test_decimal_and_text_ids(spark):
+    vecs = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(5)], "i long, z array<double>").selectExpr(
+        "cast(i as decimal(20,0)) as user_id", "z")
+    pairs = S.pairwise_similarity(vecs, -2.0)
+    assert pairs.schema["src"].dataType.simpleString() == "decimal(20,0)"
+    assert {(int(r.src), int(r.dst)) for r in pairs.collect()} == {(i, j) for i in range(5) for j in range(i + 1, 5)}
+    text = vecs.selectExpr("concat('u', user_id) as user_id", "z")
+    assert {(r.src, r.dst) for r in S.similarity_edges(text, -2.0).collect()} == {(f"u{i}", f"u{j}") for i in range(5) for j in range(i + 1, 5)}
+    assert S.similar_users_all(text, 2).count() == 10

@@ -9,7 +9,7 @@ from stray.operators import similarity as S
 def test_zero_vector_and_identical_users(spark):
     x = [[1.0, 2.0], [1.0, 2.0], [0.0, 0.0], [-3.0, 1.0]]
     v = vec_frame(spark, x)
-    edges = S.pairwise_similarity(v).collect()
+    edges = S.pairwise_similarity(v, -2.0).collect()
     sim = {(r["src"], r["dst"]): r["weight"] for r in edges}
     assert sim[(0, 1)] == pytest.approx(1.0)
     assert sim[(0, 2)] == 0.0 and sim[(2, 3)] == 0.0
@@ -44,7 +44,7 @@ def test_blocked_edges_equal_brute_force(spark, block):
     want = {(i * 3 + 1, j * 3 + 1) for i in range(80) for j in range(i + 1, 80) if s[i, j] >= 0.5}
     got = {(r["src"], r["dst"]) for r in S.similarity_edges(v, 0.5, block_size=block).collect()}
     assert got == want
-    allp = S.pairwise_similarity(v, block_size=block).count()
+    allp = S.pairwise_similarity(v, -2.0, block_size=block).count()
     assert allp == 80 * 79 // 2
 
 
@@ -70,7 +70,6 @@ def test_similarity_statistics_with_narrowing(spark, monkeypatch):
     v = vec_frame(spark, x)
     s = cosine_matrix(x)
     off = s[~np.eye(len(x), dtype=bool)]
-    monkeypatch.setattr(S, "VALUES_CAP", 40)
     monkeypatch.setattr(S, "HIST_BINS", 8)
     st = collect_map(S.similarity_statistics(v, block_size=16), "metric", "value")
     assert st["mean"] == pytest.approx(off.mean(), abs=1e-12)
@@ -93,3 +92,86 @@ def test_top_k_ties_break_by_id(spark):
         for i in range(len(x)):
             order = sorted([j for j in range(len(x)) if j != i], key=lambda j: (-s[i, j], j))[:4]
             assert [o for _, o in sorted(by[i])] == order
+
+
+def test_pairs_need_a_threshold_or_k(spark):
+    x = rand_vectors(30, 3, seed=6)
+    v = vec_frame(spark, x)
+    with pytest.raises(ValueError):
+        S.pairwise_similarity(v)
+    s = cosine_matrix(x)
+    near = {tuple(sorted((i, j))) for i in range(30) for j in sorted((j for j in range(30) if j != i), key=lambda j: (-s[i, j], j))[:2]}
+    got = {(r["src"], r["dst"]): r["weight"] for r in S.pairwise_similarity(v, top_k=2).collect()}
+    assert set(got) == near and all(got[p] == pytest.approx(s[p]) for p in near)
+    both = S.pairwise_similarity(v, 0.9, 2).collect()
+    assert {(r["src"], r["dst"]) for r in both} == {p for p in near if s[p] >= 0.9}
+
+
+def directed(n=900, d=5, seed=11):
+    """Rows around a few directions, a hot direction, opposite and zero vectors."""
+    rng = np.random.default_rng(seed)
+    x = rng.normal(size=(12, d))[rng.integers(0, 12, n)] + rng.normal(scale=0.15, size=(n, d))
+    x[:n // 3] = x[0]
+    x[-40:-20] = -x[:20]
+    x[-20:] = 0.0
+    return x[rng.permutation(n)]
+
+
+@pytest.mark.parametrize("threshold", [-0.5, 0.0, 0.7, 0.99])
+def test_pruned_edges_equal_all_pairs(spark, threshold):
+    x = directed()
+    v, s = vec_frame(spark, x), cosine_matrix(x)
+    i, j = np.triu_indices(len(x), 1)
+    close = np.abs(s[i, j] - threshold) < 1e-9  # decided by rounding
+    want = {(a, b) for a, b in zip(i[(s[i, j] >= threshold) & ~close].tolist(), j[(s[i, j] >= threshold) & ~close].tolist())}
+    edges = S.similarity_edges(v, threshold, block_size=64).collect()
+    got = {(r["src"], r["dst"]) for r in edges}
+    assert len(got) == len(edges) and not want - got
+    assert all(abs(s[p] - threshold) < 1e-9 for p in got - want)
+    work = S.edge_work(v, threshold, block_size=64)
+    assert work.pairs == len(i) and len(got) <= work.multiplied <= work.pairs
+    if threshold >= 0.7:
+        assert work.multiplied < 0.5 * work.pairs
+
+
+@pytest.mark.parametrize("k", [1, 7])
+def test_best_first_search_equals_all_pairs(spark, k):
+    x = directed(600)
+    v, s = vec_frame(spark, x), cosine_matrix(x)
+    got, work = S.top_k_search(v, k, block_size=32, centres=20)
+    by = {}
+    for r in got.collect():
+        by.setdefault(r["user_id"], {})[r["rank"]] = (r["other_id"], r["similarity"])
+    for i in range(len(x)):
+        best = np.sort(np.delete(s[i], i))[::-1][:k]
+        assert sorted(by[i]) == list(range(1, k + 1))
+        assert [by[i][r][1] for r in range(1, k + 1)] == pytest.approx(list(best), abs=1e-12)
+        assert len({o for o, _ in by[i].values()} - {i}) == k
+        assert all(s[i, o] == pytest.approx(w, abs=1e-12) for o, w in by[i].values())
+    assert work.pairs == 600 * 599 and 0 < work.multiplied <= work.pairs + 600
+
+
+def test_search_multiplies_few_pairs_of_separate_directions(spark):
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(30, 6))[np.arange(1500) % 30] + rng.normal(scale=0.05, size=(1500, 6))
+    v = vec_frame(spark, x)
+    _, work = S.top_k_search(v, 5, block_size=256, centres=30)
+    assert work.multiplied < 0.25 * work.pairs
+    stats, counted = S.statistics_search(v, block_size=256, centres=30)
+    s = cosine_matrix(x)[np.triu_indices(1500, 1)]
+    got = collect_map(stats, "metric", "value")
+    want = {"mean": s.mean(), "std": s.std(), "min": s.min(), "max": s.max(), "median": np.median(s),
+            "q25": np.percentile(np.r_[s, s], 25), "q75": np.percentile(np.r_[s, s], 75)}
+    assert got == pytest.approx(want, abs=1e-12)
+    assert counted.multiplied < counted.pairs and counted.passes <= 4
+
+
+def test_statistics_of_hot_directions_and_small_tables(spark):
+    x = directed(500)
+    s = cosine_matrix(x)[np.triu_indices(500, 1)]
+    got = collect_map(S.similarity_statistics(vec_frame(spark, x), block_size=64), "metric", "value")
+    assert [got[m] for m in ("mean", "std", "min", "max", "median")] == pytest.approx(
+        [s.mean(), s.std(), s.min(), s.max(), np.median(s)], abs=1e-9)
+    two = collect_map(S.similarity_statistics(vec_frame(spark, [[1.0, 0.0], [1.0, 1.0]])), "metric", "value")
+    assert two["median"] == two["min"] == pytest.approx(0.5 ** 0.5) and two["std"] == pytest.approx(0.0, abs=1e-7)
+    assert S.similarity_statistics(vec_frame(spark, [[1.0, 0.0]])).where("value is null").count() == 7
