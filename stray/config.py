@@ -50,7 +50,6 @@ class PipelineConfig:
     pagerank_max_iter: int = 100
     pagerank_tol: float | None = 1e-6     # None -> run exactly max_iter steps
     block_size: int = 2048                 # users per block of the pair kernel
-    broadcast_max_rows: int = 2_000_000    # broadcast a side only below this row count
     nulls: str = "error"                   # "error" | "mean"
 
     def with_(self, **kw) -> "PipelineConfig":

@@ -353,6 +353,7 @@ class ClusterResult:
     centroids: Centroids
     assigned: DataFrame            # id, z, cluster, d2, cluster_distance
     k_table: DataFrame | None      # (k, inertia, silhouette) when searched
+    statistics: DataFrame          # K4 of `assigned`
 
 
 def cluster_users(vecs: DataFrame, n_clusters: int | None = None, find_optimal: bool = False,
@@ -368,4 +369,5 @@ def cluster_users(vecs: DataFrame, n_clusters: int | None = None, find_optimal:
     else:
         k = n_clusters if n_clusters is not None else 5
     cents = fit_centroids(vecs, k, init, seed, n_starts, max_iter, tol, id_col, vec_col)
-    return ClusterResult(k, cents, assign_clusters(vecs, cents, vec_col), table)
+    assigned = assign_clusters(vecs, cents, vec_col)
+    return ClusterResult(k, cents, assigned, table, cluster_statistics(assigned))

@@ -1,27 +1,33 @@
 """Similarity graph analytics.
 
 Vertices are all users, edges (src < dst, weight) come from the pair
-kernel. Iterative jobs run one DataFrame step per iteration and cut the
-lineage through the shared checkpoint folder each step, so plans stay one
-step deep and a lost executor only replays the current step.
+kernel. Iterative jobs run one DataFrame step per iteration; each step is a table
+in the shared folder, so plans stay one step deep, a lost executor only replays the
+current step, and the planner picks joins by true sizes. A step's table is deleted
+once the next one is written. Hubs are dealt to lots by their measured degrees.
 """
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from stray.config import GRAPH_MINMAX_EPS
 from stray.functions.stats import minmax_bounds, minmax_eps
-from stray.session import reliable_checkpoint, sized_broadcast
+from stray.operators.similarity import similarity_edges
+from stray.operators.spread import dealt, hubs_of, repeated
+from stray.session import Written, reliable_checkpoint, written
 
-
-TRANS_ROWS_PER_PARTITION = 2_000_000   # transition rows (24 bytes each) per scan task
-HUB_LOTS = 16   # a node's transitions are dealt to so many partitions where ranks are shuffled to them
+#: Edges that a task gathers before it reduces them to a forest, and rows that it passes on at once.
+FOREST_EDGES, FOREST_ROWS = 1 << 20, 1 << 16
 
 
 class PageRankNotConverged(RuntimeError):
@@ -47,8 +53,7 @@ def degree_centrality(nodes: DataFrame, edges: DataFrame, n: int | None = None)
 
 
 def pagerank(nodes: DataFrame, edges: DataFrame, alpha: float = 0.85, max_iter: int = 100,
-             tol: float | None = 1e-6, broadcast_max_rows: int = 2_000_000,
-             n: int | None = None) -> DataFrame:
+             tol: float | None = 1e-6, n: int | None = None) -> DataFrame:
     """Weighted PageRank of the undirected graph: (id, pagerank).
 
     Power iteration x' = alpha (x P + D/n) + (1 - alpha)/n with P the
@@ -56,58 +61,44 @@ def pagerank(nodes: DataFrame, edges: DataFrame, alpha: float = 0.85, max_iter:
     tol=None runs exactly `max_iter` steps; otherwise stops when the L1
     change < n * tol and raises if that never happens.
 
-    Each step writes its n-row rank frame to the shared checkpoint folder
-    (plans stay one step deep; a lost executor replays one step) and one
-    small aggregate gives the L1 change and the next dangling mass. The
-    transition table stays persisted; while n is under `broadcast_max_rows` the rank vector and the
-    per-target sums (both n rows) travel by broadcast, so the only shuffle is
-    the partial-aggregated contributions. Above the bound both joins are
-    shuffle joins; the transitions are pre-partitioned by source and lot, so a hub is
-    spread over HUB_LOTS partitions, and each rank is sent once per lot.
+    The transitions are written once, dealt by (source, lot of the target): a hub's
+    transitions lie in as many lots as its degree asks for (see `spread`), and its rank
+    is sent once to each. Contributions to a target are partial sums before they are
+    shuffled, so a hub as a target is a row per task. Each step writes the n ranks, and one
+    small aggregate gives the L1 change and the next dangling mass.
     """
     if n is None:
         n = nodes.count()
     spark = nodes.sparkSession
     if n == 0:
         return spark.createDataFrame([], "id long, pagerank double")
-    small = n <= broadcast_max_rows
     d = both_directions(edges)
-    outw = d.groupBy("a").agg(F.sum("w").alias("sw"))
-    if not small:   # read back, both sides of the next join are plain shuffles, which AQE can split at a hub
-        outw = reliable_checkpoint(outw)
-    trans = d.join(outw, "a").select("a", "b", (F.col("w") / F.col("sw")).alias("p"))
-    if not small:   # ranks will be shuffled to the transitions: keep them co-partitioned
-        nparts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-        trans = trans.withColumn("lot", F.pmod(F.xxhash64("b"), F.lit(HUB_LOTS)).cast("int")).repartition(nparts, "a", "lot")
-    cached = trans.persist(StorageLevel.MEMORY_AND_DISK_DESER)
-    m2 = cached.count()
-    trans = cached
-    if small:   # a cached plan keeps its shuffle width; narrow it to the data size
-        trans = cached.coalesce(max(1, math.ceil(m2 / TRANS_ROWS_PER_PARTITION)))
-    verts = nodes.select("id").join(outw.select(F.col("a").alias("id"), F.lit(True).alias("has_out")),
-                                    "id", "left")
-    ranks = reliable_checkpoint(verts.select(
-        "id", F.col("has_out").isNull().alias("dangling"), F.lit(1.0 / n).alias("r")))
-    dang = ranks.agg(F.sum(F.when(F.col("dangling"), F.col("r")).otherwise(0.0))).first()[0] or 0.0
+    outw = written(d.groupBy("a").agg(F.sum("w").alias("sw"), F.count(F.lit(1)).alias("c")), "out-weights")
+    total = outw.df.agg(F.sum("c")).first()[0] or 0
+    hubs = hubs_of(outw.df.select(F.col("a").alias("key"), "c"), total)
+    weights = repeated(outw.df.select("a", "sw"), "a", hubs)
+    trans = written(dealt(d, "a", "b", hubs).join(weights, ["a", "lot"]).select("a", "lot", "b", (F.col("w") / F.col("sw")).alias("p"))
+                    .repartition("a", "lot"), "transitions")
+    verts = nodes.select("id").join(outw.df.select(F.col("a").alias("id"), F.lit(True).alias("has_out")), "id", "left")
+    ranks = written(verts.select("id", F.col("has_out").isNull().alias("dangling"), F.lit(1.0 / n).alias("r")), "ranks")
+    dang = ranks.df.agg(F.sum(F.when(F.col("dangling"), F.col("r")).otherwise(0.0))).first()[0] or 0.0
+    outw.drop()
     base = (1.0 - alpha) / n
     converged = False
+    cached = trans.df.persist(StorageLevel.MEMORY_AND_DISK_DESER)
     try:
         for _ in range(max_iter):
-            cur = ranks.select(F.col("id").alias("a"), F.col("r").alias("rp"))
-            cur = F.broadcast(cur) if small else cur.select(
-                "a", "rp", F.explode(F.sequence(F.lit(0), F.lit(HUB_LOTS - 1))).alias("lot"))
+            cur = repeated(ranks.df.select(F.col("id").alias("a"), F.col("r").alias("rp")), "a", hubs)
             # map-side: one partial sum per (partition, target) before the shuffle
-            contrib = (trans.join(cur, ["a"] if small else ["a", "lot"]).groupBy(F.col("b").alias("id"))
+            contrib = (cached.join(cur, ["a", "lot"]).groupBy(F.col("b").alias("id"))
                        .agg(F.sum(F.col("rp") * F.col("p")).alias("s")))
-            new = reliable_checkpoint(
-                ranks.join(sized_broadcast(contrib, n, broadcast_max_rows), "id", "left")
-                .select("id", "dangling", F.col("r").alias("r_old"),
-                        (F.lit(alpha) * (F.coalesce("s", F.lit(0.0)) + F.lit(dang / n))
-                         + F.lit(base)).alias("r")))
-            row = new.agg(F.sum(F.abs(F.col("r") - F.col("r_old"))).alias("err"),
-                          F.sum(F.when(F.col("dangling"), F.col("r")).otherwise(0.0)).alias("dm")).first()
-            ranks = new.select("id", "dangling", "r")
-            dang = row["dm"] or 0.0
+            new = written(ranks.df.join(contrib, "id", "left").select(
+                "id", "dangling", F.col("r").alias("r_old"),
+                (F.lit(alpha) * (F.coalesce("s", F.lit(0.0)) + F.lit(dang / n)) + F.lit(base)).alias("r")), "ranks")
+            row = new.df.agg(F.sum(F.abs(F.col("r") - F.col("r_old"))).alias("err"),
+                             F.sum(F.when(F.col("dangling"), F.col("r")).otherwise(0.0)).alias("dm")).first()
+            ranks.drop()
+            ranks, dang = new, row["dm"] or 0.0
             if tol is not None and row["err"] < n * tol:
                 converged = True
                 break
@@ -115,58 +106,97 @@ def pagerank(nodes: DataFrame, edges: DataFrame, alpha: float = 0.85, max_iter:
             raise PageRankNotConverged(f"PageRank did not converge in {max_iter} iterations")
     finally:
         cached.unpersist()
-    return ranks.select("id", F.col("r").alias("pagerank"))
-
-
-def _minima(links: DataFrame, small: bool) -> DataFrame:
-    """(u, mv): the least neighbour of each node, ready to be joined to the links again."""
-    mn = links.groupBy("u").agg(F.min("v").alias("mv"))
-    return F.broadcast(mn) if small else reliable_checkpoint(mn)
-
-
-def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 64,
-                         broadcast_max_rows: int = 2_000_000, n: int | None = None) -> DataFrame:
+        trans.drop()
+    return ranks.df.select("id", F.col("r").alias("pagerank"))
+
+
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(node, least node of its component) of all nodes that are not the least, for edges a-b: every round
+    hooks the larger root of an edge to the smaller and jumps all pointers to their roots."""
+    nodes, code = np.unique(np.concatenate([a, b]), return_inverse=True)
+    i, j = code[:len(a)], code[len(a):]
+    label = np.arange(len(nodes))
+    while len(i):
+        x, y = label[i], label[j]
+        open_ = x != y
+        i, j, x, y = i[open_], j[open_], x[open_], y[open_]
+        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+        while True:
+            further = label[label]
+            if np.array_equal(further, label):
+                break
+            label = further
+    own = np.flatnonzero(label != np.arange(len(nodes)))
+    return nodes[own], nodes[label[own]]
+
+
+def contracted(edges: DataFrame) -> DataFrame:
+    """(u, v): a spanning forest of each partition's edges (u, v), as stars around the least node of each
+    component; edges are taken in `FOREST_EDGES` at a time, so a task holds its nodes and no more."""
+    kind = edges.schema["u"].dataType
+    schema = T.StructType([T.StructField("u", kind), T.StructField("v", kind)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, waiting = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append(tuple(batch.column(c).to_numpy(zero_copy_only=False) for c in "uv"))
+                waiting += batch.num_rows
+                if waiting >= FOREST_EDGES:
+                    held = [forest(*map(np.concatenate, zip(*held)))]
+                    waiting = 0
+        if held:
+            u, v = forest(*map(np.concatenate, zip(*held)))
+            for i in range(0, len(u), FOREST_ROWS):
+                yield pa.RecordBatch.from_arrays([pa.array(x[i:i + FOREST_ROWS], to_arrow_type(kind)) for x in (u, v)], schema.names)
+
+    return edges.select("u", "v").mapInArrow(run, schema)
+
+
+def _with_minima(links: DataFrame) -> tuple[DataFrame, Written]:
+    """The links (u, v) with the least neighbour of u (mv), and the minima (u, mv) alone."""
+    mn = written(links.groupBy("u").agg(F.min("v").alias("mv"), F.count(F.lit(1)).alias("c")), "minima")
+    total = mn.df.agg(F.sum("c")).first()[0] or 0
+    hubs = hubs_of(mn.df.select(F.col("u").alias("key"), "c"), total)
+    joined = dealt(links, "u", "v", hubs).join(repeated(mn.df.select("u", "mv"), "u", hubs), ["u", "lot"])
+    return joined.select("u", "v", "mv"), mn
+
+
+def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 64, n: int | None = None) -> DataFrame:
     """(id, component = smallest id of its component).
 
-    Alternating large-star / small-star (Kiveris et al., 2014): O(log^2 n)
-    rounds of joins and aggregations, each round checkpointed. The per-node
-    minima (at most n rows) reach the edge list by broadcast while n is under
-    `broadcast_max_rows`, so a hub node never concentrates the edge list in
-    one task; above the bound the minima are checkpointed, so that both sides of
-    their joins are plain shuffles, which AQE splits at a hub.
-    Converged when every node has at most one parent and no parent has one.
+    Before any shuffle each partition reduces its edges to a spanning forest (`contracted`),
+    so a node, hub or not, is at most one row from each. The forests are dealt by node, reduced
+    again, and joined by alternating large-star / small-star rounds (Kiveris et al., 2014),
+    whose links to hubs are dealt to lots. Converged when every node has at most one parent
+    and no parent has one.
     """
-    if n is None:
-        n = nodes.count()
     e = edges.select(F.col("src").alias("u"), F.col("dst").alias("v")).where(F.col("u") != F.col("v"))
-    parents = None
-    und = reliable_checkpoint(e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-                              .distinct())
+    links = contracted(contracted(e).repartition("u"))
+    turned = lambda x: x.unionByName(x.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
+    und = written(turned(links), "links")
     for _ in range(max_rounds):
         # large-star: link every larger neighbour of u to min(N(u) + u)
-        mn = _minima(und, n <= broadcast_max_rows)
-        large = (und.join(mn, "u").where(F.col("v") > F.col("u"))
-                 .select(F.col("v").alias("u"), F.least("u", "mv").alias("v")))
-        # small-star: u's smaller neighbours and u itself point to min(N(u) + u);
-        # duplicates of `large` only repeat rows that the final distinct removes
-        ms = _minima(large, n <= broadcast_max_rows)
-        small = (large.join(ms, "u").where(F.col("v") != F.col("mv"))
-                 .select(F.col("v").alias("u"), F.col("mv").alias("v"))
-                 .unionByName(ms.select("u", F.col("mv").alias("v"))).distinct())
-        parents = reliable_checkpoint(small)
-        multi = (parents.groupBy("u").agg(F.count(F.lit(1)).alias("c"))
+        near, mn = _with_minima(und.df)
+        large = written(near.where(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.least("u", "mv").alias("v")).distinct(), "large")
+        mn.drop()
+        # small-star: u's smaller neighbours and u itself point to min(N(u) + u)
+        near, ms = _with_minima(large.df)
+        small = (near.where(F.col("v") != F.col("mv")).select(F.col("v").alias("u"), F.col("mv").alias("v"))
+                 .unionByName(ms.df.select("u", F.col("mv").alias("v"))).distinct())
+        parents = written(small, "parents")
+        for old in (ms, large, und):
+            old.drop()
+        multi = (parents.df.groupBy("u").agg(F.count(F.lit(1)).alias("c"))
                  .where(F.col("c") > 1).select("u"))
-        chained = parents.select(F.col("v").alias("u")).join(parents.select("u"), "u", "left_semi")
+        chained = parents.df.select(F.col("v").alias("u")).distinct().join(parents.df.select("u"), "u", "left_semi")
         if multi.unionByName(chained).limit(1).count() == 0:
             break
-        und = reliable_checkpoint(parents.unionByName(
-            parents.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct())
+        und = written(turned(parents.df), "links")
+        parents.drop()
     else:
         raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
-    if parents is None:
-        return nodes.select("id", F.col("id").alias("component"))
-    return (nodes.select("id").join(parents.select(F.col("u").alias("id"), F.col("v").alias("p")),
-                                    "id", "left")
+    return (nodes.select("id").join(parents.df.select(F.col("u").alias("id"), F.col("v").alias("p")), "id", "left")
             .select("id", F.coalesce("p", "id").alias("component")))
 
 
@@ -222,13 +252,30 @@ class GraphResult:
     pagerank: DataFrame
     degrees: DataFrame
     scores: DataFrame
+    statistics: DataFrame | None = None     # G8 and G9 in one row, when asked for
+    top: DataFrame | None = None            # highest graph scores, ties by user
 
 
 def detect_anomalies_graph(nodes: DataFrame, edges: DataFrame, alpha: float = 0.85,
-                           max_iter: int = 100, tol: float | None = 1e-6,
-                           broadcast_max_rows: int = 2_000_000) -> GraphResult:
-    """PageRank + degree -> graph anomaly scores on a given edge set."""
+                           max_iter: int = 100, tol: float | None = 1e-6, with_statistics: bool = False,
+                           show_top: int = 0) -> GraphResult:
+    """G10 on a given edge set: PageRank + degree -> graph anomaly scores, with statistics and a top list on demand."""
     n = nodes.count()
-    pr = pagerank(nodes, edges, alpha, max_iter, tol, broadcast_max_rows, n)
+    pr = pagerank(nodes, edges, alpha, max_iter, tol, n)
     deg = reliable_checkpoint(degree_centrality(nodes, edges, n))
-    return GraphResult(edges, pr, deg, reliable_checkpoint(graph_anomalies(pr, deg)))
+    scores = reliable_checkpoint(graph_anomalies(pr, deg))
+    stats = top = None
+    if with_statistics:
+        stats = graph_statistics(nodes, edges, connected_components(nodes, edges, n=n)).crossJoin(graph_moments(pr, deg))  # one row each
+    if show_top > 0:
+        top = scores.orderBy(F.col("graph_anomaly_score").desc(), F.col("user_id").asc()).limit(show_top)
+    return GraphResult(edges, pr, deg, scores, stats, top)
+
+
+def detect_anomalies(vecs: DataFrame, threshold: float = 0.7, alpha: float = 0.85, max_iter: int = 100, tol: float | None = 1e-6,
+                     with_statistics: bool = True, show_top: int = 0, id_col: str = "user_id", vec_col: str = "z",
+                     block_size: int = 2048) -> GraphResult:
+    """The similarity graph of the users (G1), then all of the above."""
+    edges = reliable_checkpoint(similarity_edges(vecs, threshold, id_col, vec_col, block_size))
+    nodes = vecs.select(F.col(id_col).alias("id"))
+    return detect_anomalies_graph(nodes, edges, alpha, max_iter, tol, with_statistics, show_top)

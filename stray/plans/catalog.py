@@ -7,6 +7,7 @@ Floating-point outputs are rounded to 6 places at the very end.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,8 +21,9 @@ from stray.operators import scoring as A
 from stray.operators import similarity as S
 from stray.operators.normalize import as_vectors, fit_zscore, zscore
 from stray.sources import fixtures as X
-from stray.session import reliable_checkpoint
-from stray.sources.loader import dataset_summary, feature_columns, prepare_user_features
+from stray.functions.vectors import vector
+from stray.session import checkpoint_dir, reliable_checkpoint
+from stray.sources.loader import dataset_summary, feature_columns, prepare_user_features, read_results
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -85,9 +87,12 @@ def _ranked(spark, sf) -> DataFrame:
 
 
 def q_feature_columns(spark, sf):
+    """The detected features with their values that are there, from one aggregate over the table."""
     df = X.events_features(spark, sf)
     feats = feature_columns(df)
-    return spark.createDataFrame([(i, c) for i, c in enumerate(feats)], "position int, feature string")
+    counts = df.agg(*[F.count(c).alias(c) for c in feats])
+    return counts.select(F.posexplode(F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).alias("n_values")) for c in feats]))
+                         .alias("position", "f")).select("position", "f.feature", "f.n_values")
 
 
 def q_dataset_summary(spark, sf):
@@ -100,17 +105,20 @@ def q_zscore_features(spark, sf):
     return round_doubles(zscore(df, feats)[0])
 
 
+def _per_type(spark, sf) -> DataFrame:
+    ev = X.table(spark, sf, "events")
+    return (ev.groupBy("user_id", "event_type").agg(
+        *[F.count_if(F.col("event_type") == t).cast("bigint").alias(f"n_{t}") for t in X.EVENT_TYPES],
+        F.sum("value").alias("value_sum"), F.avg("value").alias("value_avg"),
+        F.max("value").alias("value_max"), F.stddev_pop("value").alias("value_std")))
+
+
 def q_zscore_apply(spark, sf):
     """Fit on the per-user table, apply to per-(user, event type) rows of the same
     features (the 'new data' of the same schema)."""
     df, feats = features(spark, sf)
     model = fit_zscore(df, feats)
-    ev = X.table(spark, sf, "events")
-    per_type = (ev.groupBy("user_id", "event_type").agg(
-        *[F.count_if(F.col("event_type") == t).cast("bigint").alias(f"n_{t}") for t in X.EVENT_TYPES],
-        F.sum("value").alias("value_sum"), F.avg("value").alias("value_avg"),
-        F.max("value").alias("value_max"), F.stddev_pop("value").alias("value_std")))
-    return round_doubles(model.transform(per_type, keep=["event_type"]))
+    return round_doubles(model.transform(_per_type(spark, sf), keep=["event_type"]))
 
 
 def q_scaling_params(spark, sf):
@@ -204,6 +212,12 @@ def q_graph_moments(spark, sf):
     return round_doubles(G.graph_moments(pr, G.degree_centrality(nodes, edges)))
 
 
+def q_graph_analysis(spark, sf):
+    """G10 in one call: the highest graph scores of the similarity graph, each with the graph's statistics."""
+    res = G.detect_anomalies(vectors(spark, sf), THRESHOLD, max_iter=PR_ITER, tol=None, show_top=TOP_K)
+    return round_doubles(res.top.crossJoin(res.statistics))     # one row
+
+
 # ---------------------------------------------------------------- K
 
 
@@ -217,6 +231,17 @@ def q_kmeans_predict(spark, sf):
     return a.select("user_id", "cluster")
 
 
+def q_kmeans_predict_new(spark, sf):
+    """Clusters fitted on users predict rows that were not in the fit: one per (user, event type)."""
+    df, feats = features(spark, sf)
+    norm, model = zscore(df, feats)
+    vecs = reliable_checkpoint(as_vectors(norm, model.features))
+    cents, _ = K.lloyd(vecs, K.lowest_id_centroids(vecs, KM_K), KM_ITER)
+    new = model.transform(_per_type(spark, sf), keep=["event_type"])
+    rows = new.select("user_id", "event_type", vector(model.features).alias("z"))
+    return round_doubles(K.assign_clusters(rows, cents, keep_vector=False).select("user_id", "event_type", "cluster", "cluster_distance"))
+
+
 def q_centroid_distance(spark, sf):
     a = _lloyd_assigned(vectors(spark, sf))
     return round_doubles(a.select("user_id", "cluster_distance"))
@@ -248,6 +273,12 @@ def q_cluster_users(spark, sf):
     return round_doubles(res.assigned.select("user_id", "cluster", "cluster_distance"))
 
 
+def q_cluster_report(spark, sf):
+    """K8's clusters with K4's figures of the own cluster beside each user."""
+    res = K.cluster_users(vectors(spark, sf), KM_K, init="lowest_ids", max_iter=KM_ITER, tol=None)
+    return round_doubles(res.assigned.select("user_id", "cluster", "cluster_distance")).join(F.broadcast(res.statistics), "cluster")  # k rows
+
+
 def q_kmeans_best_of(spark, sf):
     """The best of ten D^2-weighted starts."""
     vecs = vectors(spark, sf)
@@ -261,6 +292,15 @@ def q_kmeans_mllib(spark, sf):
     return K.assign_clusters(vecs, fit.centroids).select("user_id", "cluster")
 
 
+def q_kmeans_mllib_bound(spark, sf):
+    """The best MLlib fit is no worse than Lloyd steps from the lowest ids: the greater of both inertias is the latter's."""
+    vecs = vectors(spark, sf)
+    fit = K.mllib_kmeans(vecs, KM_K, seed=SEED, n_starts=10)
+    best = K.inertia(K.assign_clusters(vecs, fit.centroids))
+    plain = _lloyd_assigned(vecs).agg(F.count(F.lit(1)).alias("n_users"), F.sum("d2").alias("d2"))
+    return round_doubles(plain.select(F.lit(KM_K).alias("k"), "n_users", F.greatest("d2", F.lit(best)).alias("bound")))
+
+
 # ---------------------------------------------------------------- A, P
 
 
@@ -290,7 +330,10 @@ def q_score_summary(spark, sf):
 
 
 def q_export_top_k(spark, sf):
-    return round_doubles(A.top_anomalies(_ranked(spark, sf), DET.top_k))
+    """The k highest, written as CSV in the shared folder and read again."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/stray-export-{uuid.uuid4().hex}.csv"
+    out = A.export_results(round_doubles(_ranked(spark, sf)), path, DET.top_k)
+    return read_results(spark, path, schema=out.schema)
 
 
 def _pipeline(spark, sf):
@@ -351,7 +394,7 @@ def q_cohort_filter(spark, sf):
     from stray.operators.cohort import cohort_filter, common_users, sample_users
     logs = _logs(spark, sf)
     sample = sample_users(common_users(logs), SAMPLE_N, SEED)
-    kept = cohort_filter(logs, sample, SAMPLE_N)
+    kept = cohort_filter(logs, sample)
     return _union([df.select(F.lit(name).alias("log"), "event_id", "user", "value")
                    for name, df in kept.items()])
 
@@ -440,16 +483,20 @@ QUERIES: dict[str, Query] = {
     "graph_anomalies": q_graph_anomalies,
     "graph_statistics": q_graph_statistics,
     "graph_moments": q_graph_moments,
+    "graph_analysis": q_graph_analysis,
     "kmeans_lloyd": q_kmeans_lloyd,
     "kmeans_predict": q_kmeans_predict,
+    "kmeans_predict_new": q_kmeans_predict_new,
     "centroid_distance": q_centroid_distance,
     "cluster_statistics": q_cluster_statistics,
     "inertia": q_inertia,
     "silhouette": q_silhouette,
     "optimal_k": q_optimal_k,
     "cluster_users": q_cluster_users,
+    "cluster_report": q_cluster_report,
     "kmeans_best_of": q_kmeans_best_of,
     "kmeans_mllib": q_kmeans_mllib,
+    "kmeans_mllib_bound": q_kmeans_mllib_bound,
     "minmax_scores": q_minmax_scores,
     "combined_scores": q_combined_scores,
     "ranked_scores": q_ranked_scores,

@@ -19,8 +19,10 @@ def _base(*extra):
 
 
 def feature_columns() -> str:
-    vals = ", ".join(f"({i}, '{c}')" for i, c in enumerate(F))
-    return f"SELECT CAST(i AS INTEGER) AS position, f AS feature FROM (VALUES {vals}) t(i, f)"
+    from stray.plans.oracle import feat_cte
+    rows = "\nUNION ALL\n".join(f"SELECT CAST({i} AS INTEGER) AS position, '{c}' AS feature, count({c}) AS n_values FROM feat"
+                                for i, c in enumerate(F))
+    return with_(feat_cte(), body=rows)
 
 
 def dataset_summary() -> str:
@@ -45,13 +47,17 @@ def zscore_features() -> str:
     return with_(*base_ctes(), body=f"SELECT user_id, {_z_cols()} FROM z")
 
 
-def zscore_apply() -> str:
-    from stray.plans.oracle import feat_cte, prm_cte, scale_expr
+def _per_type() -> tuple[str, str]:
     counts = ", ".join(f"CAST(sum(CASE WHEN event_type = '{t}' THEN 1 ELSE 0 END) AS BIGINT) AS n_{t}"
                        for t in EVENT_TYPES)
-    per = ("per", f"""SELECT user_id, event_type, {counts}, sum(value) AS value_sum,
+    return ("per", f"""SELECT user_id, event_type, {counts}, sum(value) AS value_sum,
   avg(value) AS value_avg, max(value) AS value_max, stddev_pop(value) AS value_std
 FROM events GROUP BY user_id, event_type""")
+
+
+def zscore_apply() -> str:
+    from stray.plans.oracle import feat_cte, prm_cte, scale_expr
+    per = _per_type()
     zs = ", ".join(f"{r6(f'(CAST({c} AS DOUBLE) - m_{c}) / {scale_expr(c)}')} AS {c}" for c in F)
     return with_(feat_cte(), prm_cte(), per, body=f"SELECT user_id, event_type, {zs} FROM per, prm")
 
@@ -177,6 +183,20 @@ def graph_moments() -> str:
   {r6('(SELECT stddev_pop(degree_centrality) FROM deg)')} AS degree_std""")
 
 
+def graph_analysis() -> str:
+    return with_(*_graph(degree_cte(), graph_score_cte(), *_components_cte()), body=f"""SELECT user_id,
+  {r6('pagerank')} AS pagerank, {r6('degree_centrality')} AS degree_centrality,
+  {r6('graph_anomaly_score')} AS graph_anomaly_score,
+  CAST(n AS BIGINT) AS n_nodes, CAST(m AS BIGINT) AS n_edges,
+  round(CASE WHEN n <= 1 OR m = 0 THEN 0.0 ELSE 2.0 * m / (n * (n - 1.0)) END, 6) AS density,
+  CAST(c AS BIGINT) AS n_components, round(CASE WHEN n > 0 THEN 2.0 * m / n ELSE 0.0 END, 6) AS avg_degree,
+  {r6('pm')} AS pagerank_mean, {r6('ps')} AS pagerank_std, {r6('dm')} AS degree_mean, {r6('ds')} AS degree_std
+FROM (SELECT * FROM gscore ORDER BY graph_anomaly_score DESC, user_id LIMIT {C.TOP_K}),
+     (SELECT (SELECT count(*) FROM unit) AS n, (SELECT count(*) FROM edges) AS m, (SELECT count(DISTINCT component) FROM comp) AS c),
+     (SELECT avg(pagerank) AS pm, stddev_pop(pagerank) AS ps FROM pr),
+     (SELECT avg(degree_centrality) AS dm, stddev_pop(degree_centrality) AS ds FROM deg)""")
+
+
 # ---------------------------------------------------------------- K
 
 
@@ -199,6 +219,15 @@ def kmeans_predict() -> str:
     return with_(*_km(), body="SELECT user_id, CAST(cluster AS INTEGER) AS cluster FROM km_assign")
 
 
+def kmeans_predict_new() -> str:
+    from stray.plans.oracle import scale_expr
+    zs = ", ".join(f"(CAST({c} AS DOUBLE) - m_{c}) / {scale_expr(c)} AS {c}" for c in F)
+    d2 = " + ".join(f"(p.{c} - c.{c}) * (p.{c} - c.{c})" for c in F)
+    return with_(*_km(), _per_type(), ("newz", f"SELECT user_id, event_type, {zs} FROM per, prm"), body=f"""SELECT user_id, event_type,
+  CAST(arg_min(cluster, struct_pack(d := d2, c := cluster)) AS INTEGER) AS cluster, {r6('sqrt(min(d2))')} AS cluster_distance
+FROM (SELECT p.user_id, p.event_type, c.cluster, {d2} AS d2 FROM newz p, km_c{C.KM_ITER} c) GROUP BY user_id, event_type""")
+
+
 def centroid_distance() -> str:
     return with_(*_km(), body=f"SELECT user_id, {r6('sqrt(d2)')} AS cluster_distance FROM km_assign")
 
@@ -210,6 +239,18 @@ def cluster_statistics() -> str:
 FROM km_assign GROUP BY cluster""")
 
 
+def cluster_report() -> str:
+    return with_(*_km(), ("st", """SELECT cluster, CAST(count(*) AS BIGINT) AS size,
+  round(avg(sqrt(d2)), 3) AS avg_distance, round(stddev_samp(sqrt(d2)), 3) AS std_distance,
+  round(max(sqrt(d2)), 3) AS max_distance FROM km_assign GROUP BY cluster"""), body=f"""SELECT CAST(a.cluster AS INTEGER) AS cluster,
+  user_id, {r6('sqrt(d2)')} AS cluster_distance, size, avg_distance, std_distance, max_distance
+FROM km_assign a JOIN st ON st.cluster = a.cluster""")
+
+
+def kmeans_mllib_bound() -> str:
+    return with_(*_km(), body=f"SELECT CAST({C.KM_K} AS INTEGER) AS k, count(*) AS n_users, {r6('sum(d2)')} AS bound FROM km_assign")
+
+
 def inertia() -> str:
     return with_(*_km(), body=f"SELECT CAST({C.KM_K} AS INTEGER) AS k, {r6('sum(d2)')} AS inertia FROM km_assign")
 
@@ -472,9 +513,13 @@ SQL = {
     "graph_anomalies": graph_anomalies,
     "graph_statistics": graph_statistics,
     "graph_moments": graph_moments,
+    "graph_analysis": graph_analysis,
     "kmeans_lloyd": kmeans_lloyd,
     "kmeans_best_of": kmeans_best_of,
+    "cluster_report": cluster_report,
+    "kmeans_mllib_bound": kmeans_mllib_bound,
     "kmeans_predict": kmeans_predict,
+    "kmeans_predict_new": kmeans_predict_new,
     "centroid_distance": centroid_distance,
     "cluster_statistics": cluster_statistics,
     "inertia": inertia,

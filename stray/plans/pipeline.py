@@ -79,7 +79,7 @@ def run_pipeline(features_df: DataFrame, features: Sequence[str],
                                                    block_size=config.block_size))
     nodes = vecs.select(F.col("user_id").alias("id"))
     graph = G.detect_anomalies_graph(nodes, edges, config.pagerank_alpha, config.pagerank_max_iter,
-                                     config.pagerank_tol, config.broadcast_max_rows)
+                                     config.pagerank_tol)
 
     # per-user columns of one frame: cluster + CF are projections of `vecs`
     assigned = K.assign_clusters(vecs, cl.centroids).withColumn("_norm", norm("z"))

@@ -1,9 +1,11 @@
-"""Session helpers: checkpoint folder, size-checked broadcast."""
+"""Session helpers: checkpoint folder, tables in it, bounded Arrow batches."""
 
 from __future__ import annotations
 
+import uuid
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
@@ -39,11 +41,27 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def sized_broadcast(df: DataFrame, n_rows: int, max_rows: int) -> DataFrame:
-    """Broadcast hint only for a side whose row count is known to be small."""
-    return F.broadcast(df) if n_rows <= max_rows else df
-
-
 def bounded_batches(spark: SparkSession, size: int) -> None:
     """Bound Arrow batches by bytes: rows that hold blocks or texts differ in size."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
+
+
+@dataclass(frozen=True)
+class Written:
+    """A table in the shared folder. It cuts the lineage, and the planner knows its true size."""
+
+    df: DataFrame
+    path: str
+
+    def drop(self) -> None:
+        """Delete the files, once a later table has taken the place of this one."""
+        spark = self.df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(self.path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def written(df: DataFrame, name: str) -> Written:
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/stray-{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return Written(spark.read.schema(df.schema).parquet(path), path)

@@ -12,9 +12,13 @@ from pyspark.sql import types as T
 from stray.config import METADATA_COLUMNS
 from stray.functions.stats import exact_percentiles_by_column
 
-#: Quotes within quotes are doubled, and a quoted value may hold line breaks.
-CSV_QUOTES = {"quote": '"', "escape": '"', "multiLine": True, "ignoreLeadingWhiteSpace": False,
-              "ignoreTrailingWhiteSpace": False}
+#: Quotes within quotes are doubled.
+CSV_QUOTES = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+#: The words that stand for a missing value.
+NA_WORDS = ("", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+            "NULL", "NaN", "None", "n/a", "nan", "null")
+_INTEGER = r"^\s*[+-]?[0-9]{1,18}\s*$"
+_NUMBER = r"^\s*[+-]?(?:(?:[0-9]+\.?[0-9]*|\.[0-9]+)(?:[eE][+-]?[0-9]+)?|[iI][nN][fF](?:[iI][nN][iI][tT][yY])?)\s*$"
 _FEATURE_TYPES = (T.NumericType, T.BooleanType)
 
 
@@ -25,21 +29,60 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p)) or bool(fs.globStatus(p))
 
 
+def _quoted(name: str):
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def _balanced(spark: SparkSession, path: str) -> None:
+    """Fail where a quoted value goes on over a line break: a line then has an odd number of quotes."""
+    odd = F.length(F.regexp_replace("value", '[^"]', "")) % 2 == 1
+    first = spark.read.text(path).where(F.contains(F.col("value"), F.lit('"')) & odd).limit(1).collect()
+    if first:
+        raise ValueError(f"{path}: unbalanced quotes in the line {first[0].value[:80]!r}; if quoted values hold line breaks, "
+                         "read with multi_line=True (one task for each file)")
+
+
+def with_types(df: DataFrame) -> DataFrame:
+    """Columns of text whose values all are whole numbers, numbers or truth values, missing ones apart, as such; one
+    aggregate. Whole numbers with gaps stay whole numbers. All other columns stay text."""
+    if not df.columns:
+        return df
+    checks = []
+    for i, c in enumerate(df.columns):
+        x = _quoted(c)
+        checks += [F.count(x).alias(f"n{i}"), F.count_if(x.rlike(_INTEGER)).alias(f"i{i}"), F.count_if(x.rlike(_NUMBER)).alias(f"d{i}"),
+                   F.count_if(F.lower(x).isin("true", "false")).alias(f"b{i}")]
+    got = df.agg(*checks).first()
+    out = []
+    for i, c in enumerate(df.columns):
+        n, x = got[f"n{i}"], _quoted(c)
+        kind = None if not n else "bigint" if got[f"i{i}"] == n else "double" if got[f"d{i}"] == n else "boolean" if got[f"b{i}"] == n else None
+        out.append((F.trim(x).cast(kind) if kind else x).alias(c))
+    return df.select(*out)
+
+
 def read_table(spark: SparkSession, path: str, fmt: str | None = None,
-               schema: T.StructType | str | None = None, as_text: bool = False) -> DataFrame:
-    """CSV (header, NA as null, doubled quotes, line breaks within quotes) or Parquet by
-    extension; a missing path is an error. `as_text` leaves CSV values as they stand."""
+               schema: T.StructType | str | None = None, as_text: bool = False, multi_line: bool = False) -> DataFrame:
+    """CSV (header, NA_WORDS as null, doubled quotes) or Parquet by extension; a missing path is an error.
+
+    A large CSV file is split over many tasks. Where quoted values hold line breaks that cannot be: such a file is an
+    error unless `multi_line`, which reads each file in one task. `as_text` leaves CSV values as they stand."""
     if not _exists(spark, path):
         raise FileNotFoundError(f"File not found: {path}")
     fmt = fmt or ("parquet" if path.rstrip("/").endswith(".parquet") else "csv")
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
-    if fmt == "csv":
-        reader = reader.options(header=True, nullValue="NA", nanValue="NaN", **CSV_QUOTES)
-        if schema is None:
-            reader = reader.option("inferSchema", not as_text)
-    return reader.format(fmt).load(path)
+    if fmt != "csv":
+        return reader.format(fmt).load(path)
+    if not multi_line:
+        _balanced(spark, path)
+    reader = reader.options(header=True, multiLine=multi_line, **CSV_QUOTES)
+    if schema is not None:
+        return reader.options(nullValue="NA", nanValue="NaN").csv(path)
+    text = reader.option("inferSchema", False).csv(path)
+    text = text.select(*[F.when(~_quoted(c).isin(*NA_WORDS), _quoted(c)).alias(c) for c in text.columns])
+    return text if as_text else with_types(text)
 
 
 def feature_columns(df: DataFrame, exclude: Iterable[str] | None = None,
@@ -68,9 +111,9 @@ def check_unique_ids(df: DataFrame, id_col: str = "user_id") -> None:
 
 def load_user_features(spark: SparkSession, path: str, exclude_columns: Sequence[str] | None = None,
                        fmt: str | None = None, schema=None, id_col: str = "user_id",
-                       validate: bool = True) -> tuple[DataFrame, list[str]]:
+                       validate: bool = True, multi_line: bool = False) -> tuple[DataFrame, list[str]]:
     """Read, check the key, detect features; NaN in features becomes null."""
-    df = read_table(spark, path, fmt, schema)
+    df = read_table(spark, path, fmt, schema, multi_line=multi_line)
     return prepare_user_features(df, exclude_columns, id_col, validate)
 
 
@@ -120,7 +163,7 @@ def save_table(df: DataFrame, path: str, fmt: str = "csv", mode: str = "overwrit
     """One distributed write (a folder of part files)."""
     w = df.write.mode(mode)
     if fmt == "csv":
-        w = w.options(header=True, **{k: v for k, v in CSV_QUOTES.items() if k != "multiLine"})
+        w = w.options(header=True, **CSV_QUOTES)
     w.format(fmt).save(path)
 
 
@@ -129,9 +172,9 @@ def extended_path(output_path: str) -> str:
     return f"{root}_extended{ext}"
 
 
-def read_results(spark: SparkSession, path: str, fmt: str | None = None) -> DataFrame:
+def read_results(spark: SparkSession, path: str, fmt: str | None = None, schema: T.StructType | str | None = None) -> DataFrame:
     """A ranked result table; it must hold final_anomaly_score."""
-    df = read_table(spark, path, fmt)
+    df = read_table(spark, path, fmt, schema)
     if "final_anomaly_score" not in df.columns:
         raise ValueError("the results must contain 'final_anomaly_score'")
     return df

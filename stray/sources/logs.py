@@ -11,14 +11,15 @@ from stray.sources.loader import _exists, read_table, save_table
 
 
 def read_logs(spark: SparkSession, folder: str, names: Sequence[str] = LOG_NAMES,
-              fmt: str = "csv", schema: Mapping[str, str] | None = None) -> dict[str, DataFrame]:
+              fmt: str = "csv", schema: Mapping[str, str] | None = None, multi_line: bool = False) -> dict[str, DataFrame]:
     """`<folder>/<name>.<fmt>` for each log; absent logs are skipped. Without a schema
-    (by log name) CSV values stay text, so that they are written again as they were read."""
+    (by log name) CSV values stay text, so that they are written again as they were read.
+    Quoted values with line breaks need `multi_line` (see `read_table`)."""
     out: dict[str, DataFrame] = {}
     for name in names:
         path = f"{folder.rstrip('/')}/{name}.{fmt}"
         if _exists(spark, path):
-            out[name] = read_table(spark, path, fmt, (schema or {}).get(name), as_text=True)
+            out[name] = read_table(spark, path, fmt, (schema or {}).get(name), as_text=True, multi_line=multi_line)
     return out
 
 

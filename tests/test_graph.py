@@ -97,15 +97,77 @@ def test_isolated_nodes_order(spark):
     assert got == [3, 4, 0]
 
 
-def test_shuffle_paths_above_broadcast_bound(spark):
-    rng = np.random.default_rng(21)
-    n = 40
-    edges = [(a, b, float(rng.uniform(0.7, 1))) for a in range(n) for b in range(a + 1, n)
-             if rng.uniform() < 0.06]
+def _random_graph(n, p, seed):
+    rng = np.random.default_rng(seed)
+    return [(a, b, float(rng.uniform(0.7, 1))) for a in range(n) for b in range(a + 1, n) if rng.uniform() < p]
+
+
+def _components(n, edges):
+    parent = list(range(n))
+
+    def find(a):
+        while parent[a] != a:
+            parent[a] = parent[parent[a]]
+            a = parent[a]
+        return a
+    for a, b, _ in edges:
+        ra, rb = find(a), find(b)
+        parent[max(ra, rb)] = min(ra, rb)
+    return {i: find(i) for i in range(n)}
+
+
+def test_hub_graph(spark):
+    """One node with all others beside it, and a second component of pairs."""
+    n = 3000
+    edges = [(0, i, 0.7 + i % 3 / 10) for i in range(1, 2000)] + _random_graph(60, 0.1, 4) + [(i, i + 1, 0.8) for i in range(2000, n - 1, 2)]
     nodes, e = _graph(spark, n, edges)
-    got = collect_map(G.pagerank(nodes, e, max_iter=15, tol=None, broadcast_max_rows=0), "id", "pagerank")
-    want = _np_pagerank(n, edges, iters=15)
-    assert [got[i] for i in range(n)] == pytest.approx(list(want), abs=1e-12)
-    small = collect_map(G.connected_components(nodes, e), "id", "component")
-    big = collect_map(G.connected_components(nodes, e, broadcast_max_rows=0), "id", "component")
-    assert small == big
+    e = e.repartition(11)
+    got = collect_map(G.pagerank(nodes, e, max_iter=12, tol=None), "id", "pagerank")
+    assert [got[i] for i in range(n)] == pytest.approx(list(_np_pagerank(n, edges, iters=12)), abs=1e-12)
+    assert collect_map(G.connected_components(nodes, e), "id", "component") == _components(n, edges)
+
+
+def test_no_task_gets_a_hub(spark):
+    """Rows of a hub are dealt to lots: the largest partition of a join has about its fair share."""
+    from pyspark.sql import functions as F
+    from stray.operators.spread import dealt, hubs_of, repeated
+    rows = spark.range(0, 80_000, 1, 8).select(F.when(F.col("id") % 2 == 0, F.lit(7)).otherwise(F.col("id")).alias("u"), F.col("id").alias("v"))
+    counts = rows.groupBy(F.col("u").alias("key")).agg(F.count(F.lit(1)).alias("c"))
+    hubs = hubs_of(counts, 80_000)
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert 1 <= hubs.count <= 16 * parts
+    per_task = [r["n"] for r in dealt(rows, "u", "v", hubs).repartition(parts, "u", "lot").groupBy(F.spark_partition_id()).agg(
+        F.count(F.lit(1)).alias("n")).collect()]
+    assert max(per_task) < 2 * 80_000 / parts
+    own = counts.select(F.col("key").alias("u"), "c")
+    joined = dealt(rows, "u", "v", hubs).join(repeated(own, "u", hubs), ["u", "lot"])
+    assert joined.count() == 80_000 and joined.where("u = 7 and c <> 40001").count() == 0
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_components_of_chains_and_random_graphs(spark, seed):
+    rng = np.random.default_rng(seed)
+    n = 700
+    perm = rng.permutation(n)
+    edges = [(int(min(a, b)), int(max(a, b)), 1.0) for a, b in zip(perm[:300], perm[1:300])] + _random_graph(n, 0.0006, seed)
+    nodes, e = _graph(spark, n, edges)
+    assert collect_map(G.connected_components(nodes, e.repartition(9)), "id", "component") == _components(n, edges)
+
+
+def test_forest_keeps_components():
+    rng = np.random.default_rng(3)
+    a, b = rng.integers(0, 500, 400), rng.integers(0, 500, 400)
+    want = _components(500, [(x, y, 1) for x, y in zip(a.tolist(), b.tolist())])
+    u, v = G.forest(a, b)
+    assert len(u) == len(set(u.tolist())) and all(want[x] == y for x, y in zip(u.tolist(), v.tolist()))
+    assert set(u.tolist()) == {i for i in set(a.tolist()) | set(b.tolist()) if want[i] != i}
+    assert len(G.forest(a[:0], b[:0])[0]) == 0
+
+
+def test_graph_analysis_in_one_call(spark):
+    from helpers import rand_vectors, vec_frame
+    v = vec_frame(spark, rand_vectors(40, 3, seed=2))
+    res = G.detect_anomalies(v, 0.6, show_top=4)
+    assert res.top.count() == 4 and res.edges.count() == res.statistics.first()["n_edges"]
+    scores = sorted(((-r["graph_anomaly_score"], r["user_id"]) for r in res.scores.collect()))
+    assert [r["user_id"] for r in res.top.collect()] == [u for _, u in scores[:4]]

@@ -60,9 +60,38 @@ def test_sample_is_deterministic_and_bounded(spark):
     assert C.sample_users(users, 500, 42).count() == 100
 
 
-def test_sample_rank_path_equals_take_ordered(spark, monkeypatch):
+def test_sample_is_the_lowest_hashes_in_order(spark):
+    import hashlib
     users = spark.createDataFrame([(i,) for i in range(300)], "user long")
-    want = [r["user"] for r in C.sample_users(users, 40, 7).collect()]
-    monkeypatch.setattr(C, "TAKE_ORDERED_MAX", 10)
-    got = [r["user"] for r in C.sample_users(users.repartition(5), 40, 7).collect()]
-    assert sorted(got) == sorted(want)
+    want = sorted(range(300), key=lambda i: hashlib.md5(f"7|{i}".encode()).hexdigest())[:40]
+    assert [r["user"] for r in C.sample_users(users.repartition(5), 40, 7).collect()] == want
+
+
+def test_each_log_is_read_twice_and_sizes_are_reported(spark, tmp_path):
+    import os
+    logs = {name: spark.createDataFrame([(f"u{i % m}", i) for i in range(400)], "user string, v int")
+            for name, m in (("logon", 30), ("device", 20), ("file", 25), ("email", 40), ("http", 22))}
+    reads = {}
+
+    def counted(df, acc):
+        def fn(batches):
+            for b in batches:
+                acc.add(b.num_rows)
+                yield b
+        return df.mapInArrow(fn, df.schema)
+
+    for name, df in list(logs.items()):
+        reads[name] = spark.sparkContext.accumulator(0)
+        logs[name] = counted(df, reads[name])
+    out = str(tmp_path / "out")
+    res = C.cohort_reduce(logs, None, n_users=7, out_dir=out)
+    rep = {r["log"]: r for r in res.report.collect()}
+    assert all(a.value <= 2 * 400 for a in reads.values())
+    users = {r["user"] for r in res.sample.collect()}
+    assert len(users) == 7 and users <= {f"u{i}" for i in range(20)}
+    for name, m in (("logon", 30), ("device", 20)):
+        kept = sum(f"u{i % m}" in users for i in range(400))
+        assert (rep[name]["rows_before"], rep[name]["rows_after"]) == (400, kept)
+        size = sum(os.path.getsize(os.path.join(d, f)) for d, _, fs in os.walk(f"{out}/{name}.csv") for f in fs if not f.endswith(".crc"))
+        assert rep[name]["mb_out"] == pytest.approx(size / 2 ** 20) and rep[name]["mb_in"] is None
+    assert res.total_mb == pytest.approx(sum(r["mb_out"] for r in rep.values()))
