@@ -58,3 +58,24 @@ def test_edges(spark):
     assert T.toxicity_query(none(spark), labels(spark)).count() == 0
     docs = clashing(spark)
     assert T.toxicity_stage(docs, none_known).columns == docs.columns
+
+
+def test_scores_of_a_table_by_brute_force(spark):
+    """Every row of the query from the fitted weights, term by term; the fit itself is tested above."""
+    import math
+    import re
+    docs, marks = documents(spark, SF).where("doc_id % 7 = 0 and n_chars < 20000"), labels(spark, SF)
+    model = T.train(docs, marks)
+    assert model.weights and len(model.thresholds) == T.GRADES
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    rows = T.toxicity_query(docs, marks).collect()
+    assert len(rows) == len(texts) and 0 < sum(r.toxic for r in rows) < len(rows) / 2
+    for r in rows:
+        words = [w for w in re.split(r"[\W_]+", (texts[r.doc_id] or "").lower()) if w]
+        terms = words + [w[:4] + "-" for w in words if len(w) > 4] + [w[:5] + "-" for w in words if len(w) > 5]
+        x = sum(w * math.log(1 + terms.count(t)) for t, w in model.weights.items() if t in terms)
+        p = [1 / (1 + math.exp(-(x - t))) for t in model.thresholds]
+        assert np.allclose([r.p_grade_1, r.p_grade_2, r.p_grade_3], p, atol=1e-9)
+        each = -np.diff(np.r_[1.0, p, 0.0])
+        assert abs(r.expected_severity - sum(k * each[k] for k in range(4))) < 1e-9
+        assert each[r.grade] >= each.max() - 1e-9 and r.toxic == (p[0] >= 0.5)
