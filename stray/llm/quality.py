@@ -2,11 +2,12 @@
 
 Lines are normalised (lower case, white-space runs as one blank) and hashed; for each
 host the distinct documents holding a line are counted, exact copies of a text once.
-A line above the host's limit is removed, and a document that loses too many words is
-rejected. Counting pre-aggregates before each shuffle, so a line or host that holds a
-third of all rows is no hot task. The lines above a limit are few by construction: at
-most (lines per document) / `share` for a host; they are written as a table whose size
-the planner knows, and joined to the documents as one array per host.
+A line in more than max(`min_docs`, `growth` floor(log2 n)) of the n distinct texts of its host is
+removed, and a document that loses too many words is rejected: the limit hardly rises
+with the host. References (host, text, line, words) are joined with the lines above the
+limit by (host, line), and what a text loses comes back by (host, text); Spark splits such
+joins where a line or host holds a third of all rows, counts pre-aggregate, and no text is
+shuffled to be judged. Only the stage, which returns texts, joins them with their lines.
 
 Defined cases: a null text has no words; a null host is the host ''; lines without a
 word are neither counted nor removed; repeated rows are judged alike, each on its own.
@@ -14,53 +15,81 @@ word are neither counted nor removed; repeated rows are judged alike, each on it
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from stray.llm.common import SPACES, bounded_batches, materialise, squeezed, text_of
+from stray.llm.common import SPACES, bounded_batches, materialise, text_of
 
 SYMBOLS = "#*$%&|<>"
-FIGURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "kept_words")
+FIGURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 PROFILE = StructType([StructField(c, LongType()) for c in FIGURES])
 
 
 @dataclass(frozen=True)
 class LineRules:
-    """A line is removed when more than `min_docs` distinct documents of its host and
-    more than `share` of them hold it; a document is depleted when less than `remain`
-    of its words is left."""
+    """A line is removed when more than max(min_docs, growth floor(log2 n)) of the n distinct
+    documents of its host hold it; a document is depleted when less than `remain` of its
+    words is left."""
 
     min_docs: int = 5
-    share: float = 0.1
+    growth: int = 2
     remain: float = 0.5
     min_words: int = 50
     max_repeat_percent: int = 50
 
 
-def line_hashes(text: Column) -> Column:
-    """Hash of every line in order; null for a line without a word."""
-    def one(line: Column) -> Column:
-        plain = squeezed(line)
-        return F.when(plain != "", F.xxhash64(plain))
-    return F.transform(F.split(text, "\n", -1), one)
-
-
-def frequent_lines(docs: DataFrame, host: str, text: str, rules: LineRules) -> DataFrame:
-    """(host, lines): hashes of the lines above the host's limit, hosts with none left out."""
-    rows = docs.select(F.coalesce(F.col(host).cast("string"), F.lit("")).alias("h"),
-                       text_of(text).alias("t"))
-    rows = rows.select("h", F.xxhash64("t").alias("copy"), "t")
-    sizes = rows.groupBy("h").agg(F.count_distinct("copy").alias("n"))
-    lines = rows.select("h", "copy", F.explode(F.array_distinct(F.array_compact(line_hashes(F.col("t"))))).alias("line"))
-    held = (lines.groupBy("h", "line").agg(F.count_distinct("copy").alias("docs"))
-            .where(F.col("docs") > rules.min_docs))
-    return (held.join(sizes, "h").where(F.col("docs") > rules.share * F.col("n"))
-            .groupBy("h").agg(F.sort_array(F.collect_list("line")).alias("lines")))
+def line_hash(line: str) -> int | None:
+    """Hash of a normalised line; null for a line without a word."""
+    words = line.encode().split()
+    if not words:
+        return None
+    plain = b" ".join(words).decode("utf-8", "replace").lower()
+    return int.from_bytes(hashlib.blake2b(plain.encode(), digest_size=8).digest(), "little", signed=True)
+
+
+def keys_of(host: str, text: str) -> list[Column]:
+    return [F.coalesce(F.col(host).cast("string"), F.lit("")).alias("h"), F.xxhash64(text_of(text)).alias("copy")]
+
+
+def line_references(docs: DataFrame, host: str, text: str) -> DataFrame:
+    """(h, copy, line, words): the lines of every distinct text of a host, each once, and their words in all."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, lines, words = [], [], []
+            for i, t in enumerate(batch.column("t").to_pylist()):
+                own: dict[int, int] = {}
+                for line in t.split("\n"):
+                    key = line_hash(line)
+                    if key is not None:
+                        own[key] = own.get(key, 0) + len(line.encode().split())
+                rows += [i] * len(own)
+                lines += own.keys()
+                words += own.values()
+            at = pa.array(rows, pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column("h").take(at), batch.column("copy").take(at), pa.array(lines, pa.int64()),
+                                              pa.array(words, pa.int64())], ["h", "copy", "line", "words"])
+
+    found = docs.select(*keys_of(host, text), text_of(text).alias("t")).mapInArrow(run, "h string, copy long, line long, words long")
+    return materialise(found.distinct(), "line-refs")
+
+
+def losses(docs: DataFrame, host: str, text: str, rules: LineRules) -> DataFrame:
+    """(h, copy, lost, bad): the words that a text loses on its host, and the hashes of the lines that go."""
+    refs = line_references(docs, host, text)
+    sizes = docs.select(*keys_of(host, text)).distinct().groupBy("h").agg(F.count("*").alias("n"))
+    held = refs.groupBy("h", "line").agg(F.count("*").alias("docs")).where(F.col("docs") > rules.min_docs)
+    limit = F.greatest(F.lit(rules.min_docs), rules.growth * (F.length(F.bin("n")) - 1))
+    often = materialise(held.join(sizes, "h").where(F.col("docs") > limit).select("h", "line"), "frequent-lines")
+    return materialise(refs.join(often, ["h", "line"]).groupBy("h", "copy").agg(
+        F.sum("words").alias("lost"), F.collect_set("line").alias("bad")), "losses")
 
 
 def repeated_words(words: list[bytes]) -> int:
@@ -79,8 +108,8 @@ def repeated_words(words: list[bytes]) -> int:
     return int(inside.sum())
 
 
-def profile(text: str, cleaned: str | None) -> tuple[int, ...]:
-    """The base figures of a text, and the words left in its cleaned form (None: unchanged)."""
+def profile(text: str) -> tuple[int, ...]:
+    """The base figures of a text."""
     words = text.encode().split()
     seen: set[str] = set()
     dup = 0
@@ -88,54 +117,53 @@ def profile(text: str, cleaned: str | None) -> tuple[int, ...]:
         if line.strip(SPACES):
             dup += line in seen
             seen.add(line)
-    return (len(words), len(text) - sum(map(text.count, SPACES)), sum(map(text.count, SYMBOLS)), dup,
-            repeated_words(words), len(words) if cleaned is None else len(cleaned.encode().split()))
+    return (len(words), len(text) - sum(map(text.count, SPACES)), sum(map(text.count, SYMBOLS)), dup, repeated_words(words))
 
 
 @F.pandas_udf(PROFILE)
-def profiles(text: pd.Series, cleaned: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([profile(t, c) for t, c in zip(text, cleaned)], columns=list(FIGURES)).astype("int64")
+def profiles(text: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([profile(t) for t in text], columns=list(FIGURES)).astype("int64")
+
+
+@F.pandas_udf(StringType())
+def without_lines(text: pd.Series, bad: pd.Series) -> pd.Series:
+    return text.combine(bad, lambda t, b: t if b is None else "\n".join(x for x in t.split("\n") if line_hash(x) not in set(b)))
 
 
-def judge(docs: DataFrame, host: str = "source", text: str = "text",
-          rules: LineRules = LineRules()) -> DataFrame:
-    """One row (doc, cleaned, figures, base_failed, kept) per row of `docs`.
+def judge(docs: DataFrame, host: str = "source", text: str = "text", rules: LineRules = LineRules(),
+          keep_text: bool = True) -> DataFrame:
+    """One row (doc, f, kept_words, base_failed, kept) per row of `docs`, and where `keep_text` the text (_t) and
+    the hashes of the lines that go (bad).
 
-    `doc` is the whole input row as a struct, so no column of `docs` can clash;
-    `cleaned` is the text without removed lines.
+    `doc` is the whole input row as a struct (without the text where that is not kept), so no column can clash.
     """
     bounded_batches(docs.sparkSession)
-    limits = materialise(frequent_lines(docs, host, text, rules), "lines").select(
-        F.col("h").alias("_h"), F.col("lines").alias("_lines"))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"),
-                       text_of(text).alias("_t"),
-                       F.coalesce(F.col(host).cast("string"), F.lit("")).alias("_host"))
-    rows = rows.join(limits, F.col("_host") == F.col("_h"), "left")
-    bad = F.col("_lines")
-    left = F.filter(F.split(F.col("_t"), "\n", -1),
-                    lambda x: ~F.coalesce(F.array_contains(bad, F.xxhash64(squeezed(x))), F.lit(False)))
-    cleaned = F.when(bad.isNotNull() & F.arrays_overlap(bad, line_hashes(F.col("_t"))), F.array_join(left, "\n"))
-    out = rows.select("doc", F.col("_t"), cleaned.alias("_c"))
-    out = out.select("doc", F.coalesce("_c", "_t").alias("cleaned"), profiles("_t", "_c").alias("f"))
+    lost = losses(docs, host, text, rules)
+    columns = [c for c in docs.columns if c != text]
+    row = F.struct(*[F.col(f"`{c}`") for c in columns], F.lit(None).alias("_none")).alias("doc")
+    said = [text_of(text).alias("_t")] if keep_text else []
+    rows = docs.select(row, *keys_of(host, text), *said, profiles(text_of(text)).alias("f"))
+    if not keep_text:
+        lost = lost.drop("bad")
+    out = rows.join(lost, ["h", "copy"], "left")
     failed = ((F.col("f.n_words") < rules.min_words)
               | (100 * F.col("f.n_repeat_words") > rules.max_repeat_percent * F.col("f.n_words")))
-    out = out.select("doc", "cleaned", "f", failed.alias("base_failed"))
-    return out.withColumn("kept", ~F.col("base_failed")
-                          & (F.col("f.kept_words") >= rules.remain * F.col("f.n_words")))
+    out = out.withColumn("kept_words", F.col("f.n_words") - F.coalesce("lost", F.lit(0))).withColumn("base_failed", failed)
+    return out.withColumn("kept", ~F.col("base_failed") & (F.col("kept_words") >= rules.remain * F.col("f.n_words")))
 
 
 def quality_query(docs: DataFrame) -> DataFrame:
     """The digest of every document: figures, base_failed and kept."""
-    return judge(docs.select("doc_id", "text", "source")).select(
+    return judge(docs.select("doc_id", "text", "source"), keep_text=False).select(
         "doc.doc_id", "f.n_words", "f.word_chars", "f.n_symbols", "f.n_dup_lines", "f.n_repeat_words",
-        "base_failed", "kept", "f.kept_words")
+        "base_failed", "kept", "kept_words")
 
 
 def quality_stage(docs: DataFrame) -> DataFrame:
     """Kept documents without their removed lines; n_chars follows the text."""
-    kept = judge(docs).where("kept")
+    kept = judge(docs).where("kept").select("doc", without_lines("_t", "bad").alias("cleaned"))
     put = {"text": F.col("cleaned"), "n_chars": F.char_length("cleaned").cast("long")}
-    return kept.select(*[put.get(c, F.col(f"doc.`{c}`")).alias(c) for c in docs.columns])
+    return kept.select(*[put[c].alias(c) if c in put else F.col(f"doc.`{c}`").alias(c) for c in docs.columns])
 
 
 QUALITY_SQL = r"""
@@ -145,7 +173,7 @@ ln AS (SELECT doc_id, h, t, i, string_split(t, chr(10))[i] AS l
 nl AS (SELECT *, lower(trim(regexp_replace(l, '[\x20\x09-\x0D]+', ' ', 'g'))) AS p FROM ln),
 sizes AS (SELECT h, count(DISTINCT t) AS n FROM d GROUP BY h),
 freq AS (SELECT nl.h, p FROM nl JOIN sizes USING (h) WHERE p <> ''
-         GROUP BY nl.h, p, n HAVING count(DISTINCT t) > 5 AND count(DISTINCT t) > 0.1 * n),
+         GROUP BY nl.h, p, n HAVING count(DISTINCT t) > greatest(5, 2 * floor(log2(n)))),
 lw AS (SELECT doc_id, p <> '' AS worded, (freq.p IS NULL) AS stays,
               row_number() OVER (PARTITION BY doc_id, l ORDER BY i) AS k,
               len(regexp_extract_all(l, '[^\x20\x09-\x0D]+')) AS w

@@ -54,3 +54,15 @@ def test_stage_keeps_extra_columns(spark):
     out = Q.quality_stage(docs)
     assert out.columns == docs.columns
     assert [r.text for r in out.where("doc_id = 7").collect()] == [PLAIN]
+
+
+def test_the_limit_hardly_grows_with_the_host(spark):
+    """A line in 60 of 5,000 texts of a host goes, one in 20 stays; the limit there is 24."""
+    rows = [(i, f"{' '.join(f'x{i}y{j}' for j in range(50))}\n" + ("Shared  Line of the house\n" if i % 83 == 0 else "")
+             + ("a rarer line that stays\n" if i % 250 == 0 else "") + "end", "en", "big", 0) for i in range(5000)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    texts = {r.doc_id: r.text for r in Q.quality_stage(docs).collect()}
+    assert len(texts) == 5000 and not any("Shared" in t for t in texts.values())
+    assert sum("rarer" in t for t in texts.values()) == 20 and not any(t.endswith("end") for t in texts.values())
+    lost = {r.doc_id: r.n_words - r.kept_words for r in Q.quality_query(docs).collect()}
+    assert lost[83] == 6 and lost[250] == 1 and lost[1] == 1
