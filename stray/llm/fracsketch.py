@@ -10,9 +10,14 @@ task, documents are cut into ranges of ids of bounded bytes, sorted within their
 and the first document of each range is sent to the range before it as well. Texts are
 compressed for that one exchange.
 
-Defined cases: a null text is empty; a text without words has an empty sketch; a text of
-fewer than five words is one shingle; where either sketch is empty, likeness is 1 for
-equal fingerprints and else 0; of equal ids the digest of the text decides the order; null ids
+A text of k shingles retains none with probability (1 - fraction)^k. Where that happens to
+either of two texts, their likeness comes from all their shingles, which are few in one of
+them, and a text that retains none has the digest of its words as its fingerprint, so that
+short texts of different words differ.
+
+Defined cases: a null text is empty; a text without words has the fingerprint '', likeness
+1 to another such and 0 to all others; a text of fewer than five words is one shingle; of
+equal ids the digest of the text decides the order; null ids
 come last; a single document is its own successor; an empty table gives no rows.
 """
 
@@ -33,8 +38,9 @@ from stray.llm.common import batch_word_hashes, bounded_batches, rows_of, shingl
 
 FRACTION = 1 / 8
 SHINGLE = 5
-#: Texts of one range, in bytes, about.
+#: Texts of one range, in bytes, about; smaller ones, down to the least, where there would be fewer than tasks.
 RANGE_BYTES = 16 << 20
+LEAST_BYTES = 1 << 18
 #: Ranges at most: their borders pass through the driver. A range is sorted and streamed, never held.
 MAX_RANGES = 4096
 
@@ -61,6 +67,20 @@ def as_text(s: np.ndarray) -> str:
     return base64.b64encode(s.astype("<u8").tobytes()).decode()
 
 
+def fingerprint(words: np.ndarray, s: np.ndarray) -> str:
+    """The sketch `s` of the words as text; the digest of the words where it is empty and they are not."""
+    if len(s) or not len(words):
+        return as_text(s)
+    return "words:" + hashlib.sha256(words.astype("<u8").tobytes()).hexdigest()
+
+
+def nearness(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
+    """Likeness of two texts (words, sketch): of their sketches, or of all their shingles where either is empty."""
+    if len(a[1]) and len(b[1]):
+        return likeness(a[1], b[1])
+    return likeness(*(np.unique(shingle_hashes(words, SHINGLE)) for words, _ in (a, b)))
+
+
 def edited(text: str, following: str) -> str:
     """The last half replaced by as many first code points of the next text, or all of it."""
     half = len(text) // 2
@@ -80,7 +100,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     bounded_batches(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), text_of("text").alias("text"))
     size = rows.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("b")).head().b
-    ranges = min(MAX_RANGES, max(1, -(-size // RANGE_BYTES)))
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranges = min(max(MAX_RANGES, tasks), max(1, -(-size // RANGE_BYTES), min(tasks, -(-size // LEAST_BYTES))))
     steps = [k / ranges for k in range(1, ranges)]
     cuts = np.unique(rows.approxQuantile("id", steps, max(1e-4, 0.1 / ranges)) if steps else []).astype(np.int64)
 
@@ -142,7 +163,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
             yield described(waiting)
 
     sent = rows.select(F.col("id").cast("string").alias("id"), "text").mapInPandas(send, SENT)
-    ordered = sent.repartition(max(1, len(order)), "range").sortWithinPartitions(
+    ordered = sent.repartition(max(1, 2 * len(order)), "range").sortWithinPartitions(
         "range", "border", F.col("doc_id").cast("long").desc_nulls_last(), "digest")
     return ordered.mapInPandas(compare, PRINTS).withColumn("doc_id", F.col("doc_id").cast("long"))
 
@@ -155,7 +176,7 @@ def described(triples: list[tuple[str | None, str, str]]) -> pd.DataFrame:
     n = len(triples)
     out = []
     for k, (doc, text, _) in enumerate(triples):
-        own, new, following = (sketch(hashes[k + j * n]) for j in range(3))
-        out.append((doc, len(text), hashlib.sha256(changed[k].encode()).hexdigest(), as_text(own), as_text(new),
-                    likeness(own, new), likeness(own, following)))
+        own, new, following = ((w := hashes[k + j * n], sketch(w)) for j in range(3))
+        out.append((doc, len(text), hashlib.sha256(changed[k].encode()).hexdigest(), fingerprint(*own), fingerprint(*new),
+                    nearness(own, new), nearness(own, following)))
     return pd.DataFrame(out, columns=PRINTS.names)

@@ -2,7 +2,7 @@ import hashlib
 
 import numpy as np
 import pytest
-from edge import SF, clashing, documents, edge, none
+from edge import SCHEMA, SF, clashing, documents, edge, none
 
 from stray.llm import fracsketch as S
 from stray.llm.common import batch_word_hashes, shingle_hashes
@@ -19,11 +19,12 @@ def test_documents_by_brute_force(spark, monkeypatch):
     assert len(got) == len(rows)
     for (doc, text), (_, following) in zip(rows, rows[1:] + rows[:1]):
         new = S.edited(text, following)
-        a, b, c = (S.sketch(words_of(t)) for t in (text, new, following))
+        a, b, c = ((words_of(t), S.sketch(words_of(t))) for t in (text, new, following))
         r = got[doc]
         assert (r.n_chars, r.edited_sha256) == (len(text), hashlib.sha256(new.encode()).hexdigest())
-        assert (r.fingerprint, r.edited_fingerprint) == (S.as_text(a), S.as_text(b))
-        assert (r.near_edited, r.near_next) == (S.likeness(a, b), S.likeness(a, c))
+        assert (r.fingerprint, r.edited_fingerprint) == (S.fingerprint(*a), S.fingerprint(*b))
+        assert (r.near_edited, r.near_next) == (S.nearness(a, b), S.nearness(a, c))
+        assert len(a[1]) == 0 or (r.fingerprint, r.near_next) == (S.as_text(a[1]), S.likeness(a[1], c[1]) if len(c[1]) else r.near_next)
 
 
 def test_estimates_containment_of_unequal_texts():
@@ -40,11 +41,24 @@ def test_estimates_containment_of_unequal_texts():
     assert (halves == S.sketch(batch_word_hashes([b" ".join(parts[:1000])])[0])).all()
 
 
+def test_short_texts_of_different_words_differ(spark):
+    rows = [(i, f"short text number {i} here", "en", "s", 0) for i in range(200)] + [(500, "short text number 7 here", "en", "s", 0)]
+    out = {r.doc_id: r for r in S.fingerprints(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert len({r.fingerprint for d, r in out.items() if d < 200}) == 200 and out[500].fingerprint == out[7].fingerprint
+    assert all(out[i].near_next == 0.0 for i in range(1, 200)) and out[0].near_next == 0.0
+    empty = [i for i in range(200) if out[i].fingerprint.startswith("words:")]
+    assert len(empty) > 100
+    long = " ".join(f"w{i}" for i in range(2000))
+    inside = spark.createDataFrame([(2, "w7 w8 w9 w10 w11 w12", "en", "s", 0), (1, long, "en", "s", 0)], SCHEMA)
+    got = {r.doc_id: r.near_next for r in S.fingerprints(inside).collect()}
+    assert got[2] == 1.0 and got[1] in (1.0, 0.0)  # all shingles count where a sketch is empty
+
+
 def test_edges(spark):
     out = S.fingerprints(edge(spark)).collect()
     assert len(out) == edge(spark).count()
     assert len({r.fingerprint for r in out if r.doc_id == 6}) == 1
-    assert {r.fingerprint for r in out if r.doc_id in (1, 2, 4)} == {""}
+    assert {r.fingerprint for r in out if r.doc_id in (1, 2, 4)} == {""} and all(r.fingerprint for r in out if r.doc_id == 3)
     by = {r.doc_id: r for r in out if r.doc_id != 6}
     assert by[2].near_next == 1.0 and by[2].n_chars == 0
     assert S.fingerprints(none(spark)).count() == 0
