@@ -52,9 +52,19 @@ def ranks_encoding(path: str):
                              special_tokens={})
 
 
+#: A blank at which no chunk begins.
+ODD_BLANK = re.compile(r" (?![!-~\w])")
+
+
 def chunks(text: str) -> list[str]:
     """Cut before each blank that an ASCII sign or a letter or digit follows; joined, the text again."""
     parts = text.split(" ")
+    if not ODD_BLANK.search(text):
+        out = [" " + p for p in parts]
+        if parts[0]:
+            out[0] = parts[0]
+            return out
+        return out[1:]
     out = [parts[0]]
     for p in parts[1:]:
         if p and ("!" <= p[0] <= "~" or p[0].isalnum()):

@@ -38,34 +38,76 @@ from stray.llm.common import bounded_batches, least_count, materialise, rows_of,
 #: Fixed value: the pre-tokeniser's pattern.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 MARK_ID = 50256
-#: Merged chunks, and pieces of them, that a worker remembers before it starts afresh.
-REMEMBERED = 300_000
-#: Bytes up to which a piece is merged by looking at all its pairs.
+#: Chunks, and pieces of them, that a worker remembers before it starts afresh.
+REMEMBERED = 400_000
+#: Characters whose chunks a worker holds at once.
+AT_ONCE = 1 << 20
+#: Bytes up to which pieces are merged many at once, by looking at all their pairs.
 SHORT = 32
 
 
-def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """Ids of one piece: the adjacent pair of lowest rank, of equals the first, is joined until none can be."""
-    whole = ranks.get(piece)
-    if whole is not None:
-        return [whole]
-    return merge_short(piece, ranks) if len(piece) <= SHORT else merge_long(piece, ranks)
+class PairTable:
+    """Which two ids join to which: all cuts of the tokens in two tokens, as sorted arrays."""
 
-
-def merge_short(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """With the ranks of all adjacent pairs in a list: the fastest way for a word."""
-    parts = [piece[i:i + 1] for i in range(len(piece))]
-    rank, none = ranks.get, len(ranks) + MARK_ID
-    pairs = [rank(piece[i:i + 2], none) for i in range(len(piece) - 1)]
-    while pairs and (least := min(pairs)) < none:
-        i = pairs.index(least)
-        parts[i] += parts.pop(i + 1)
-        del pairs[i]
-        if i:
-            pairs[i - 1] = rank(parts[i - 1] + parts[i], none)
-        if i < len(pairs):
-            pairs[i] = rank(parts[i] + parts[i + 1], none)
-    return [ranks[p] for p in parts]
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        rank, keys, joined = ranks.get, [], []
+        for token, i in ranks.items():
+            for cut in range(1, len(token)):
+                left = rank(token[:cut])
+                if left is not None and (right := rank(token[cut:])) is not None:
+                    keys.append(left << 20 | right)
+                    joined.append(i)
+        order = np.argsort(np.array(keys, np.int64), kind="stable")
+        self.keys, self.joined = np.array(keys, np.int64)[order], np.array(joined, np.int64)[order]
+        self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        self.none = len(ranks) + MARK_ID
+
+    def of(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The id that each pair joins to, which is its rank, or `none`."""
+        key = left << 20 | right
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.joined[at], self.none)
+
+
+def merge_many(pieces: list[bytes], table: PairTable) -> list[list[int]]:
+    """Ids of many pieces at once: in every step each piece joins its pair of lowest rank, of equals the first."""
+    size = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    ids = table.single[np.frombuffer(b"".join(pieces), np.uint8)]
+    owner = np.repeat(np.arange(len(pieces)), size)
+    rank = np.full(len(ids), table.none)
+    if len(ids) > 1:
+        rank[:-1] = np.where(owner[1:] == owner[:-1], table.of(ids[:-1], ids[1:]), table.none)
+    done_ids, done_owner = [], []
+    while len(ids):
+        begin = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]])
+        least = np.minimum.reduceat(rank, begin)
+        count = np.diff(np.r_[begin, len(ids)])
+        open_ = np.repeat(least < table.none, count)
+        if not open_.all():
+            done_ids.append(ids[~open_])
+            done_owner.append(owner[~open_])
+            least, count = least[least < table.none], count[least < table.none]
+            ids, owner, rank = ids[open_], owner[open_], rank[open_]
+            if not len(ids):
+                break
+        hit = np.flatnonzero(rank == np.repeat(least, count))
+        hit = hit[np.r_[True, owner[hit[1:]] != owner[hit[:-1]]]]
+        ids[hit] = rank[hit]
+        keep = np.ones(len(ids), bool)
+        keep[hit + 1] = False
+        ids, owner, rank = ids[keep], owner[keep], rank[keep]
+        hit = hit - np.arange(len(hit))  # one id before it has gone from each earlier piece
+        for left in (hit, hit - 1):
+            left = left[(left >= 0) & (left < len(ids))]
+            after = np.minimum(left + 1, len(ids) - 1)
+            rank[left] = np.where((after > left) & (owner[after] == owner[left]), table.of(ids[left], ids[after]), table.none)
+    if not done_ids:
+        return []
+    ids, owner = np.concatenate(done_ids), np.concatenate(done_owner)
+    order = np.argsort(owner, kind="stable")
+    ends = np.cumsum(np.bincount(owner, minlength=len(pieces)))
+    flat = ids[order].tolist()
+    return [flat[i:j] for i, j in zip([0, *ends.tolist()], ends.tolist())]
 
 
 def merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
@@ -98,19 +140,53 @@ def pattern():
     return regex.compile(PATTERN)
 
 
-def merge_chunk(chunk: str, ranks: dict[bytes, int], known: dict[str, list[int]] | None = None) -> list[int]:
-    """Ids of a chunk; `known` remembers its pieces."""
-    known = {} if known is None else known
-    ids: list[int] = []
-    for k, section in enumerate(chunk.split(MARK)):
-        if k:
-            ids.append(MARK_ID)
-        for piece in pattern().findall(section):
-            got = known.get(piece)
-            if got is None:
-                got = known[piece] = merge(piece.encode(), ranks)
-            ids += got
-    return ids
+def plain_word(chunk: str) -> bool:
+    """A blank and Latin letters, which are one piece whatever the Unicode version."""
+    return chunk[:1] == " " and chunk[1:].isalpha() and max(chunk) <= "ſ"
+
+
+class Merger:
+    """Ids of chunks by merging their pieces; pieces of chunks that are no plain words are remembered."""
+
+    def __init__(self, ranks: dict[bytes, int]) -> None:
+        self.ranks, self.table, self.known = ranks, None, {}
+
+    def chunks(self, many: list[str]) -> list[list[int]]:
+        if len(self.known) > REMEMBERED:
+            self.known = {}
+        plain = [plain_word(c) for c in many]
+        cut = [None if p else [pattern().findall(section) for section in c.split(MARK)] for c, p in zip(many, plain)]
+        self.known.update(self.merged(sorted({p for c in cut if c for section in c for p in section if p not in self.known})))
+        words = self.merged([c for c, p in zip(many, plain) if p])
+        out = []
+        for c, sections in zip(many, cut):
+            if sections is None:
+                out.append(words[c])
+                continue
+            ids: list[int] = []
+            for k, section in enumerate(sections):
+                if k:
+                    ids.append(MARK_ID)
+                for piece in section:
+                    ids += self.known[piece]
+            out.append(ids)
+        return out
+
+    def merged(self, pieces: list[str]) -> dict[str, list[int]]:
+        out, short, rank = {}, [], self.ranks.get
+        for piece in pieces:
+            raw = piece.encode()
+            whole = rank(raw)
+            if whole is not None:
+                out[piece] = [whole]
+            elif len(raw) <= SHORT:
+                short.append((piece, raw))
+            else:
+                out[piece] = merge_long(raw, self.ranks)
+        if short:
+            self.table = self.table or PairTable(self.ranks)
+            out.update(zip((p for p, _ in short), merge_many([raw for _, raw in short], self.table)))
+        return out
 
 
 def minimal_automaton(words: list[bytes]) -> dict[str, np.ndarray]:
@@ -167,7 +243,7 @@ def minimal_automaton(words: list[bytes]) -> dict[str, np.ndarray]:
 def compile_lexicon(words: list[bytes], ranks: dict[bytes, int]) -> dict[str, np.ndarray]:
     words = sorted(set(words))
     auto = minimal_automaton(words)
-    ids = [merge_chunk(w.decode(), ranks) for w in words]
+    ids = Merger(ranks).chunks([w.decode() for w in words])
     ends = np.zeros(len(ids) + 1, np.int64)
     ends[1:] = np.cumsum([len(i) for i in ids])
     return auto | {"ends": ends, "ids": np.array([x for i in ids for x in i], np.int64)}
@@ -185,7 +261,7 @@ def write_lexicon(lexicon: dict[str, np.ndarray], path: str) -> None:
 
 
 def map_lexicon(path: str) -> dict[str, np.ndarray]:
-    whole = np.memmap(path, dtype="<i8", mode="r")
+    whole = np.asarray(np.memmap(path, dtype="<i8", mode="r"))  # a plain view of the mapped file
     ends = np.cumsum(whole[:len(NAMES)]) + len(NAMES)
     return {n: whole[end - size:end] for n, size, end in zip(NAMES, whole, ends)}
 
@@ -220,49 +296,74 @@ def numbers(lexicon: dict[str, np.ndarray], words: list[bytes]) -> np.ndarray:
     return out
 
 
+def gathered(flat: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """flat[begin:begin + size] of each, one after another."""
+    ends = np.cumsum(size)
+    return flat[np.repeat(begin - (ends - size), size) + np.arange(int(ends[-1]) if len(ends) else 0)]
+
+
 class Codec:
-    """Encodes and decodes with a mapped lexicon; chunks outside it are merged and remembered."""
+    """Encodes and decodes with a mapped lexicon; chunks outside it are merged. A chunk met before, in this batch or
+    an earlier one, is one look-up: its number leads to its ids in one array."""
 
     def __init__(self, lexicon: dict[str, np.ndarray], ranks: dict[bytes, int]) -> None:
-        self.lexicon, self.ranks = lexicon, ranks
-        self.merged: dict[str, list[int]] = {}
-        self.pieces: dict[str, list[int]] = {}
+        self.lexicon, self.merger = lexicon, Merger(ranks)
+        self.forget()
         self.bytes_of = [b""] * (MARK_ID + 1)
         for token, i in ranks.items():
             self.bytes_of[i] = token
         self.bytes_of[MARK_ID] = MARK.encode()
 
+    def forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.flat, self.begin, self.size = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def learn(self, fresh: list[str]) -> None:
+        """Number new chunks: ids of the lexicon's words from the mapped file, all others merged."""
+        ends = self.lexicon["ends"]
+        word = numbers(self.lexicon, [c.encode() for c in fresh])
+        known = np.flatnonzero(word >= 0)
+        size = np.zeros(len(fresh), np.int64)
+        size[known] = ends[word[known] + 1] - ends[word[known]]
+        merged = self.merger.chunks([fresh[i] for i in np.flatnonzero(word < 0).tolist()])
+        size[word < 0] = [len(ids) for ids in merged]
+        stored = gathered(self.lexicon["ids"], ends[word[known]], size[known]) if len(known) else np.zeros(0, np.int64)
+        # first the lexicon's words, then the merged ones
+        order = np.r_[known, np.flatnonzero(word < 0)]
+        at = np.zeros(len(fresh), np.int64)
+        at[order] = np.cumsum(size[order]) - size[order]
+        self.number.update(zip(fresh, range(len(self.size), len(self.size) + len(fresh))))
+        self.begin, self.size = np.r_[self.begin, at + len(self.flat)], np.r_[self.size, size]
+        self.flat = np.concatenate([self.flat, stored.astype(np.uint32), np.array([x for ids in merged for x in ids], np.uint32)])
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of each text."""
+        if len(self.number) > REMEMBERED:
+            self.forget()
         split = [chunks(t) if t else [] for t in texts]
-        codes, distinct = pd.factorize(np.array([c for cs in split for c in cs], dtype=object))
-        rows = np.split(codes, np.cumsum([len(cs) for cs in split])[:-1]) if split else []
-        known = numbers(self.lexicon, [c.encode() for c in distinct])
-        for memory in (self.merged, self.pieces):
-            if len(memory) > REMEMBERED:
-                memory.clear()
-        ends, stored = self.lexicon["ends"], self.lexicon["ids"]
-        ids_of = []
-        for c, number in zip(distinct, known.tolist()):
-            if number >= 0:
-                ids_of.append(stored[ends[number]:ends[number + 1]])
-                continue
-            got = self.merged.get(c)
-            if got is None:
-                got = self.merged[c] = merge_chunk(c, self.ranks, self.pieces)
-            ids_of.append(got)
-        size = np.fromiter(map(len, ids_of), np.int64, len(ids_of))
-        flat = np.fromiter((x for ids in ids_of for x in ids), np.uint32, int(size.sum()))
-        begin = np.cumsum(size) - size
+        codes = [list(map(self.number.get, cs)) for cs in split]
+        fresh = {c for cs, code in zip(split, codes) if None in code for c, k in zip(cs, code) if k is None}
+        if fresh:
+            self.learn(list(fresh))
         out = []
-        for r in rows:
-            n = size[r]
-            skip = np.cumsum(n) - n
-            out.append(flat[np.repeat(begin[r] - skip, n) + np.arange(int(n.sum()))])
+        for cs, code in zip(split, codes):
+            if None in code:
+                code = list(map(self.number.__getitem__, cs))
+            at = np.array(code, np.int64)
+            out.append(gathered(self.flat, self.begin[at], self.size[at]))
         return out
 
     def decode(self, ids: np.ndarray) -> str:
-        return b"".join(map(self.bytes_of.__getitem__, ids.tolist())).decode("utf-8", "replace")
+        return self.decode_bytes(ids).decode()
+
+    def decode_bytes(self, ids: np.ndarray) -> bytes:
+        """The decoded text in UTF-8."""
+        raw = b"".join(map(self.bytes_of.__getitem__, ids.tolist()))
+        try:
+            raw.decode()
+        except UnicodeDecodeError:
+            return raw.decode("utf-8", "replace").encode()
+        return raw
 
 
 def frequent_chunks(docs: DataFrame, words: int) -> list[bytes]:
@@ -283,6 +384,20 @@ def worker_codec(name: str, ranks_path: str) -> Codec:
     return Codec(map_lexicon(SparkFiles.get(name)), byte_ranks(ranks_path))
 
 
+def portions(texts: list[str]) -> Iterator[list[str]]:
+    """The texts in order, some at once: at most AT_ONCE characters, or one text."""
+    part: list[str] = []
+    size = 0
+    for t in texts:
+        if part and size + len(t) > AT_ONCE:
+            yield part
+            part, size = [], 0
+        part.append(t)
+        size += len(t)
+    if part:
+        yield part
+
+
 ENCODED = StructType([StructField("doc_id", StringType()), StructField("n_tokens", LongType()),
                       StructField("ids_sha256", StringType()), StructField("decoded_sha256", StringType())])
 
@@ -308,8 +423,8 @@ def encode_documents(docs: DataFrame, words: int = 200_000, ranks_path: str | No
         codec = worker_codec(name, ranks_path)
         for batch in rows_of(batches):
             out = [(len(ids), hashlib.sha256(ids.astype("<u4").tobytes()).hexdigest(),
-                    hashlib.sha256(codec.decode(ids).encode()).hexdigest())
-                   for ids in codec.encode(batch["text"].tolist())]
+                    hashlib.sha256(codec.decode_bytes(ids)).hexdigest())
+                   for part in portions(batch["text"].tolist()) for ids in codec.encode(part)]
             yield pd.DataFrame(out, columns=ENCODED.names[1:]).assign(doc_id=batch["doc_id"].to_numpy())[ENCODED.names]
 
     return (docs.select("doc_id", text_of("text").alias("text")).mapInPandas(run, ENCODED)

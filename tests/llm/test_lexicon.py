@@ -67,3 +67,13 @@ def test_edges(spark):
     assert sorted((r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in out) == want
     assert X.encode_documents(none(spark)).count() == 0
     assert X.encode_documents(clashing(spark)).count() == len(out)
+
+
+def test_many_pieces_at_once_equal_one_by_one():
+    ranks, rnd = byte_ranks(RANKS), random.Random(8)
+    table = X.PairTable(ranks)
+    pieces = [rnd.randbytes(rnd.randint(1, 40)) for _ in range(500)] + [b" aaaaaaaaaaaaaaaa", b"a", b"\xff" * 31, " naïvetés".encode()]
+    pieces += ["".join(rnd.choice(["th", "in", "er", "e", "Z", "é"]) for _ in range(rnd.randint(1, 9))).encode() for _ in range(1500)]
+    assert X.merge_many(pieces, table) == [X.merge_long(p, ranks) for p in pieces]
+    assert X.merge_many([], table) == []
+    assert [len(p) for p in X.portions(["x" * X.AT_ONCE, "y", "z" * 5, "w" * X.AT_ONCE, ""])] == [1, 2, 2]
