@@ -37,11 +37,11 @@ class PipelineConfig:
     top_k: int = 20
     show_summary: bool = True
     seed: int = 42
-    # K-Means: "mllib" = best of `kmeans_starts` MLlib fits (k-means||);
-    # "d2" = best of `kmeans_starts` D^2-weighted starts, "sampled" = of seeded rows,
-    # all runs (and all k of find_optimal_k) advancing in one pass per step with
-    # distance bounds; "lowest_ids" = Lloyd from the k rows with the lowest ids.
-    kmeans_init: str = "mllib"
+    # K-Means: "d2" = best of `kmeans_starts` D^2-weighted starts, "sampled" = of seeded
+    # rows, all runs (and all k of find_optimal_k) advancing in one pass per step with
+    # distance bounds; "mllib" = best of `kmeans_starts` MLlib fits (k-means||), one after
+    # another; "lowest_ids" = Lloyd from the k rows with the lowest ids.
+    kmeans_init: str = "d2"
     kmeans_starts: int = 10
     kmeans_max_iter: int = 300
     kmeans_tol: float | None = 1e-4

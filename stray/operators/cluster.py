@@ -155,7 +155,7 @@ def best_of_starts(vecs: DataFrame, ks: Sequence[int], n_starts: int = 10, seed:
     return best
 
 
-def fit_centroids(vecs: DataFrame, k: int, init: str = "mllib", seed: int = 42,
+def fit_centroids(vecs: DataFrame, k: int, init: str = "d2", seed: int = 42,
                   n_starts: int = 10, max_iter: int = 300, tol: float | None = 1e-4,
                   id_col: str = "user_id", vec_col: str = "z") -> Centroids:
     if init == "mllib":
@@ -312,23 +312,21 @@ def silhouette(vecs: DataFrame, label_col: str, id_col: str = "user_id", vec_col
     return silhouette_scores(tagged, "_labs", 1, id_col, vec_col, block_size)[0]
 
 
-def find_optimal_k(vecs: DataFrame, k_range: Sequence[int] = tuple(range(2, 11)),
-                   init: str = "mllib", seed: int = 42, n_starts: int = 10,
-                   max_iter: int = 300, tol: float | None = 1e-4, id_col: str = "user_id",
-                   vec_col: str = "z", block_size: int = 2048) -> tuple[int, DataFrame]:
-    """K7: fit each k, one pair pass scores all label sets; returns (best k, frame of
-    (k, inertia, silhouette)). Best = highest silhouette, first k on ties."""
-    spark = vecs.sparkSession
-    ks = list(k_range)
+def fit_many(vecs: DataFrame, ks: Sequence[int], init: str = "d2", seed: int = 42, n_starts: int = 10,
+             max_iter: int = 300, tol: float | None = 1e-4, id_col: str = "user_id", vec_col: str = "z") -> list[Centroids]:
+    """Centroids for each k; all runs share their passes, but for MLlib, which fits one after another."""
     if init == "lowest_ids":
         first = lowest_id_centroids(vecs, max(ks), id_col, vec_col)
-        fits = lloyd_many(vecs, [first[:k] for k in ks], max_iter, tol, vec_col, id_col)
-    elif init in ("d2", "sampled"):
+        return lloyd_many(vecs, [first[:k] for k in ks], max_iter, tol, vec_col, id_col)
+    if init in ("d2", "sampled"):
         got = best_of_starts(vecs, ks, n_starts, seed, max_iter, tol, id_col, vec_col, init)
-        fits = [got[k].centroids for k in ks]
-    else:
-        fits = [fit_centroids(vecs, k, init, seed, n_starts, max_iter, tol, id_col, vec_col)
-                for k in ks]
+        return [got[k].centroids for k in ks]
+    return [fit_centroids(vecs, k, init, seed, n_starts, max_iter, tol, id_col, vec_col) for k in ks]
+
+
+def score_fits(vecs: DataFrame, ks: Sequence[int], fits: Sequence[Centroids], id_col: str = "user_id",
+               vec_col: str = "z", block_size: int = 2048) -> tuple[int, DataFrame]:
+    """(best k, frame of (k, inertia, silhouette)): one pass scores all label sets. Best = highest silhouette, first k on ties."""
     labs, d2 = [], []
     for cents in fits:
         d2s = _argmin_cluster(vec_col, cents)
@@ -344,7 +342,16 @@ def find_optimal_k(vecs: DataFrame, k_range: Sequence[int] = tuple(range(2, 11))
         tagged.unpersist()
     rows = [(k, float(inert[f"i{i}"]), sils[i]) for i, k in enumerate(ks)]
     best = max(rows, key=lambda r: (r[2], -r[0]))[0]
-    return best, spark.createDataFrame(rows, "k int, inertia double, silhouette double")
+    return best, vecs.sparkSession.createDataFrame(rows, "k int, inertia double, silhouette double")
+
+
+def find_optimal_k(vecs: DataFrame, k_range: Sequence[int] = tuple(range(2, 11)),
+                   init: str = "d2", seed: int = 42, n_starts: int = 10,
+                   max_iter: int = 300, tol: float | None = 1e-4, id_col: str = "user_id",
+                   vec_col: str = "z", block_size: int = 2048) -> tuple[int, DataFrame]:
+    """K7: fit each k and score all fits; returns (best k, frame of (k, inertia, silhouette))."""
+    ks = list(k_range)
+    return score_fits(vecs, ks, fit_many(vecs, ks, init, seed, n_starts, max_iter, tol, id_col, vec_col), id_col, vec_col, block_size)
 
 
 @dataclass(frozen=True)
@@ -357,17 +364,15 @@ class ClusterResult:
 
 
 def cluster_users(vecs: DataFrame, n_clusters: int | None = None, find_optimal: bool = False,
-                  init: str = "mllib", seed: int = 42, n_starts: int = 10, max_iter: int = 300,
+                  init: str = "d2", seed: int = 42, n_starts: int = 10, max_iter: int = 300,
                   tol: float | None = 1e-4, k_range: Sequence[int] = tuple(range(2, 11)),
                   id_col: str = "user_id", vec_col: str = "z", block_size: int = 2048
                   ) -> ClusterResult:
-    """K8: optimal k when asked (it wins over n_clusters), else n_clusters, else 5."""
-    table = None
+    """K8: optimal k when asked (it wins over n_clusters), else n_clusters, else 5. The search's own fit is used."""
+    ks = list(k_range) if find_optimal else [n_clusters if n_clusters is not None else 5]
+    fits = dict(zip(ks, fit_many(vecs, ks, init, seed, n_starts, max_iter, tol, id_col, vec_col)))
+    k, table = ks[0], None
     if find_optimal:
-        k, table = find_optimal_k(vecs, k_range, init, seed, n_starts, max_iter, tol,
-                                  id_col, vec_col, block_size)
-    else:
-        k = n_clusters if n_clusters is not None else 5
-    cents = fit_centroids(vecs, k, init, seed, n_starts, max_iter, tol, id_col, vec_col)
-    assigned = assign_clusters(vecs, cents, vec_col)
-    return ClusterResult(k, cents, assigned, table, cluster_statistics(assigned))
+        k, table = score_fits(vecs, ks, [fits[x] for x in ks], id_col, vec_col, block_size)
+    assigned = assign_clusters(vecs, fits[k], vec_col)
+    return ClusterResult(k, fits[k], assigned, table, cluster_statistics(assigned))

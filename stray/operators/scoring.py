@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from stray.config import MINMAX_MIN_RANGE
 from stray.functions.ranking import global_rank
 from stray.functions.stats import exact_percentiles, minmax_bounds, minmax_cutoff
+from stray.session import reliable_checkpoint
 from stray.sources.loader import save_table
 
 SCORE = "final_anomaly_score"
@@ -50,10 +51,11 @@ def combine_columns(df: DataFrame, weights: tuple[float, float, float],
 def combine_scores(cluster: DataFrame, cf: DataFrame, graph: DataFrame,
                    weight_cluster: float = 0.3, weight_cf: float = 0.4,
                    weight_graph: float = 0.3) -> DataFrame:
-    """A3: join the three score frames by user_id (never by position), then mix."""
-    j = (cluster.select("user_id", "cluster_distance")
-         .join(cf.select("user_id", "cf_anomaly_score"), "user_id")
-         .join(graph.select("user_id", "graph_anomaly_score"), "user_id"))
+    """A3: join the three score frames by user_id (never by position), then mix. The joined scores are written
+    once: bounds, the range sample of a rank and the ranks read them."""
+    j = reliable_checkpoint(cluster.select("user_id", "cluster_distance")
+                            .join(cf.select("user_id", "cf_anomaly_score"), "user_id")
+                            .join(graph.select("user_id", "graph_anomaly_score"), "user_id"))
     return combine_columns(j, normalize_weights(weight_cluster, weight_cf, weight_graph))
 
 
