@@ -23,7 +23,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from stray.functions.stats import exact_percentiles, interpolate, rank_targets
 from stray.functions.vectors import dot, lit_vector, norm, unit
 from stray.operators import blocks as B
-from stray.session import reliable_checkpoint
+from stray.session import reliable_checkpoint, written
 
 HIST_BINS = 4096         # bins of a bracket in one pass
 BRACKET_ROWS = 1024      # sample rows whose pairs suggest the first brackets
@@ -113,10 +113,13 @@ def similar_users(vecs: DataFrame, user, top_k: int = 5, id_col: str = "user_id"
 
 
 def _blocks(vecs: DataFrame, id_col: str, vec_col: str, block_size: int, centres: int | None = None) -> B.Blocks | None:
-    """Blocks of the unit vectors, or None for an empty table."""
-    units = unit_vectors(vecs, id_col, vec_col)
-    n = units.count()
-    return B.direction_blocks(units, id_col, n, block_size, centres) if n else None
+    """Blocks of the unit vectors, or None for an empty table. The vectors are written once: their count, the
+    sample and the blocks read them."""
+    units = written(unit_vectors(vecs, id_col, vec_col), "units")
+    n = units.df.count()
+    out = B.direction_blocks(units.df, id_col, n, block_size, centres) if n else None
+    units.drop()
+    return out
 
 
 def _typed(ids: np.ndarray, kind: T.DataType) -> pa.Array:
