@@ -45,6 +45,8 @@ from stray.llm.common import (batch_word_hashes, bounded_batches, materialise, m
 SHINGLE = 5
 SUMS = 1 << 16
 LOW = np.uint64(0xFFFF)
+#: Texts in bytes that are cut in words at once.
+WORDS_BYTES = 1 << 20
 #: Shingles sampled at once.
 BLOCK = 1 << 14
 
@@ -93,10 +95,24 @@ def class_table(rows: DataFrame) -> DataFrame:
 
 
 def shingles_of(packed: pd.Series) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(distinct shingle hashes, counts) of each compressed text."""
+    """(distinct shingle hashes, counts) of each compressed text; few texts are held as words at once."""
     expand = zstandard.ZstdDecompressor().decompress
-    return [np.unique(shingle_hashes(h, SHINGLE), return_counts=True)
-            for h in batch_word_hashes([expand(z) for z in packed])]
+    out: list[tuple[np.ndarray, np.ndarray]] = []
+    waiting: list[bytes] = []
+    size = 0
+
+    def hashed() -> None:
+        out.extend(np.unique(shingle_hashes(h, SHINGLE), return_counts=True) for h in batch_word_hashes(waiting))
+        waiting.clear()
+
+    for z in packed:
+        waiting.append(expand(z))
+        size += len(waiting[-1])
+        if size >= WORDS_BYTES:
+            hashed()
+            size = 0
+    hashed()
+    return out
 
 
 def common_shingles(classes: DataFrame, n: int, p: NearDup) -> tuple[np.ndarray, np.ndarray]:
