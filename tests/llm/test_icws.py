@@ -1,5 +1,5 @@
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
@@ -103,3 +103,26 @@ def test_edges(spark):
     docs = clashing(spark)
     stage = N.near_dup_stage(docs)
     assert stage.columns == docs.columns and stage.count() == sum(r.kept for r in out)
+
+
+def test_every_shingle_weighs_by_its_document_frequency(spark, monkeypatch):
+    monkeypatch.setattr(N, "UNIT", 300)  # many units and ranges
+    monkeypatch.setattr(N, "RANGE", 500)
+    rows = families(n=20, size=6, words=60) + [(500 + i, f"a passage in all of these texts and then t{i}", "en", "s", 0) for i in range(30)]
+    rows += [(900, None, "en", "s", 0), (901, " ", "en", "s", 0)]
+    texts = {r[1] for r in rows if (r[1] or "").strip()}
+    n, p = len(texts) + 2, N.NearDup()
+    count = Counter(h for t in texts for h in shingle_hashes(batch_word_hashes([t.encode()])[0], 5).tolist())
+    classes = N.class_table(N.keyed(spark.createDataFrame(rows, SCHEMA)))
+    sums = N.bucket_sums(classes)
+    weights = N.Weights(*N.common_shingles(classes, n, p, sums), n, p.floor)
+    assert 0 < len(weights.shingles) < 30 and classes.count() == n
+    got = classes.join(N.own_frequencies(classes, weights.shingles, n, p, int(sums.sum())), "cls").collect()
+    assert len(got) == n
+    seen = set()
+    for r in got:
+        ((h, times),) = N.shingles_of([r.z])
+        df = np.array([max(2, count[x]) for x in h.tolist()])
+        assert weights.of(h, times, r.own) == pytest.approx(times * (1 + np.log(n / df)))
+        seen |= set(df.tolist())
+    assert len(seen) >= 5
