@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,12 +22,15 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from stray.config import GRAPH_MINMAX_EPS
 from stray.functions.stats import minmax_bounds, minmax_eps
+from stray.operators.blocks import BATCH_BYTES
 from stray.operators.similarity import similarity_edges
 from stray.operators.spread import dealt, hubs_of, repeated
-from stray.session import Written, reliable_checkpoint, written
+from stray.session import Written, bounded_batches, reliable_checkpoint, written
 
 #: Edges that a task gathers before it reduces them to a forest, and rows that it passes on at once.
-FOREST_EDGES, FOREST_ROWS = 1 << 20, 1 << 16
+FOREST_EDGES, FOREST_ROWS = 1 << 18, 1 << 16
+#: Edges of a packed cell.
+CELL_EDGES = 1 << 19
 
 
 class PageRankNotConverged(RuntimeError):
@@ -61,55 +64,109 @@ def pagerank(nodes: DataFrame, edges: DataFrame, alpha: float = 0.85, max_iter:
     tol=None runs exactly `max_iter` steps; otherwise stops when the L1
     change < n * tol and raises if that never happens.
 
-    The transitions are written once, dealt by (source, lot of the target): a hub's
-    transitions lie in as many lots as its degree asks for (see `spread`), and its rank
-    is sent once to each. Contributions to a target are partial sums before they are
-    shuffled, so a hub as a target is a row per task. Each step writes the n ranks, and one
-    small aggregate gives the L1 change and the next dangling mass.
+    Edges are packed once in cells of `CELL_EDGES` (`packed_cells`), in the order in which they come, so that edges
+    from one pair of blocks share their nodes. A step sends a cell one number for each of its nodes and gets one back:
+    what is joined and shuffled grows with the nodes of the cells, not with their edges, and no node is in a cell
+    twice, hub or not. Each step writes the n ranks. Nodes without edges all have one rank, so their mass needs no
+    pass; the L1 change is computed only where it is asked for.
     """
     if n is None:
         n = nodes.count()
     spark = nodes.sparkSession
     if n == 0:
         return spark.createDataFrame([], "id long, pagerank double")
-    d = both_directions(edges)
-    outw = written(d.groupBy("a").agg(F.sum("w").alias("sw"), F.count(F.lit(1)).alias("c")), "out-weights")
-    total = outw.df.agg(F.sum("c")).first()[0] or 0
-    hubs = hubs_of(outw.df.select(F.col("a").alias("key"), "c"), total)
-    weights = repeated(outw.df.select("a", "sw"), "a", hubs)
-    trans = written(dealt(d, "a", "b", hubs).join(weights, ["a", "lot"]).select("a", "lot", "b", (F.col("w") / F.col("sw")).alias("p"))
-                    .repartition("a", "lot"), "transitions")
-    verts = nodes.select("id").join(outw.df.select(F.col("a").alias("id"), F.lit(True).alias("has_out")), "id", "left")
-    ranks = written(verts.select("id", F.col("has_out").isNull().alias("dangling"), F.lit(1.0 / n).alias("r")), "ranks")
-    dang = ranks.df.agg(F.sum(F.when(F.col("dangling"), F.col("r")).otherwise(0.0))).first()[0] or 0.0
-    outw.drop()
-    base = (1.0 - alpha) / n
+    cells = packed_cells(edges)
+    members = written(cells.df.select("cell", F.posexplode("ids").alias("pos", "id")).where(F.col("id").isNotNull())
+                      .repartition("id"), "members", "id")
+    verts = nodes.select("id").join(out_weights(cells.df), "id", "left")
+    ranks = written(verts.select("id", "sw", F.lit(1.0 / n).alias("r")), "ranks")
+    free = ranks.df.where(F.col("sw").isNull()).count()
+    base, lone = (1.0 - alpha) / n, 1.0 / n
     converged = False
-    cached = trans.df.persist(StorageLevel.MEMORY_AND_DISK_DESER)
     try:
         for _ in range(max_iter):
-            cur = repeated(ranks.df.select(F.col("id").alias("a"), F.col("r").alias("rp")), "a", hubs)
-            # map-side: one partial sum per (partition, target) before the shuffle
-            contrib = (cached.join(cur, ["a", "lot"]).groupBy(F.col("b").alias("id"))
-                       .agg(F.sum(F.col("rp") * F.col("p")).alias("s")))
+            sent = (members.df.join(ranks.df.where(F.col("sw").isNotNull()).select("id", (F.col("r") / F.col("sw")).alias("x")), "id")
+                    .groupBy("cell").agg(F.collect_list(F.struct("pos", "x")).alias("sent")))
+            contrib = cell_sums(cells.df.join(sent.hint("shuffle_hash"), "cell")).groupBy("id").agg(F.sum("s").alias("s"))
+            lone = alpha * free * lone / n + base
             new = written(ranks.df.join(contrib, "id", "left").select(
-                "id", "dangling", F.col("r").alias("r_old"),
-                (F.lit(alpha) * (F.coalesce("s", F.lit(0.0)) + F.lit(dang / n)) + F.lit(base)).alias("r")), "ranks")
-            row = new.df.agg(F.sum(F.abs(F.col("r") - F.col("r_old"))).alias("err"),
-                             F.sum(F.when(F.col("dangling"), F.col("r")).otherwise(0.0)).alias("dm")).first()
+                "id", "sw", F.col("r").alias("r_old"), (F.lit(alpha) * F.coalesce("s", F.lit(0.0)) + F.lit(lone)).alias("r")), "ranks")
             ranks.drop()
-            ranks, dang = new, row["dm"] or 0.0
-            if tol is not None and row["err"] < n * tol:
+            ranks = new
+            if tol is not None and ranks.df.agg(F.sum(F.abs(F.col("r") - F.col("r_old")))).first()[0] < n * tol:
                 converged = True
                 break
         if tol is not None and not converged:
             raise PageRankNotConverged(f"PageRank did not converge in {max_iter} iterations")
     finally:
-        cached.unpersist()
-        trans.drop()
+        cells.drop()
+        members.drop()
     return ranks.df.select("id", F.col("r").alias("pagerank"))
 
 
+def packed_cells(edges: DataFrame) -> Written:
+    """(cell, ids, i, j, w): the edges of a cell by the places of their ends in `ids`, packed; a table bucketed by cell."""
+    kind = edges.schema["src"].dataType
+    bounded_batches(edges.sparkSession, BATCH_BYTES)
+    schema = T.StructType([T.StructField("cell", T.LongType()), T.StructField("ids", T.ArrayType(kind)), T.StructField("i", T.BinaryType()),
+                           T.StructField("j", T.BinaryType()), T.StructField("w", T.BinaryType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, done, held, waiting = TaskContext.get().partitionId() << 32, 0, [], 0
+
+        def cell() -> pa.RecordBatch:
+            t = pa.Table.from_batches(held).combine_chunks()
+            both = pa.chunked_array([*t["src"].chunks, *t["dst"].chunks]).combine_chunks().dictionary_encode("encode")
+            ids, code = both.dictionary, both.indices.to_numpy()
+            code = code.astype(np.uint16 if len(ids) <= 1 << 16 else np.int32)
+            w = t["weight"].combine_chunks().fill_null(0.0).to_numpy(zero_copy_only=False)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([first + done], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+                 *[pa.array([x.tobytes()], pa.binary()) for x in (code[:len(w)], code[len(w):], w)]], schema.names)
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, CELL_EDGES):
+                held.append(batch.slice(at, CELL_EDGES))
+                waiting += held[-1].num_rows
+                if waiting >= CELL_EDGES:
+                    yield cell()
+                    done, held, waiting = done + 1, [], 0
+        if waiting:
+            yield cell()
+
+    return written(edges.select("src", "dst", "weight").mapInArrow(run, schema), "cells", "cell")
+
+
+def cell_sums(cells: DataFrame) -> DataFrame:
+    """(id, s) for each node of each cell: the sum of its edges' weights, times what was `sent` for their other ends, if anything was."""
+    schema = T.StructType([T.StructField("id", cells.schema["ids"].dataType.elementType), T.StructField("s", T.DoubleType())])
+    told = "sent" in cells.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                ids = batch.column("ids")[row].values
+                i, j, w = (batch.column(c)[row].as_buffer() for c in "ijw")
+                w = np.frombuffer(w, np.float64)
+                i, j = (np.frombuffer(x, np.uint16 if len(ids) <= 1 << 16 else np.int32) for x in (i, j))
+                to_j = to_i = w
+                if told:
+                    sent, x = batch.column("sent")[row].values, np.zeros(len(ids))
+                    pos, value = (x.to_numpy(zero_copy_only=False) for x in sent.flatten())
+                    np.add.at(x, pos, value)
+                    to_j, to_i = w * x[i], w * x[j]
+                s = np.bincount(j, to_j, len(ids)) + np.bincount(i, to_i, len(ids))
+                for at in range(0, len(ids), FOREST_ROWS):
+                    yield pa.RecordBatch.from_arrays([ids[at:at + FOREST_ROWS], pa.array(s[at:at + FOREST_ROWS])], schema.names)
+
+    return cells.select("ids", "i", "j", "w", *["sent"] * told).mapInArrow(run, schema)
+
+
+def out_weights(cells: DataFrame) -> DataFrame:
+    """(id, sw): the sum of the weights of each node's edges."""
+    return cell_sums(cells).groupBy("id").agg(F.sum("s").alias("sw"))
+
+
 def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(node, least node of its component) of all nodes that are not the least, for edges a-b: every round
     hooks the larger root of an edge to the smaller and jumps all pointers to their roots."""
@@ -276,6 +333,6 @@ def detect_anomalies(vecs: DataFrame, threshold: float = 0.7, alpha: float = 0.8
                      with_statistics: bool = True, show_top: int = 0, id_col: str = "user_id", vec_col: str = "z",
                      block_size: int = 2048) -> GraphResult:
     """The similarity graph of the users (G1), then all of the above."""
-    edges = reliable_checkpoint(similarity_edges(vecs, threshold, id_col, vec_col, block_size))
+    edges = written(similarity_edges(vecs, threshold, id_col, vec_col, block_size), "edges").df
     nodes = vecs.select(F.col(id_col).alias("id"))
     return detect_anomalies_graph(nodes, edges, alpha, max_iter, tol, with_statistics, show_top)

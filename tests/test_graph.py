@@ -171,3 +171,26 @@ def test_graph_analysis_in_one_call(spark):
     assert res.top.count() == 4 and res.edges.count() == res.statistics.first()["n_edges"]
     scores = sorted(((-r["graph_anomaly_score"], r["user_id"]) for r in res.scores.collect()))
     assert [r["user_id"] for r in res.top.collect()] == [u for _, u in scores[:4]]
+
+
+def test_pagerank_joins_nodes_of_cells_not_edges(spark, monkeypatch):
+    """Dense blocks, a hub and lone nodes over many cells; repeated and unknown nodes count as before."""
+    monkeypatch.setattr(G, "CELL_EDGES", 500)
+    n = 400
+    edges = [(a, b, 0.7 + (a * b % 10) / 40) for blk in range(0, 200, 50) for a in range(blk, blk + 50) for b in range(a + 1, blk + 50)]
+    edges += [(0, i, 0.9) for i in range(200, 390)]
+    nodes, e = _graph(spark, n, edges)
+    got = collect_map(G.pagerank(nodes, e.coalesce(1), max_iter=8, tol=None), "id", "pagerank")
+    assert [got[i] for i in range(n)] == pytest.approx(list(_np_pagerank(n, edges, iters=8)), abs=1e-12)
+    cells = G.packed_cells(e.coalesce(1)).df
+    assert cells.count() >= len(edges) // 500
+    # numbers that a step sends: far below two for each edge
+    assert cells.selectExpr("sum(size(ids))").first()[0] < len(edges) / 4
+    assert G.packed_cells(e.limit(0)).df.count() == 0
+    odd = spark.createDataFrame([(None, 1, 0.8), (1, 2, 0.9), (2, 99, 0.7)], "src long, dst long, weight double")
+    few = spark.createDataFrame([(1,), (2,), (2,), (None,)], "id long")
+    # shares of 1: 0.8 of 1.7 go to no node and 0.9 to 2; of each row 2: 0.9 of 1.6 to 1; the null row is dangling
+    r = sorted((x["id"] or 0, x["pagerank"]) for x in G.pagerank(few, odd, max_iter=1, tol=None).collect())
+    lone = 0.85 * 0.25 / 4 + 0.15 / 4
+    assert [i for i, _ in r] == [0, 1, 2, 2]
+    assert [v for _, v in r] == pytest.approx([lone, lone + 0.85 * 2 * 0.25 * 0.9 / 1.6, *[lone + 0.85 * 0.25 * 0.9 / 1.7] * 2])
