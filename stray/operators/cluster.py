@@ -11,11 +11,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -91,6 +92,10 @@ def lloyd_many(vecs: DataFrame, inits: Sequence[Centroids], iterations: int,
     return [c.tolist() for c in M.Bounded(rows, [np.array(i) for i in inits]).run(iterations, tol)]
 
 
+#: MLlib fits that run at once.
+MLLIB_FITS = 5
+
+
 @dataclass(frozen=True)
 class KMeansFit:
     k: int
@@ -109,15 +114,17 @@ def mllib_kmeans(vecs: DataFrame, k: int, seed: int = 42, n_starts: int = 10,
         raise ValueError(f"too few users ({n}) for {k} clusters")
     data = vecs.select(array_to_vector(vec_col).alias("features")).persist(StorageLevel.MEMORY_AND_DISK_DESER)
     try:
-        best = None
-        for s in range(seed, seed + n_starts):
-            km = KMeans(k=k, seed=s, maxIter=max_iter, featuresCol="features")
+        def fit(start: int) -> KMeansFit:
+            km = KMeans(k=k, seed=start, maxIter=max_iter, featuresCol="features")
             if tol is not None:
                 km = km.setTol(tol)
             model = km.fit(data)
-            cost = float(model.summary.trainingCost)
-            if best is None or cost < best.cost:
-                best = KMeansFit(k, [list(map(float, c)) for c in model.clusterCenters()], cost)
+            return KMeansFit(k, [list(map(float, c)) for c in model.clusterCenters()], float(model.summary.trainingCost))
+
+        # Steps of a fit follow each other and wait for the scheduler more than they compute, so several fits run at once.
+        with ThreadPoolExecutor(MLLIB_FITS) as pool:
+            fits = list(pool.map(inheritable_thread_target(vecs.sparkSession)(fit), range(seed, seed + n_starts)))
+        best = min(fits, key=lambda f: f.cost)  # of equals the first
         return best
     finally:
         data.unpersist()
