@@ -1,7 +1,8 @@
 """Similarity graph analytics.
 
 Vertices are all users, edges (src < dst, weight) come from the pair
-kernel. Iterative jobs run one DataFrame step per iteration; each step is a table
+kernel, which packs them in cells (`similarity_cells`), so that no operator reads them
+as rows. Iterative jobs run one DataFrame step per iteration; each step is a table
 in the shared folder, so plans stay one step deep, a lost executor only replays the
 current step, and the planner picks joins by true sizes. A step's table is deleted
 once the next one is written. Hubs are dealt to lots by their measured degrees.
@@ -9,7 +10,7 @@ once the next one is written. Hubs are dealt to lots by their measured degrees.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,40 +23,77 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from stray.config import GRAPH_MINMAX_EPS
 from stray.functions.stats import minmax_bounds, minmax_eps
-from stray.operators.blocks import BATCH_BYTES
-from stray.operators.similarity import similarity_edges
+from stray.operators import blocks as B
+from stray.operators import similarity as S
 from stray.operators.spread import dealt, hubs_of, repeated
-from stray.session import Written, bounded_batches, reliable_checkpoint, written
+from stray.session import Written, bounded_batches, bucket_count, reliable_checkpoint, written
 
 #: Edges that a task gathers before it reduces them to a forest, and rows that it passes on at once.
 FOREST_EDGES, FOREST_ROWS = 1 << 18, 1 << 16
 #: Edges of a packed cell.
-CELL_EDGES = 1 << 19
+CELL_EDGES = 1 << 17
 
 
 class PageRankNotConverged(RuntimeError):
     pass
 
 
+@dataclass(frozen=True)
+class PackedEdges:
+    """Edges packed in cells (`packed_cells`, `similarity_cells`). Operators take them in place of rows."""
+
+    cells: Written
+
+    def count(self) -> int:
+        return int(self.cells.df.agg(F.sum("n")).first()[0] or 0)
+
+    def rows(self) -> DataFrame:
+        """(src, dst, weight), src < dst."""
+        kind = self.cells.df.schema["ids"].dataType.elementType
+        schema = T.StructType([T.StructField("src", kind), T.StructField("dst", kind), T.StructField("weight", T.DoubleType())])
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for ids, i, j, w in opened(batches):
+                for at in range(0, len(i), FOREST_ROWS):
+                    part = slice(at, at + FOREST_ROWS)
+                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(i[part])), ids.take(pa.array(j[part])), pa.array(w[part])], schema.names)
+
+        both = self.cells.df.select("ids", "i", "j", "w").mapInArrow(run, schema)
+        return both.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst"), "weight")
+
+
+def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray | None]]:
+    """(ids, i, j, w) of each cell, w where the batches have it."""
+    for batch in batches:
+        for row in range(batch.num_rows):
+            ids = batch.column("ids")[row].values
+            code = np.uint16 if len(ids) <= 1 << 16 else np.int32
+            i, j = (np.frombuffer(batch.column(c)[row].as_buffer(), code).astype(np.intp) for c in "ij")
+            yield ids, i, j, np.frombuffer(batch.column("w")[row].as_buffer(), np.float64) if "w" in batch.schema.names else None
+
+
 def both_directions(edges: DataFrame) -> DataFrame:
     """(a, b, w): each undirected edge in both directions."""
     e = edges.select(F.col("src").alias("a"), F.col("dst").alias("b"), F.col("weight").alias("w"))
     return e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"), "w"))
 
 
-def degree_centrality(nodes: DataFrame, edges: DataFrame, n: int | None = None) -> DataFrame:
+def degree_centrality(nodes: DataFrame, edges: DataFrame | PackedEdges, n: int | None = None) -> DataFrame:
     """(id, degree, degree_centrality = degree / (n - 1)); 1.0 when n <= 1.
     Zero-degree nodes come from a union, not a join: one aggregation shuffle."""
     if n is None:
         n = nodes.count()
-    d = both_directions(edges).select(F.col("a").alias("id"), F.lit(1).cast("bigint").alias("one"))
+    if isinstance(edges, PackedEdges):
+        d = cell_degrees(edges.cells.df)
+    else:
+        d = both_directions(edges).select(F.col("a").alias("id"), F.lit(1).cast("bigint").alias("one"))
     zero = nodes.select(F.col("id"), F.lit(0).cast("bigint").alias("one"))
     deg = d.unionByName(zero).groupBy("id").agg(F.sum("one").alias("degree"))
     cen = F.lit(1.0) if n <= 1 else F.col("degree").cast("double") / F.lit(float(n - 1))
     return deg.select("id", "degree", cen.alias("degree_centrality"))
 
 
-def pagerank(nodes: DataFrame, edges: DataFrame, alpha: float = 0.85, max_iter: int = 100,
+def pagerank(nodes: DataFrame, edges: DataFrame | PackedEdges, alpha: float = 0.85, max_iter: int = 100,
              tol: float | None = 1e-6, n: int | None = None) -> DataFrame:
     """Weighted PageRank of the undirected graph: (id, pagerank).
 
@@ -64,10 +102,10 @@ def pagerank(nodes: DataFrame, edges: DataFrame, alpha: float = 0.85, max_iter:
     tol=None runs exactly `max_iter` steps; otherwise stops when the L1
     change < n * tol and raises if that never happens.
 
-    Edges are packed once in cells of `CELL_EDGES` (`packed_cells`), in the order in which they come, so that edges
-    from one pair of blocks share their nodes. A step sends a cell one number for each of its nodes and gets one back:
-    what is joined and shuffled grows with the nodes of the cells, not with their edges, and no node is in a cell
-    twice, hub or not. Each step writes the n ranks. Nodes without edges all have one rank, so their mass needs no
+    Edges that are not packed yet are packed once in cells of `CELL_EDGES` (`packed_cells`), in the order in which they
+    come, so that edges from one pair of blocks share their nodes. A step sends a cell one number for each of its nodes
+    and gets one back: what is joined and shuffled grows with the nodes of the cells, not with their edges, and no node
+    is in a cell twice, hub or not. The numbers go to the buckets of the cells, so that no step shuffles a cell. Each step writes the n ranks. Nodes without edges all have one rank, so their mass needs no
     pass; the L1 change is computed only where it is asked for.
     """
     if n is None:
@@ -75,7 +113,7 @@ def pagerank(nodes: DataFrame, edges: DataFrame, alpha: float = 0.85, max_iter:
     spark = nodes.sparkSession
     if n == 0:
         return spark.createDataFrame([], "id long, pagerank double")
-    cells = packed_cells(edges)
+    cells = edges.cells if isinstance(edges, PackedEdges) else packed_cells(edges)
     members = written(cells.df.select("cell", F.posexplode("ids").alias("pos", "id")).where(F.col("id").isNotNull())
                       .repartition("id"), "members", "id")
     verts = nodes.select("id").join(out_weights(cells.df), "id", "left")
@@ -86,7 +124,7 @@ def pagerank(nodes: DataFrame, edges: DataFrame, alpha: float = 0.85, max_iter:
     try:
         for _ in range(max_iter):
             sent = (members.df.join(ranks.df.where(F.col("sw").isNotNull()).select("id", (F.col("r") / F.col("sw")).alias("x")), "id")
-                    .groupBy("cell").agg(F.collect_list(F.struct("pos", "x")).alias("sent")))
+                    .repartition(bucket_count(spark), "cell").groupBy("cell").agg(F.collect_list(F.struct("pos", "x")).alias("sent")))
             contrib = cell_sums(cells.df.join(sent.hint("shuffle_hash"), "cell")).groupBy("id").agg(F.sum("s").alias("s"))
             lone = alpha * free * lone / n + base
             new = written(ranks.df.join(contrib, "id", "left").select(
@@ -99,17 +137,30 @@ def pagerank(nodes: DataFrame, edges: DataFrame, alpha: float = 0.85, max_iter:
         if tol is not None and not converged:
             raise PageRankNotConverged(f"PageRank did not converge in {max_iter} iterations")
     finally:
-        cells.drop()
+        if not isinstance(edges, PackedEdges):
+            cells.drop()
         members.drop()
     return ranks.df.select("id", F.col("r").alias("pagerank"))
 
 
+def cell_schema(kind: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField("cell", T.LongType()), T.StructField("n", T.LongType()), T.StructField("ids", T.ArrayType(kind)),
+                         T.StructField("i", T.BinaryType()), T.StructField("j", T.BinaryType()), T.StructField("w", T.BinaryType())])
+
+
+def one_cell(cell: int, both: pa.DictionaryArray, i: np.ndarray, j: np.ndarray, w: np.ndarray, schema: T.StructType) -> pa.RecordBatch:
+    """A cell of the edges between places `i` and `j` of `both`, every node once in its `ids`."""
+    ids, code = both.dictionary, both.indices.to_numpy()
+    code = code.astype(np.uint16 if len(ids) <= 1 << 16 else np.int32)
+    return pa.RecordBatch.from_arrays(
+        [pa.array([cell], pa.int64()), pa.array([len(w)], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+         *[pa.array([x.tobytes()], pa.binary()) for x in (code[i], code[j], w)]], schema.names)
+
+
 def packed_cells(edges: DataFrame) -> Written:
-    """(cell, ids, i, j, w): the edges of a cell by the places of their ends in `ids`, packed; a table bucketed by cell."""
-    kind = edges.schema["src"].dataType
-    bounded_batches(edges.sparkSession, BATCH_BYTES)
-    schema = T.StructType([T.StructField("cell", T.LongType()), T.StructField("ids", T.ArrayType(kind)), T.StructField("i", T.BinaryType()),
-                           T.StructField("j", T.BinaryType()), T.StructField("w", T.BinaryType())])
+    """(cell, n, ids, i, j, w): the n edges of a cell by the places of their ends in `ids`, packed; a table bucketed by cell."""
+    bounded_batches(edges.sparkSession, B.BATCH_BYTES)
+    schema = cell_schema(edges.schema["src"].dataType)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, done, held, waiting = TaskContext.get().partitionId() << 32, 0, [], 0
@@ -117,12 +168,8 @@ def packed_cells(edges: DataFrame) -> Written:
         def cell() -> pa.RecordBatch:
             t = pa.Table.from_batches(held).combine_chunks()
             both = pa.chunked_array([*t["src"].chunks, *t["dst"].chunks]).combine_chunks().dictionary_encode("encode")
-            ids, code = both.dictionary, both.indices.to_numpy()
-            code = code.astype(np.uint16 if len(ids) <= 1 << 16 else np.int32)
             w = t["weight"].combine_chunks().fill_null(0.0).to_numpy(zero_copy_only=False)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([first + done], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
-                 *[pa.array([x.tobytes()], pa.binary()) for x in (code[:len(w)], code[len(w):], w)]], schema.names)
+            return one_cell(first + done, both, np.arange(len(w)), np.arange(len(w), 2 * len(w)), w, schema)
 
         for batch in batches:
             for at in range(0, batch.num_rows, CELL_EDGES):
@@ -134,7 +181,65 @@ def packed_cells(edges: DataFrame) -> Written:
         if waiting:
             yield cell()
 
-    return written(edges.select("src", "dst", "weight").mapInArrow(run, schema), "cells", "cell")
+    return written(edges.select("src", "dst", "weight").mapInArrow(run, schema), "cells", "cell", large_rows=True)
+
+
+class CellBox:
+    """A task's edges, given by places in arrays of ids, until they are a cell."""
+
+    def __init__(self, kind: T.DataType) -> None:
+        self.kind, self.schema, self.next = kind, cell_schema(kind), TaskContext.get().partitionId() << 32
+        self.clear()
+
+    def clear(self) -> None:
+        self.arrays, self.begin, self.places, self.edges, self.waiting = [], {}, 0, [], 0
+
+    def place(self, ids: np.ndarray) -> int:
+        """Where the places of `ids` begin; an array is kept, and so known again, until the cell is taken."""
+        if id(ids) not in self.begin:
+            self.begin[id(ids)] = self.places
+            self.arrays.append(ids)
+            self.places += len(ids)
+        return self.begin[id(ids)]
+
+    def put(self, left: np.ndarray, i: np.ndarray, right: np.ndarray, j: np.ndarray, w: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for at in range(0, len(w), CELL_EDGES):
+            part = slice(at, at + CELL_EDGES)
+            self.edges.append((self.place(left) + i[part], self.place(right) + j[part], w[part]))
+            self.waiting += len(w[part])
+            if self.waiting >= CELL_EDGES:
+                yield from self.take()
+
+    def take(self) -> Iterator[pa.RecordBatch]:
+        if self.waiting:
+            i, j, w = map(np.concatenate, zip(*self.edges))
+            used = np.zeros(self.places, bool)
+            used[i] = used[j] = True
+            ids = pa.concat_arrays([S._typed(x, self.kind) for x in self.arrays]).filter(pa.array(used))
+            at = np.cumsum(used) - 1
+            yield one_cell(self.next, ids.dictionary_encode("encode"), at[i], at[j], w, self.schema)
+            self.next += 1
+        self.clear()
+
+
+def similarity_cells(vecs: DataFrame, threshold: float = 0.7, id_col: str = "user_id", vec_col: str = "z",
+                     block_size: int = 2048, centres: int | None = None) -> PackedEdges:
+    """The edges of `similarity_edges`, packed in cells by the tasks that find them."""
+    kind = vecs.schema[id_col].dataType
+    bounded_batches(vecs.sparkSession, B.BATCH_BYTES)
+    b = S._blocks(vecs, id_col, vec_col, block_size, centres)
+    if b is None:
+        return PackedEdges(written(vecs.sparkSession.createDataFrame([], cell_schema(kind)), "cells", "cell", large_rows=True))
+
+    def make() -> tuple[B.Kernel, Callable]:
+        box = CellBox(kind)
+
+        def kernel(held: B.Held, asked: B.Held) -> Iterator[pa.RecordBatch]:
+            for ids, i, j, w in S.near_pairs(held, asked, threshold):
+                yield from box.put(ids, i, held.ids, j, w)
+        return kernel, box.take
+
+    return PackedEdges(written(B.meet(b, S._edge_requests(b, threshold), make, cell_schema(kind)), "cells", "cell", large_rows=True))
 
 
 def cell_sums(cells: DataFrame) -> DataFrame:
@@ -144,17 +249,13 @@ def cell_sums(cells: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in range(batch.num_rows):
-                ids = batch.column("ids")[row].values
-                i, j, w = (batch.column(c)[row].as_buffer() for c in "ijw")
-                w = np.frombuffer(w, np.float64)
-                i, j = (np.frombuffer(x, np.uint16 if len(ids) <= 1 << 16 else np.int32) for x in (i, j))
+            for row, (ids, i, j, w) in enumerate(opened(iter([batch]))):
                 to_j = to_i = w
                 if told:
                     sent, x = batch.column("sent")[row].values, np.zeros(len(ids))
                     pos, value = (x.to_numpy(zero_copy_only=False) for x in sent.flatten())
                     np.add.at(x, pos, value)
-                    to_j, to_i = w * x[i], w * x[j]
+                    to_j, to_i = w * x.take(i), w * x.take(j)
                 s = np.bincount(j, to_j, len(ids)) + np.bincount(i, to_i, len(ids))
                 for at in range(0, len(ids), FOREST_ROWS):
                     yield pa.RecordBatch.from_arrays([ids[at:at + FOREST_ROWS], pa.array(s[at:at + FOREST_ROWS])], schema.names)
@@ -162,6 +263,19 @@ def cell_sums(cells: DataFrame) -> DataFrame:
     return cells.select("ids", "i", "j", "w", *["sent"] * told).mapInArrow(run, schema)
 
 
+def cell_degrees(cells: DataFrame) -> DataFrame:
+    """(id, one) for each node of each cell: the number of its edges."""
+    schema = T.StructType([T.StructField("id", cells.schema["ids"].dataType.elementType), T.StructField("one", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, i, j, _ in opened(batches):
+            n = np.bincount(i, minlength=len(ids)) + np.bincount(j, minlength=len(ids))
+            for at in range(0, len(ids), FOREST_ROWS):
+                yield pa.RecordBatch.from_arrays([ids[at:at + FOREST_ROWS], pa.array(n[at:at + FOREST_ROWS], pa.int64())], schema.names)
+
+    return cells.select("ids", "i", "j").mapInArrow(run, schema)
+
+
 def out_weights(cells: DataFrame) -> DataFrame:
     """(id, sw): the sum of the weights of each node's edges."""
     return cell_sums(cells).groupBy("id").agg(F.sum("s").alias("sw"))
@@ -187,18 +301,29 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return nodes[own], nodes[label[own]]
 
 
-def contracted(edges: DataFrame) -> DataFrame:
+def contracted(edges: DataFrame | PackedEdges) -> DataFrame:
     """(u, v): a spanning forest of each partition's edges (u, v), as stars around the least node of each
-    component; edges are taken in `FOREST_EDGES` at a time, so a task holds its nodes and no more."""
-    kind = edges.schema["u"].dataType
+    component; edges are taken in `FOREST_EDGES` at a time, or a cell, so a task holds its nodes and no more."""
+    packed = isinstance(edges, PackedEdges)
+    kind = edges.cells.df.schema["ids"].dataType.elementType if packed else edges.schema["u"].dataType
     schema = T.StructType([T.StructField("u", kind), T.StructField("v", kind)])
 
+    def ends(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        if packed:
+            for ids, i, j, _ in opened(batches):
+                ids = ids.to_numpy(zero_copy_only=False)
+                apart = ids[i] != ids[j]
+                yield ids[i[apart]], ids[j[apart]]
+            return
+        for batch in batches:
+            yield tuple(batch.column(c).to_numpy(zero_copy_only=False) for c in "uv")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, waiting = [], 0
-        for batch in batches:
-            if batch.num_rows:
-                held.append(tuple(batch.column(c).to_numpy(zero_copy_only=False) for c in "uv"))
-                waiting += batch.num_rows
+        for part in ends(batches):
+            if len(part[0]):
+                held.append(part)
+                waiting += len(part[0])
                 if waiting >= FOREST_EDGES:
                     held = [forest(*map(np.concatenate, zip(*held)))]
                     waiting = 0
@@ -207,7 +332,7 @@ def contracted(edges: DataFrame) -> DataFrame:
             for i in range(0, len(u), FOREST_ROWS):
                 yield pa.RecordBatch.from_arrays([pa.array(x[i:i + FOREST_ROWS], to_arrow_type(kind)) for x in (u, v)], schema.names)
 
-    return edges.select("u", "v").mapInArrow(run, schema)
+    return (edges.cells.df.select("ids", "i", "j") if packed else edges.select("u", "v")).mapInArrow(run, schema)
 
 
 def _with_minima(links: DataFrame) -> tuple[DataFrame, Written]:
@@ -219,7 +344,7 @@ def _with_minima(links: DataFrame) -> tuple[DataFrame, Written]:
     return joined.select("u", "v", "mv"), mn
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 64, n: int | None = None) -> DataFrame:
+def connected_components(nodes: DataFrame, edges: DataFrame | PackedEdges, max_rounds: int = 64, n: int | None = None) -> DataFrame:
     """(id, component = smallest id of its component).
 
     Before any shuffle each partition reduces its edges to a spanning forest (`contracted`),
@@ -228,7 +353,9 @@ def connected_components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 6
     whose links to hubs are dealt to lots. Converged when every node has at most one parent
     and no parent has one.
     """
-    e = edges.select(F.col("src").alias("u"), F.col("dst").alias("v")).where(F.col("u") != F.col("v"))
+    e = edges
+    if not isinstance(edges, PackedEdges):
+        e = edges.select(F.col("src").alias("u"), F.col("dst").alias("v")).where(F.col("u") != F.col("v"))
     links = contracted(contracted(e).repartition("u"))
     turned = lambda x: x.unionByName(x.select(F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
     und = written(turned(links), "links")
@@ -277,7 +404,7 @@ def graph_anomalies(pr: DataFrame, deg: DataFrame) -> DataFrame:
                     (((F.lit(1.0) - prn) + (F.lit(1.0) - dgn)) / 2.0).alias("graph_anomaly_score"))
 
 
-def graph_statistics(nodes: DataFrame, edges: DataFrame, components: DataFrame) -> DataFrame:
+def graph_statistics(nodes: DataFrame, edges: DataFrame | PackedEdges, components: DataFrame) -> DataFrame:
     """One row: n_nodes, n_edges, density, n_components, avg_degree."""
     spark = nodes.sparkSession
     n = nodes.count()
@@ -313,7 +440,7 @@ class GraphResult:
     top: DataFrame | None = None            # highest graph scores, ties by user
 
 
-def detect_anomalies_graph(nodes: DataFrame, edges: DataFrame, alpha: float = 0.85,
+def detect_anomalies_graph(nodes: DataFrame, edges: DataFrame | PackedEdges, alpha: float = 0.85,
                            max_iter: int = 100, tol: float | None = 1e-6, with_statistics: bool = False,
                            show_top: int = 0) -> GraphResult:
     """G10 on a given edge set: PageRank + degree -> graph anomaly scores, with statistics and a top list on demand."""
@@ -326,13 +453,13 @@ def detect_anomalies_graph(nodes: DataFrame, edges: DataFrame, alpha: float = 0.
         stats = graph_statistics(nodes, edges, connected_components(nodes, edges, n=n)).crossJoin(graph_moments(pr, deg))  # one row each
     if show_top > 0:
         top = scores.orderBy(F.col("graph_anomaly_score").desc(), F.col("user_id").asc()).limit(show_top)
-    return GraphResult(edges, pr, deg, scores, stats, top)
+    return GraphResult(edges.rows() if isinstance(edges, PackedEdges) else edges, pr, deg, scores, stats, top)
 
 
 def detect_anomalies(vecs: DataFrame, threshold: float = 0.7, alpha: float = 0.85, max_iter: int = 100, tol: float | None = 1e-6,
                      with_statistics: bool = True, show_top: int = 0, id_col: str = "user_id", vec_col: str = "z",
                      block_size: int = 2048) -> GraphResult:
     """The similarity graph of the users (G1), then all of the above."""
-    edges = written(similarity_edges(vecs, threshold, id_col, vec_col, block_size), "edges").df
+    edges = similarity_cells(vecs, threshold, id_col, vec_col, block_size)
     nodes = vecs.select(F.col(id_col).alias("id"))
     return detect_anomalies_graph(nodes, edges, alpha, max_iter, tol, with_statistics, show_top)

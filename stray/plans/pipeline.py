@@ -22,7 +22,7 @@ from stray.operators import graph as G
 from stray.operators import similarity as S
 from stray.operators.normalize import ZScoreModel, as_vectors, zscore
 from stray.operators.scoring import combine_columns, rank_scores, score_summary
-from stray.session import reliable_checkpoint, written
+from stray.session import reliable_checkpoint
 from stray.sources.loader import check_unique_ids, save_table, extended_path
 
 
@@ -75,8 +75,7 @@ def run_pipeline(features_df: DataFrame, features: Sequence[str],
                    (F.lit(1.0) - F.col("avg_similarity")).alias("cf_anomaly_score"),
                    F.coalesce(F.col("avg_similarity") < F.lit(thr), F.lit(False)).alias("is_anomaly"))
 
-    edges = written(S.similarity_edges(vecs, config.similarity_threshold,
-                                       block_size=config.block_size), "edges").df
+    edges = G.similarity_cells(vecs, config.similarity_threshold, block_size=config.block_size)
     nodes = vecs.select(F.col("user_id").alias("id"))
     graph = G.detect_anomalies_graph(nodes, edges, config.pagerank_alpha, config.pagerank_max_iter,
                                      config.pagerank_tol)

@@ -194,3 +194,41 @@ def test_pagerank_joins_nodes_of_cells_not_edges(spark, monkeypatch):
     lone = 0.85 * 0.25 / 4 + 0.15 / 4
     assert [i for i, _ in r] == [0, 1, 2, 2]
     assert [v for _, v in r] == pytest.approx([lone, lone + 0.85 * 2 * 0.25 * 0.9 / 1.6, *[lone + 0.85 * 0.25 * 0.9 / 1.7] * 2])
+
+
+def test_similarity_graph_is_packed_by_the_pair_kernel(spark, monkeypatch):
+    """Cells hold the edges of `similarity_edges`, every operator gives the same from them, and no step shuffles a cell."""
+    from helpers import rand_vectors, vec_frame
+    from stray.operators import similarity as S
+    monkeypatch.setattr(G, "CELL_EDGES", 300)
+    v = vec_frame(spark, [*rand_vectors(150, 3, seed=5), [0.0, 0.0, 0.0]], ids=[*range(1000, 1150), 7])
+    nodes = v.selectExpr("user_id AS id")
+    rows = S.similarity_edges(v, 0.6, block_size=16)
+    packed = G.similarity_cells(v, 0.6, block_size=16)
+    want = {(r.src, r.dst): r.weight for r in rows.collect()}
+    got = {(r.src, r.dst): r.weight for r in packed.rows().collect()}
+    assert got == want and len(want) == packed.count() == packed.rows().count() > 900
+    per_cell = packed.cells.df.selectExpr("size(ids) = size(array_distinct(ids)) AS once", "n").collect()
+    assert len(per_cell) > 3 and all(r.once and r.n < 2 * 300 for r in per_cell)
+    for f in (lambda e: G.pagerank(nodes, e, max_iter=5, tol=None), lambda e: G.degree_centrality(nodes, e),
+              lambda e: G.connected_components(nodes, e)):
+        a, b = (sorted(f(e).collect()) for e in (rows, packed))
+        assert len(a) == 151 and [tuple(r) for r in a] == [pytest.approx(tuple(r), abs=1e-12) for r in b]
+    none = G.similarity_cells(v.limit(0), 0.6)
+    assert none.count() == 0 and none.rows().count() == 0
+    # what a step sends is dealt as the cells' buckets are
+    plans, sums = [], G.cell_sums
+
+    def seen(cells):
+        if "sent" in cells.columns:
+            plans.append(cells._jdf.queryExecution().executedPlan().toString())
+        return sums(cells)
+
+    monkeypatch.setattr(G, "cell_sums", seen)
+    parts = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        G.pagerank(nodes, rows, max_iter=1, tol=None)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+    assert [p.count("Exchange hashpartitioning(cell") for p in plans] == [1]
