@@ -126,3 +126,18 @@ def test_every_shingle_weighs_by_its_document_frequency(spark, monkeypatch):
         assert weights.of(h, times, r.own) == pytest.approx(times * (1 + np.log(n / df)))
         seen |= set(df.tolist())
     assert len(seen) >= 5
+
+
+def test_shingles_of_a_batch_are_not_held_at_once(monkeypatch):
+    import zstandard
+    monkeypatch.setattr(N, "WORDS_BYTES", 20)
+    read = []
+
+    def packed():
+        for k in range(6):
+            read.append(k)
+            yield zstandard.ZstdCompressor().compress(f"one two three four five six w{k}".encode())
+
+    cut = iter(N.shingles_of(packed()))
+    assert len(next(cut)[0]) == 3 and read == [0]
+    assert [len(h) for h, _ in cut] == [3] * 5 and len(read) == 6
