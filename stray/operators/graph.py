@@ -30,8 +30,10 @@ from stray.session import Written, bounded_batches, bucket_count, reliable_check
 
 #: Edges that a task gathers before it reduces them to a forest, and rows that it passes on at once.
 FOREST_EDGES, FOREST_ROWS = 1 << 18, 1 << 16
-#: Edges of a packed cell.
-CELL_EDGES = 1 << 17
+#: Edges of a packed cell, and pairs of a dense one, about. A request is dense where one in `SPARSE` of its pairs is an edge.
+CELL_EDGES, CELL_PAIRS, SPARSE = 1 << 17, 1 << 20, 32
+#: Columns of a cell that name the ends of its edges, and those that tell the weights.
+ENDS, WEIGHTS = ("ids", "i", "j", "far"), ("w", "m")
 
 
 class PageRankNotConverged(RuntimeError):
@@ -40,7 +42,7 @@ class PageRankNotConverged(RuntimeError):
 
 @dataclass(frozen=True)
 class PackedEdges:
-    """Edges packed in cells (`packed_cells`, `similarity_cells`). Operators take them in place of rows."""
+    """Edges packed in cells (`Cell`; `packed_cells`, `similarity_cells`). Operators take them in place of rows."""
 
     cells: Written
 
@@ -58,18 +60,95 @@ class PackedEdges:
                     part = slice(at, at + FOREST_ROWS)
                     yield pa.RecordBatch.from_arrays([ids.take(pa.array(i[part])), ids.take(pa.array(j[part])), pa.array(w[part])], schema.names)
 
-        both = self.cells.df.select("ids", "i", "j", "w").mapInArrow(run, schema)
+        both = self.cells.df.select(*ENDS, *WEIGHTS).mapInArrow(run, schema)
         return both.select(F.least("src", "dst").alias("src"), F.greatest("src", "dst").alias("dst"), "weight")
 
 
+@dataclass
+class Cell:
+    """A cell as a task sees it. A list has edges `i[k]`-`j[k]` of weights `w`; a dense cell has rows `i` and columns `j`
+    with their unit vectors (`left`, `right`), and says which pairs are `far`: the others are its edges, their weights the cosines."""
+
+    ids: pa.Array
+    i: np.ndarray
+    j: np.ndarray
+    w: np.ndarray | None = None
+    far: np.ndarray | None = None
+    left: np.ndarray | None = None
+    right: np.ndarray | None = None
+
+    def portions(self) -> Iterator[slice]:
+        """Rows of a dense cell, few at a time."""
+        step = max(1, CELL_EDGES // len(self.j))
+        return (slice(at, at + step) for at in range(0, len(self.i), step))
+
+    def cosines(self, part: slice) -> np.ndarray:
+        """Of some rows to all columns, 0 where they are far."""
+        w = self.left[part] @ self.right.T
+        np.copyto(w, 0.0, where=self.far[part])
+        return w
+
+    def edges(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray | None]]:
+        """(i, j, w), some at a time; w where the cell was read with it."""
+        if self.far is None:
+            yield self.i, self.j, self.w
+            return
+        for part in self.portions():
+            r, c = np.nonzero(~self.far[part])
+            yield self.i[part][r], self.j[c], None if self.left is None else self.cosines(part)[r, c]
+
+    def sums(self, x: np.ndarray | None) -> np.ndarray:
+        """For each of `ids` the sum of its edges' weights, times `x` at their other ends, if given."""
+        n, i, j = len(self.ids), self.i, self.j
+        if self.far is None:
+            to_j, to_i = (self.w, self.w) if x is None else (self.w * x.take(i), self.w * x.take(j))
+            return np.bincount(j, to_j, n) + np.bincount(i, to_i, n)
+        x = np.ones(n) if x is None else x
+        to_i, to_j, at_j = np.zeros(len(i)), np.zeros(len(j)), x[j]
+        for part in self.portions():
+            w = self.cosines(part)
+            to_i[part] = w @ at_j
+            to_j += x[i[part]] @ w
+        return np.bincount(j, to_j, n) + np.bincount(i, to_i, n)
+
+    def degrees(self) -> np.ndarray:
+        """For each of `ids` the number of its edges."""
+        n = len(self.ids)
+        if self.far is None:
+            return np.bincount(self.i, minlength=n) + np.bincount(self.j, minlength=n)
+        of_i, of_j = ((~self.far).sum(axis=axis) for axis in (1, 0))
+        return (np.bincount(self.i, of_i, n) + np.bincount(self.j, of_j, n)).astype(np.int64)
+
+
+def cells_of(batch: pa.RecordBatch) -> Iterator[Cell]:
+    """The cells of a batch, with weights where it has them."""
+    weighed = "w" in batch.schema.names
+    for row in range(batch.num_rows):
+        def packed(name: str, kind: type) -> np.ndarray | None:
+            value = batch.column(name)[row]
+            return np.frombuffer(value.as_buffer(), kind) if value.is_valid else None
+
+        ids = batch.column("ids")[row].values
+        code = np.uint16 if len(ids) <= 1 << 16 else np.int32
+        cell = Cell(ids, *(packed(c, code).astype(np.intp) for c in "ij"))
+        far = packed("far", np.uint8)
+        if far is not None:
+            shape = len(cell.i), len(cell.j)
+            cell.far = np.unpackbits(far, count=shape[0] * shape[1]).view(bool).reshape(shape)
+            if weighed:
+                m = packed("m", np.float64).reshape(sum(shape), -1)
+                cell.left, cell.right = m[:shape[0]], m[shape[0]:]
+        elif weighed:
+            cell.w = packed("w", np.float64)
+        yield cell
+
+
 def opened(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray, np.ndarray | None]]:
-    """(ids, i, j, w) of each cell, w where the batches have it."""
+    """(ids, i, j, w) of the edges of each cell, some at a time, w where the batches have it."""
     for batch in batches:
-        for row in range(batch.num_rows):
-            ids = batch.column("ids")[row].values
-            code = np.uint16 if len(ids) <= 1 << 16 else np.int32
-            i, j = (np.frombuffer(batch.column(c)[row].as_buffer(), code).astype(np.intp) for c in "ij")
-            yield ids, i, j, np.frombuffer(batch.column("w")[row].as_buffer(), np.float64) if "w" in batch.schema.names else None
+        for cell in cells_of(batch):
+            for part in cell.edges():
+                yield cell.ids, *part
 
 
 def both_directions(edges: DataFrame) -> DataFrame:
@@ -145,20 +224,34 @@ def pagerank(nodes: DataFrame, edges: DataFrame | PackedEdges, alpha: float = 0.
 
 def cell_schema(kind: T.DataType) -> T.StructType:
     return T.StructType([T.StructField("cell", T.LongType()), T.StructField("n", T.LongType()), T.StructField("ids", T.ArrayType(kind)),
-                         T.StructField("i", T.BinaryType()), T.StructField("j", T.BinaryType()), T.StructField("w", T.BinaryType())])
+                         *[T.StructField(c, T.BinaryType()) for c in ("i", "j", "w", "far", "m")]])
 
 
 def one_cell(cell: int, both: pa.DictionaryArray, i: np.ndarray, j: np.ndarray, w: np.ndarray, schema: T.StructType) -> pa.RecordBatch:
     """A cell of the edges between places `i` and `j` of `both`, every node once in its `ids`."""
-    ids, code = both.dictionary, both.indices.to_numpy()
-    code = code.astype(np.uint16 if len(ids) <= 1 << 16 else np.int32)
+    code = codes(both)
+    return cell_row(cell, len(w), both.dictionary, (code[i], code[j], w, None, None), schema)
+
+
+def dense_cell(cell: int, both: pa.DictionaryArray, near: np.ndarray, x: np.ndarray, schema: T.StructType) -> pa.RecordBatch:
+    """A cell of the `near` pairs of the rows and columns whose ids are `both` and whose unit vectors are `x`, one after the other."""
+    code, k = codes(both), len(near)
+    return cell_row(cell, np.count_nonzero(near), both.dictionary, (code[:k], code[k:], None, np.packbits(~near), x), schema)
+
+
+def codes(both: pa.DictionaryArray) -> np.ndarray:
+    return both.indices.to_numpy().astype(np.uint16 if len(both.dictionary) <= 1 << 16 else np.int32)
+
+
+def cell_row(cell: int, n: int, ids: pa.Array, packed: tuple, schema: T.StructType) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
-        [pa.array([cell], pa.int64()), pa.array([len(w)], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
-         *[pa.array([x.tobytes()], pa.binary()) for x in (code[i], code[j], w)]], schema.names)
+        [pa.array([cell], pa.int64()), pa.array([n], pa.int64()), pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids),
+         *[pa.array([None if x is None else x.tobytes()], pa.binary()) for x in packed]], schema.names)
 
 
 def packed_cells(edges: DataFrame) -> Written:
-    """(cell, n, ids, i, j, w): the n edges of a cell by the places of their ends in `ids`, packed; a table bucketed by cell."""
+    """(cell, n, ids, i, j, w, far, m): the n edges of a cell by the places of their ends in `ids`, packed (`Cell`); a table
+    bucketed by cell. All are lists here, as weights of any kind are kept."""
     bounded_batches(edges.sparkSession, B.BATCH_BYTES)
     schema = cell_schema(edges.schema["src"].dataType)
 
@@ -185,11 +278,12 @@ def packed_cells(edges: DataFrame) -> Written:
 
 
 class CellBox:
-    """A task's edges, given by places in arrays of ids, until they are a cell."""
+    """A task's edges, given by places in arrays of ids, until they are a cell; and what a block's dense requests have near."""
 
     def __init__(self, kind: T.DataType) -> None:
         self.kind, self.schema, self.next = kind, cell_schema(kind), TaskContext.get().partitionId() << 32
         self.clear()
+        self.block, self.near, self.pairs, self.count = None, [], 0, 0
 
     def clear(self) -> None:
         self.arrays, self.begin, self.places, self.edges, self.waiting = [], {}, 0, [], 0
@@ -208,9 +302,33 @@ class CellBox:
             self.edges.append((self.place(left) + i[part], self.place(right) + j[part], w[part]))
             self.waiting += len(w[part])
             if self.waiting >= CELL_EDGES:
-                yield from self.take()
+                yield from self.take_list()
+
+    def put_dense(self, block: B.Held, ids: np.ndarray, x: np.ndarray, near: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """Rows (ids, x) of a request to `block`, and which pairs with the block's rows are edges."""
+        if self.block is not block:
+            yield from self.take_dense()
+            self.block = block
+        self.near.append((ids, x, near))
+        self.pairs += near.size
+        self.count += np.count_nonzero(near)
+        if self.count >= CELL_EDGES or self.pairs >= CELL_PAIRS:
+            yield from self.take_dense()
+
+    def take_dense(self) -> Iterator[pa.RecordBatch]:
+        if self.near:
+            ids, x, near = map(np.concatenate, zip(*self.near))
+            met = near.any(axis=0)
+            both = pa.concat_arrays([S._typed(i, self.kind) for i in (ids, self.block.ids[met])]).dictionary_encode("encode")
+            yield dense_cell(self.next, both, near[:, met], np.concatenate([x, self.block.x[met]]), self.schema)
+            self.next += 1
+        self.near, self.pairs, self.count = [], 0, 0
 
     def take(self) -> Iterator[pa.RecordBatch]:
+        yield from self.take_dense()
+        yield from self.take_list()
+
+    def take_list(self) -> Iterator[pa.RecordBatch]:
         if self.waiting:
             i, j, w = map(np.concatenate, zip(*self.edges))
             used = np.zeros(self.places, bool)
@@ -224,7 +342,8 @@ class CellBox:
 
 def similarity_cells(vecs: DataFrame, threshold: float = 0.7, id_col: str = "user_id", vec_col: str = "z",
                      block_size: int = 2048, centres: int | None = None) -> PackedEdges:
-    """The edges of `similarity_edges`, packed in cells by the tasks that find them."""
+    """The edges of `similarity_edges`, packed in cells by the tasks that find them. Where many pairs of a request are near,
+    a cell holds the nodes' unit vectors and a bit for each pair, which are fewer bytes than edges with their weights."""
     kind = vecs.schema[id_col].dataType
     bounded_batches(vecs.sparkSession, B.BATCH_BYTES)
     b = S._blocks(vecs, id_col, vec_col, block_size, centres)
@@ -235,8 +354,14 @@ def similarity_cells(vecs: DataFrame, threshold: float = 0.7, id_col: str = "use
         box = CellBox(kind)
 
         def kernel(held: B.Held, asked: B.Held) -> Iterator[pa.RecordBatch]:
-            for ids, i, j, w in S.near_pairs(held, asked, threshold):
-                yield from box.put(ids, i, held.ids, j, w)
+            for ids, x, at, s, keep in S.near_masks(held, asked, threshold):
+                rows = keep.any(axis=1)
+                if np.count_nonzero(keep) * SPARSE >= np.count_nonzero(rows) * keep.shape[1]:
+                    part = slice(at, at + len(keep))
+                    yield from box.put_dense(held, ids[part][rows], x[part][rows], keep[rows])
+                else:
+                    i, j = np.nonzero(keep)
+                    yield from box.put(ids, at + i, held.ids, j, s[i, j])
         return kernel, box.take
 
     return PackedEdges(written(B.meet(b, S._edge_requests(b, threshold), make, cell_schema(kind)), "cells", "cell", large_rows=True))
@@ -249,18 +374,17 @@ def cell_sums(cells: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, (ids, i, j, w) in enumerate(opened(iter([batch]))):
-                to_j = to_i = w
+            for row, cell in enumerate(cells_of(batch)):
+                ids, x = cell.ids, None
                 if told:
                     sent, x = batch.column("sent")[row].values, np.zeros(len(ids))
                     pos, value = (x.to_numpy(zero_copy_only=False) for x in sent.flatten())
                     np.add.at(x, pos, value)
-                    to_j, to_i = w * x.take(i), w * x.take(j)
-                s = np.bincount(j, to_j, len(ids)) + np.bincount(i, to_i, len(ids))
+                s = cell.sums(x)
                 for at in range(0, len(ids), FOREST_ROWS):
                     yield pa.RecordBatch.from_arrays([ids[at:at + FOREST_ROWS], pa.array(s[at:at + FOREST_ROWS])], schema.names)
 
-    return cells.select("ids", "i", "j", "w", *["sent"] * told).mapInArrow(run, schema)
+    return cells.select(*ENDS, *WEIGHTS, *["sent"] * told).mapInArrow(run, schema)
 
 
 def cell_degrees(cells: DataFrame) -> DataFrame:
@@ -268,12 +392,13 @@ def cell_degrees(cells: DataFrame) -> DataFrame:
     schema = T.StructType([T.StructField("id", cells.schema["ids"].dataType.elementType), T.StructField("one", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, i, j, _ in opened(batches):
-            n = np.bincount(i, minlength=len(ids)) + np.bincount(j, minlength=len(ids))
-            for at in range(0, len(ids), FOREST_ROWS):
-                yield pa.RecordBatch.from_arrays([ids[at:at + FOREST_ROWS], pa.array(n[at:at + FOREST_ROWS], pa.int64())], schema.names)
+        for batch in batches:
+            for cell in cells_of(batch):
+                ids, n = cell.ids, cell.degrees()
+                for at in range(0, len(ids), FOREST_ROWS):
+                    yield pa.RecordBatch.from_arrays([ids[at:at + FOREST_ROWS], pa.array(n[at:at + FOREST_ROWS], pa.int64())], schema.names)
 
-    return cells.select("ids", "i", "j").mapInArrow(run, schema)
+    return cells.select(*ENDS).mapInArrow(run, schema)
 
 
 def out_weights(cells: DataFrame) -> DataFrame:
@@ -332,7 +457,7 @@ def contracted(edges: DataFrame | PackedEdges) -> DataFrame:
             for i in range(0, len(u), FOREST_ROWS):
                 yield pa.RecordBatch.from_arrays([pa.array(x[i:i + FOREST_ROWS], to_arrow_type(kind)) for x in (u, v)], schema.names)
 
-    return (edges.cells.df.select("ids", "i", "j") if packed else edges.select("u", "v")).mapInArrow(run, schema)
+    return (edges.cells.df.select(*ENDS) if packed else edges.select("u", "v")).mapInArrow(run, schema)
 
 
 def _with_minima(links: DataFrame) -> tuple[DataFrame, Written]:

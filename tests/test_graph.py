@@ -232,3 +232,25 @@ def test_similarity_graph_is_packed_by_the_pair_kernel(spark, monkeypatch):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", parts)
     assert [p.count("Exchange hashpartitioning(cell") for p in plans] == [1]
+
+
+def test_dense_cells_hold_a_bit_for_each_pair(spark):
+    """Weights of dense requests are not written; sparse ones stay lists; every operator reads both alike."""
+    from helpers import rand_vectors, vec_frame
+    from stray.operators import similarity as S
+    v = vec_frame(spark, rand_vectors(400, 3, seed=8))
+    nodes = v.selectExpr("user_id AS id")
+    kinds = set()
+    for threshold in (0.5, 0.97):
+        rows, packed = S.similarity_edges(v, threshold, block_size=128, centres=4), G.similarity_cells(v, threshold, block_size=128, centres=4)
+        want = {(r.src, r.dst): r.weight for r in rows.collect()}
+        assert {(r.src, r.dst): r.weight for r in packed.rows().collect()} == pytest.approx(want, abs=1e-12)
+        cells = packed.cells.df
+        kinds |= {r.dense for r in cells.selectExpr("w IS NULL AS dense").distinct().collect()}
+        size = cells.selectExpr(*[f"coalesce(sum(octet_length({c})), 0) AS {c}" for c in cells.columns if c in ("i", "j", "w", "far", "m")]).first()
+        assert len(want) == packed.count() and (threshold > 0.5 or sum(size) < 12 * len(want) / 2)
+        of = [lambda e: G.pagerank(nodes, e, max_iter=2, tol=None), lambda e: G.degree_centrality(nodes, e)]
+        for f in of + [lambda e: G.connected_components(nodes, e)] * (threshold == 0.5):
+            a, b = (sorted(f(e).collect()) for e in (rows, packed))
+            assert [tuple(r) for r in a] == [pytest.approx(tuple(r), abs=1e-12) for r in b]
+    assert kinds == {True, False}
