@@ -1,9 +1,9 @@
 """Byte-level BPE pieces: where a text may be cut, and the ids of a cut by the libraries.
 
 The pre-tokeniser's pattern starts a new piece at every blank that a visible character
-follows, whatever stands before it, so a text can be encoded chunk by chunk at those
-blanks. Chunks repeat, so each task encodes a chunk once and remembers it, within a
-bound.
+follows, whatever stands before it, so a text can be encoded part by part at those
+blanks. Plain parts are encoded at once by the ranks; of others each chunk is encoded
+once and remembered, within a bound.
 """
 
 from __future__ import annotations
@@ -11,12 +11,13 @@ from __future__ import annotations
 import base64
 import os
 import re
+from collections.abc import Iterator
 from functools import cache
 
 import numpy as np
 
-#: Chunks that a task remembers before it starts afresh.
-REMEMBERED = 400_000
+#: Chunks that a task remembers before it starts afresh, and characters that are encoded at once, at least.
+REMEMBERED, PORTION = 1 << 16, 1 << 18
 #: Characters on which every Unicode version agrees (ASCII and letters of Latin blocks).
 PLAIN = re.compile("[\x20-\x7e\n\xc0-\xd6\xd8-\xf6\xf8-ſ]*")
 MARK = "<|endoftext|>"
@@ -74,26 +75,47 @@ def chunks(text: str) -> list[str]:
     return out if out[0] else out[1:]
 
 
+#: A blank at which a chunk begins.
+CUT = re.compile(r" (?=[!-~\w])")
+
+
+def portions(text: str) -> Iterator[str]:
+    """Whole chunks of `PORTION` characters or a few more; joined, the text again."""
+    at = 0
+    while cut := CUT.search(text, at + PORTION):
+        yield text[at:cut.start()]
+        at = cut.start()
+    yield text[at:]
+
+
+def plain(text: str) -> bool:
+    return MARK not in text and PLAIN.fullmatch(text) is not None
+
+
 class ChunkEncoder:
-    """Ids of chunks, remembered: plain ones by the ranks, all others by the tokenizer file itself."""
+    """Ids of texts: plain portions and chunks by the ranks, all others by the tokenizer file itself, which is read when one comes."""
 
     def __init__(self, path: str, ranks: str) -> None:
-        self.file, self.ranks = tokenizer(path), ranks_encoding(ranks)
+        self.path, self.ranks = path, ranks_encoding(ranks)
         self.known: dict[str, list[int]] = {}
 
     def chunk(self, c: str) -> list[int]:
-        if PLAIN.fullmatch(c) and MARK not in c:
+        if plain(c):
             return self.ranks.encode_ordinary(c)
-        return self.file.encode(c, add_special_tokens=False).ids
+        return tokenizer(self.path).encode(c, add_special_tokens=False).ids
 
-    def encode(self, text: str) -> np.ndarray:
-        known = self.known
-        if len(known) > REMEMBERED:
-            known.clear()
+    def portion(self, text: str) -> list[int]:
+        if plain(text):
+            return self.ranks.encode_ordinary(text)
         ids: list[int] = []
         for c in chunks(text):
-            got = known.get(c)
+            got = self.known.get(c)
             if got is None:
-                got = known[c] = self.chunk(c)
+                if len(self.known) >= REMEMBERED:
+                    self.known.clear()
+                got = self.known[c] = self.chunk(c)
             ids += got
-        return np.array(ids, dtype="<u4")
+        return ids
+
+    def encode(self, text: str) -> np.ndarray:
+        return np.concatenate([np.array(self.portion(p), dtype="<u4") for p in portions(text)])

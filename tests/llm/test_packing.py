@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from edge import SF, clashing, documents, edge, none
 
+from stray.llm import bpe
 from stray.llm import packing as P
 from stray.llm.bpe import tokenizer, tokenizer_path
 
@@ -91,3 +92,15 @@ def test_small_blocks_are_valid_too(spark):
                                            tokenizer_path("byte_bpe_50k.tiktoken")), "t")
     out = P.pack_items(pieces, P.Limits(), block=50)
     check(docs.select(docs.doc_id.cast("string").alias("doc_id"), "text"), out, P.Limits())
+
+
+def test_encoder_remembers_a_bounded_number_of_chunks(monkeypatch):
+    path = tokenizer_path("byte_bpe_50k.json")
+    encoder = bpe.ChunkEncoder(path, tokenizer_path("byte_bpe_50k.tiktoken"))
+    monkeypatch.setattr(bpe, "REMEMBERED", 100)
+    monkeypatch.setattr(bpe, "PORTION", 64)
+    texts = [sign.join(f"  word{i}\n x{i * i}" for i in range(300)) for sign in ("", "\t", "日", bpe.MARK)]
+    for text in texts:
+        assert "".join(bpe.portions(text)) == text and len(list(bpe.portions(text))) > 50
+        assert encoder.encode(text).tolist() == tokenizer(path).encode(text, add_special_tokens=False).ids
+        assert len(encoder.known) <= (0 if text is texts[0] else 100)
