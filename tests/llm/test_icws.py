@@ -141,3 +141,62 @@ def test_shingles_of_a_batch_are_not_held_at_once(monkeypatch):
     cut = iter(N.shingles_of(packed()))
     assert len(next(cut)[0]) == 3 and read == [0]
     assert [len(h) for h, _ in cut] == [3] * 5 and len(read) == 6
+
+
+def test_no_table_holds_the_pairs_of_a_bucket(spark, monkeypatch):
+    """Near copies that are not near enough to be one group: what is written grows with the texts, not with their pairs."""
+    rows = families(n=1, size=400, words=400, edits=9, seed=4)
+    sizes, write = Counter(), N.materialise
+
+    def counted(df, name):
+        out = write(df, name)
+        sizes[name] = max(sizes[name], out.count())
+        return out
+
+    monkeypatch.setattr(N, "materialise", counted)
+    want = None
+    for local in (N.LOCAL, 1 << 13):  # in one task, and in rounds over lots
+        monkeypatch.setattr(N, "LOCAL", local)
+        got = sorted(tuple(r) for r in N.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect())
+        want = want or got
+        assert got == want
+    assert len({r[1] for r in want}) > 100 and sum(r[2] for r in want) > 0
+    assert max(sizes.values()) == sizes["pairs-of-bands"] < 20 * len(rows)
+
+
+def test_large_clusters_go_in_lots_and_give_the_same_links(spark, monkeypatch):
+    rows = families(n=3, size=120, words=100, edits=5, seed=6) + families(n=4, size=5)
+    rows = [(i, *r[1:]) for i, r in enumerate(rows)] + [(900, None, "en", "s", 0)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    want = sorted(tuple(r) for r in N.near_duplicates(docs).collect())
+    assert sum(r[2] for r in want) > 100
+    lots = []
+    of = N.Rounds.__init__
+
+    def seen(self, large, *rest):
+        lots.extend(r.lots for r in large.collect())
+        of(self, large, *rest)
+
+    monkeypatch.setattr(N.Rounds, "__init__", seen)
+    monkeypatch.setattr(N, "LOCAL", 1 << 14)
+    assert sorted(tuple(r) for r in N.near_duplicates(docs).collect()) == want
+    assert max(lots) > 2
+
+
+def test_bound_loses_no_link():
+    from types import SimpleNamespace
+    from zstandard import ZstdCompressor
+    rows = families(n=2, size=40, words=200, edits=6, seed=8)
+    texts = sorted({r[1] for r in rows})
+    bags = [np.unique(shingle_hashes(h, 5), return_counts=True) for h in batch_word_hashes([t.encode() for t in texts])]
+    seen, df = np.unique(np.concatenate([b[0] for b in bags]), return_counts=True)
+    w = N.Weights(seen[df > 2], df[df > 2], len(texts), 0.0)
+    c = N.Cluster([SimpleNamespace(cls=f"{i:03d}", rank=i / 100, z=ZstdCompressor().compress(t.encode()), own=b"", buckets=[0])
+                   for i, t in enumerate(texts)], w, N.NearDup())
+    links = 0
+    for i in range(len(texts)):
+        others = np.arange(i + 1, len(texts))
+        want = [j for j in others if N.weighted_jaccard(c.bags[i], c.bags[j]) >= 0.8]
+        assert c.near(i, others).tolist() == want if len(others) else not want
+        links += len(want)
+    assert 20 < links < 2 * 40 * 39 // 2
