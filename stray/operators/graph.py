@@ -95,7 +95,7 @@ class Cell:
             return
         for part in self.portions():
             r, c = np.nonzero(~self.far[part])
-            yield self.i[part][r], self.j[c], None if self.left is None else self.cosines(part)[r, c]
+            yield self.i[part][r], self.j[c], None if self.left is None else S.pair_cosines(self.left[part], self.right, r, c)
 
     def sums(self, x: np.ndarray | None) -> np.ndarray:
         """For each of `ids` the sum of its edges' weights, times `x` at their other ends, if given."""
@@ -354,14 +354,14 @@ def similarity_cells(vecs: DataFrame, threshold: float = 0.7, id_col: str = "use
         box = CellBox(kind)
 
         def kernel(held: B.Held, asked: B.Held) -> Iterator[pa.RecordBatch]:
-            for ids, x, at, s, keep in S.near_masks(held, asked, threshold):
+            for ids, x, at, keep in S.near_masks(held, asked, threshold):
                 rows = keep.any(axis=1)
                 if np.count_nonzero(keep) * SPARSE >= np.count_nonzero(rows) * keep.shape[1]:
                     part = slice(at, at + len(keep))
                     yield from box.put_dense(held, ids[part][rows], x[part][rows], keep[rows])
                 else:
                     i, j = np.nonzero(keep)
-                    yield from box.put(ids, at + i, held.ids, j, s[i, j])
+                    yield from box.put(ids, at + i, held.ids, j, S.pair_cosines(x, held.x, at + i, j))
         return kernel, box.take
 
     return PackedEdges(written(B.meet(b, S._edge_requests(b, threshold), make, cell_schema(kind)), "cells", "cell", large_rows=True))

@@ -315,9 +315,9 @@ def edge_work(vecs: DataFrame, threshold: float, id_col: str = "user_id", vec_co
     return PairWork(b.n * (b.n - 1) // 2, int(work), 1)
 
 
-def near_masks(held: B.Held, asked: B.Held, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray, int, np.ndarray, np.ndarray]]:
-    """(ids, x, at, s, keep): cosines `s` of the rows of `x` from `at` on, of the request or for its own rows the block,
-    to the rows of the block, and which are pairs with a cosine of at least `threshold`; some rows of the request at a time."""
+def near_masks(held: B.Held, asked: B.Held, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray, int, np.ndarray]]:
+    """(ids, x, at, keep): which rows of `x` from `at` on, of the request or for its own rows the block, and rows of the
+    block are pairs with a cosine of at least `threshold`; some rows of the request at a time."""
     own = held.block == asked.block
     x, ids = (held.x, held.ids) if own else (asked.x, asked.ids)
     for at in range(0, len(x), SLICE):
@@ -326,14 +326,23 @@ def near_masks(held: B.Held, asked: B.Held, threshold: float) -> Iterator[tuple[
         if own:  # ids are in order within a block
             keep &= np.arange(at, at + len(s))[:, None] < np.arange(s.shape[1])[None, :]
         if keep.any():
-            yield ids, x, at, s, keep
+            yield ids, x, at, keep
+
+
+def pair_cosines(x: np.ndarray, y: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Of the rows `x[i]` and `y[j]`, summed feature by feature: unlike those of a matrix product, whose last bits go by
+    its shape, the cosine of two users is the same number in whatever block or cell they meet."""
+    out = np.zeros(len(i))
+    for a, b in zip(x.T, y.T):
+        out += a.take(i) * b.take(j)
+    return out
 
 
 def near_pairs(held: B.Held, asked: B.Held, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """(ids, i, j, cosines): pairs of `ids[i]` and `held.ids[j]` with a cosine of at least `threshold`."""
-    for ids, _, at, s, keep in near_masks(held, asked, threshold):
+    for ids, x, at, keep in near_masks(held, asked, threshold):
         i, j = np.nonzero(keep)
-        yield ids, at + i, j, s[i, j]
+        yield ids, at + i, j, pair_cosines(x, held.x, at + i, j)
 
 
 def similarity_edges(vecs: DataFrame, threshold: float = 0.7, id_col: str = "user_id",

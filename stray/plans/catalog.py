@@ -22,7 +22,7 @@ from stray.operators import similarity as S
 from stray.operators.normalize import as_vectors, fit_zscore, zscore
 from stray.sources import fixtures as X
 from stray.functions.vectors import vector
-from stray.session import checkpoint_dir, reliable_checkpoint, written
+from stray.session import checkpoint_dir, reliable_checkpoint
 from stray.sources.loader import dataset_summary, feature_columns, prepare_user_features, read_results
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -171,7 +171,7 @@ def q_similarity_statistics(spark, sf):
 
 
 def q_similarity_edges(spark, sf):
-    return round_doubles(written(S.similarity_edges(vectors(spark, sf), THRESHOLD), "edges").df)
+    return round_doubles(S.similarity_edges(vectors(spark, sf), THRESHOLD))
 
 
 def q_connected_components(spark, sf):

@@ -175,3 +175,31 @@ def test_statistics_of_hot_directions_and_small_tables(spark):
     two = collect_map(S.similarity_statistics(vec_frame(spark, [[1.0, 0.0], [1.0, 1.0]])), "metric", "value")
     assert two["median"] == two["min"] == pytest.approx(0.5 ** 0.5) and two["std"] == pytest.approx(0.0, abs=1e-7)
     assert S.similarity_statistics(vec_frame(spark, [[1.0, 0.0]])).where("value is null").count() == 7
+
+
+def test_edges_are_not_written_before_they_are_read(spark, tmp_path):
+    """Edges grow with the square of the users; the query leaves no table of them in the shared folder."""
+    from pathlib import Path
+
+    from stray.plans.catalog import q_similarity_edges
+    from stray.session import checkpoint_dir
+    rng = np.random.default_rng(3)
+    kinds = ("signup", "purchase", "error", "view", "click")
+    rows = []
+    for user in range(600):
+        for _ in range(4 + 4 * (user % 2)):
+            rows.append((len(rows), user, kinds[user % 2 + int(rng.integers(0, 2))], float(rng.uniform(1, 2) + 90 * (user % 2))))
+    events = spark.createDataFrame(rows, "event_id long, user_id long, event_type string, value double")
+    events.selectExpr("event_id", "timestamp_seconds(event_id) AS ts", "user_id", "event_type", "value", "'' AS props").write.parquet(
+        str(tmp_path / "events.parquet"))
+    folder = Path(checkpoint_dir(spark).removeprefix("file:"))
+    before = {f for f in folder.rglob("*") if f.is_file()}
+    n = len(q_similarity_edges(spark, str(tmp_path)).collect())
+    kept = sum(f.stat().st_size for f in folder.rglob("*") if f.is_file() and f not in before)
+    assert n > 50_000 and kept < 4 * n
+
+
+def test_a_cosine_has_the_same_bits_in_every_block(spark):
+    v = vec_frame(spark, rand_vectors(120, 7, seed=2))
+    many, few = ({(r["src"], r["dst"]): r["weight"] for r in S.similarity_edges(v, 0.3, block_size=size).collect()} for size in (8, 2048))
+    assert many == few and len(many) > 500
